@@ -23,7 +23,7 @@ def precision_recall_curve(
     scored = df.filter(F.col(score).isNotNull()).select(
         F.col(score).cast("double").alias("threshold"), (F.col(actual).cast("int") == 1).alias("positive")
     )
-    slicing = plan_slices(scored, "threshold", rows_per_slice)
+    slicing = plan_slices(scored, "threshold", rows_per_slice, also={"positives": F.count_if("positive")})
     points = scored.groupBy("threshold").agg(
         F.count_if("positive").alias("score_pos"), F.count(F.lit(1)).alias("score_n")
     )
@@ -34,11 +34,11 @@ def precision_recall_curve(
         single_slice=slicing.single,
         descending=True,
     )
-    positives = scored.agg(F.count_if("positive").alias("positives"))
-    return summed.join(F.broadcast(positives)).select(
+    positives = slicing.also["positives"]
+    return summed.select(
         "threshold",
         (F.col("tp") / F.col("predicted_pos")).alias("precision"),
-        F.coalesce(F.try_divide(F.col("tp"), F.col("positives")), F.lit(1.0)).alias("recall"),
+        (F.col("tp") / F.lit(positives) if positives else F.lit(1.0)).alias("recall"),
         "tp",
         "predicted_pos",
     )

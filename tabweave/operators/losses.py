@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.scores import class_weight, negative_log_likelihood, squared_error
 
 
+def weighted_cross_entropy(logits: str, label: str, weights: Sequence[float] | None = None) -> Column:
+    """sum(w * nll) / sum(w), as an aggregate column."""
+    w = class_weight(F.col(label), weights)
+    return F.try_divide(F.sum(w * negative_log_likelihood(F.col(logits), F.col(label))), F.sum(w))
+
+
 def batch_cross_entropy(
     df: DataFrame, batch: str, logits: str, label: str, weights: Sequence[float] | None = None
 ) -> DataFrame:
-    """``batch, n, loss`` with loss = sum(w * nll) / sum(w) over the rows of a batch."""
-    w = class_weight(F.col(label), weights)
-    nll = negative_log_likelihood(F.col(logits), F.col(label))
+    """``batch, n, loss`` with the class-weighted cross-entropy of a batch."""
     return df.groupBy(F.col(batch).alias("batch")).agg(
-        F.count(F.lit(1)).alias("n"), F.try_divide(F.sum(w * nll), F.sum(w)).alias("loss")
+        F.count(F.lit(1)).alias("n"), weighted_cross_entropy(logits, label, weights).alias("loss")
     )
 
 

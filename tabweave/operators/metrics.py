@@ -8,11 +8,35 @@ from pyspark.sql import functions as F
 DEFAULT_CUTOFF = 0.5
 
 
-def _ratio(numerator: Column, denominator: Column) -> Column:
+def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
     """0 where the ratio is undefined."""
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
 
 
+def hit_counts(y: Column, p: Column) -> dict[str, Column]:
+    """True positives, false positives and false negatives of class 1, as aggregate columns."""
+    return {
+        "tp": F.count_if((y == 1) & (p == 1)),
+        "fp": F.count_if((y != 1) & (p == 1)),
+        "fn": F.count_if((y == 1) & (p != 1)),
+    }
+
+
+def rates_of_counts(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
+    return {
+        "precision": ratio_or_zero(tp, tp + fp),
+        "recall": ratio_or_zero(tp, tp + fn),
+        "f1": ratio_or_zero(2 * tp, 2 * tp + fp + fn),
+    }
+
+
+def r2_of_sums(n: Column, squares: Column, spread: Column) -> Column:
+    """1 - squares / spread; constant truth gives 1 if perfect, else 0; below two rows null."""
+    constant = F.when(squares == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    r2 = F.when(spread == 0, constant).otherwise(1 - F.try_divide(squares, spread))
+    return F.when(n >= 2, r2)
+
+
 def confusion(df: DataFrame, actual: str, predicted: str, num_classes: int = 2) -> DataFrame:
     """``actual, predicted, n``: all num_classes squared cells of the grid."""
     grouped = df.groupBy(F.col(actual).cast("int").alias("a"), F.col(predicted).cast("int").alias("p")).agg(
@@ -45,13 +69,7 @@ def confusion_array(grid: DataFrame, num_classes: int = 2) -> DataFrame:
 def binary_aggregates(actual: str, predicted: str) -> dict[str, Column]:
     """Accuracy, and precision, recall and F1 of class 1, as aggregate columns."""
     y, p = F.col(actual).cast("int"), F.col(predicted).cast("int")
-    tp, fp, fn = F.count_if((y == 1) & (p == 1)), F.count_if((y != 1) & (p == 1)), F.count_if((y == 1) & (p != 1))
-    return {
-        "accuracy": F.avg((y == p).cast("double")),
-        "precision": _ratio(tp, tp + fp),
-        "recall": _ratio(tp, tp + fn),
-        "f1": _ratio(2 * tp, 2 * tp + fp + fn),
-    }
+    return {"accuracy": F.avg((y == p).cast("double")), **rates_of_counts(*hit_counts(y, p).values())}
 
 
 def binary_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -62,8 +80,7 @@ def regression_aggregates(actual: str, predicted: str) -> dict[str, Column]:
     """MAE, MSE, RMSE and R2 as aggregate columns.
 
     The spread of the truth comes from the variance aggregate, which merges central moments, so one
-    pass is enough and nothing cancels. Constant truth gives R2 1 if perfect, else 0; fewer than two
-    rows give null.
+    pass is enough and nothing cancels.
     """
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     pair = y.isNotNull() & p.isNotNull()
@@ -71,10 +88,8 @@ def regression_aggregates(actual: str, predicted: str) -> dict[str, Column]:
     error = truth - p
     squares, n = F.sum(error * error), F.count(truth)
     spread = F.var_pop(truth) * n
-    constant = F.when(squares == 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    r2 = F.when(n < 2, F.lit(None).cast("double")).when(spread == 0, constant).otherwise(1 - F.try_divide(squares, spread))
     mse = F.avg(error * error)
-    return {"mae": F.avg(F.abs(error)), "mse": mse, "rmse": F.sqrt(mse), "r2": r2}
+    return {"mae": F.avg(F.abs(error)), "mse": mse, "rmse": F.sqrt(mse), "r2": r2_of_sums(n, squares, spread)}
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -104,20 +119,20 @@ def classification_report(grid: DataFrame, num_classes: int = 2) -> DataFrame:
             "c",
             "tp",
             "support",
-            _ratio(F.col("tp"), F.col("guessed")).alias("precision"),
-            _ratio(F.col("tp"), F.col("support")).alias("recall"),
-            _ratio(2 * F.col("tp"), F.col("guessed") + F.col("support")).alias("f1"),
+            ratio_or_zero(F.col("tp"), F.col("guessed")).alias("precision"),
+            ratio_or_zero(F.col("tp"), F.col("support")).alias("recall"),
+            ratio_or_zero(2 * F.col("tp"), F.col("guessed") + F.col("support")).alias("f1"),
         )
     )
     names = ("precision", "recall", "f1")
     total = F.sum("support")
-    accuracy = _ratio(F.sum("tp"), total)
+    accuracy = ratio_or_zero(F.sum("tp"), total)
 
     def line(label: str, values: list[Column]) -> Column:
         fields = [v.alias(n) for v, n in zip(values, names)]
         return F.struct(F.lit(label).alias("label"), *fields, total.alias("support"))
 
-    weighted = [_ratio(F.sum(F.col(n) * F.col("support")), total) for n in names]
+    weighted = [ratio_or_zero(F.sum(F.col(n) * F.col("support")), total) for n in names]
     summary = classes.agg(
         F.array(
             line("accuracy", [accuracy, accuracy, accuracy]),

@@ -8,7 +8,7 @@ slice) is carried in by a join.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -24,38 +24,45 @@ class Slicing:
     """Cut points of an order; values equal to a cut point open the slice to its right."""
 
     cuts: tuple[float, ...]
+    also: dict = field(default_factory=dict)
 
     @property
     def single(self) -> bool:
         return not self.cuts
 
 
-def _even_percentiles(df: DataFrame, order: str, slices: int) -> tuple[int, list[float]]:
+def _even_percentiles(
+    df: DataFrame, order: str, slices: int, also: dict[str, Column] | None = None
+) -> tuple[int, list[float], dict]:
     fractions = ", ".join(f"{i / slices!r}D" for i in range(1, slices))
     value = f"CAST(`{order}` AS DOUBLE)"
     row = df.agg(
         F.count(F.col(order)).alias("n"),
         F.expr(f"percentile_approx({value}, array({fractions}), {max(10_000, 10 * slices)})").alias("cuts"),
+        *[column.alias(f"also_{name}") for name, column in (also or {}).items()],
     ).first()
-    return row["n"], row["cuts"] or []
+    return row["n"], row["cuts"] or [], {name: row[f"also_{name}"] for name in also or {}}
 
 
-def plan_slices(df: DataFrame, order: str, rows_per_slice: int = ROWS_PER_SLICE) -> Slicing:
+def plan_slices(
+    df: DataFrame, order: str, rows_per_slice: int = ROWS_PER_SLICE, also: dict[str, Column] | None = None
+) -> Slicing:
     """Cut a numeric order column into slices of about ``rows_per_slice`` rows.
 
     One pass that returns one row: the percentile sketches are combined on the map side. Equal
     values stay together, so callers with repeated values group by value first. The cut points only
-    balance the work; results do not depend on how good they are.
+    balance the work; results do not depend on how good they are. ``also`` are aggregates the caller
+    wants from the same pass.
     """
-    n, cuts = _even_percentiles(df, order, _FIRST_LOOK)
+    n, cuts, extra = _even_percentiles(df, order, _FIRST_LOOK, also)
     wanted = -(-n // rows_per_slice)
     if wanted > _FIRST_LOOK:
-        _, cuts = _even_percentiles(df, order, min(wanted, MAX_SLICES))
+        _, cuts, _ = _even_percentiles(df, order, min(wanted, MAX_SLICES))
     else:
         step = _FIRST_LOOK / max(wanted, 1)
         cuts = [cuts[int(i * step) - 1] for i in range(1, wanted)]
     # NaN sorts last and has a slice of its own in assign_slices.
-    return Slicing(tuple(sorted({c for c in cuts if c == c})))
+    return Slicing(tuple(sorted({c for c in cuts if c == c})), extra)
 
 
 def assign_slices(df: DataFrame, order: str, slicing: Slicing, name: str = "slice") -> DataFrame:
