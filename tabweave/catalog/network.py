@@ -1 +1,384 @@
-"""..."""
+"""Scoring, losses, training, stopping and baselines."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabweave.catalog.preparation import KEY
+from tabweave.catalog.registry import query
+from tabweave.catalog.views import (
+    CATEGORICAL,
+    EPOCHS_SQL,
+    LOANS_SQL,
+    NUMERIC,
+    VECTORS_SQL,
+    epochs,
+    formula_params,
+    loans,
+    vectors,
+)
+from tabweave.functions.scores import regression_value
+from tabweave.operators.baselines import coefficient_table, fit_linear, fit_logistic
+from tabweave.operators.classes import class_weights, weight_list
+from tabweave.operators.encode import assemble
+from tabweave.operators.losses import batch_cross_entropy
+from tabweave.operators.network import MLPSpec, init_params
+from tabweave.operators.scoring import score_mlp, validate_epoch, with_predictions
+from tabweave.operators.stopping import early_stop
+from tabweave.operators.training import parameter_table, place_rows, train_epoch
+from tabweave.plans.fit import fit, load_best
+from tabweave.plans.prepare import prepare
+from tabweave.storage import scratch_path
+
+WIDTH = 64
+PLAIN = MLPSpec(WIDTH, 8, 2, "relu")
+DEEP = MLPSpec(WIDTH, [8, 4], 2, "leaky_relu", norm="layer")
+RUNNING = MLPSpec(WIDTH, 8, 2, "tanh", norm="batch")
+SINGLE = MLPSpec(WIDTH, [6, 3], 1, "tanh")
+WEIGHTS = [0.75, 1.5]
+
+
+def _linear_sql(rows: int, columns: int, source: str, first: bool) -> str:
+    weight = "((i * 31 + j * 17) % 11 - 5) / 10" if first else "((i * 7 + j * 5) % 9 - 4) / 10"
+    bias = "(i % 3 - 1) / 10" if first else "0"
+    return (
+        f"list_transform(range(0, {rows}), lambda i: {bias} + list_sum(list_transform(range(0, {columns}), "
+        f"lambda j: CAST({source}[j + 1] AS DOUBLE) * {weight})))"
+    )
+
+
+def mlp_sql(spec: MLPSpec) -> str:
+    """The forward pass with formula weights over ``vectors``, ending in a list column ``logits``."""
+    steps, source = [VECTORS_SQL], "vectors"
+    hidden = spec.hidden_sizes
+    x = "features"
+    for layer, (rows, columns) in enumerate(spec.linear_shapes):
+        last = layer == len(hidden)
+        z = "logits" if last else f"z{layer}"
+        steps.append(f"l{layer} AS (SELECT *, {_linear_sql(rows, columns, x, layer == 0)} AS {z} FROM {source})")
+        source = f"l{layer}"
+        if last:
+            break
+        if spec.norm == "layer":
+            steps.append(
+                f"m{layer} AS (SELECT *, list_avg({z}) AS mean{layer}, "
+                f"list_avg(list_transform({z}, lambda v: v * v)) - list_avg({z}) * list_avg({z}) AS var{layer} FROM {source})"
+            )
+            steps.append(
+                f"n{layer} AS (SELECT *, list_transform(range(0, {rows}), lambda i: ({z}[i + 1] - mean{layer}) "
+                f"/ sqrt(var{layer} + 1e-5) * (1 + (i % 4) / 8) + (i % 4) / 8) AS s{layer} FROM m{layer})"
+            )
+            source, z = f"n{layer}", f"s{layer}"
+        elif spec.norm == "batch":
+            steps.append(
+                f"n{layer} AS (SELECT *, list_transform(range(0, {rows}), lambda i: ({z}[i + 1] - 0.1 - (i % 4) / 8) "
+                f"/ sqrt(0.5 + (i % 4) / 8 + 1e-5) * (1 + (i % 4) / 8) + (i % 4) / 8) AS s{layer} FROM {source})"
+            )
+            source, z = f"n{layer}", f"s{layer}"
+        activation = {
+            "relu": "CASE WHEN v > 0 THEN v ELSE 0 END",
+            "leaky_relu": "CASE WHEN v > 0 THEN v ELSE 0.01 * v END",
+            "tanh": "(exp(2 * v) - 1) / (exp(2 * v) + 1)",
+        }[spec.activation]
+        steps.append(f"a{layer} AS (SELECT *, list_transform({z}, lambda v: {activation}) AS h{layer} FROM {source})")
+        source, x = f"a{layer}", f"h{layer}"
+    return ",\n".join(steps) + f",\nscored AS (SELECT vec_id, label, batch, logits FROM {source})"
+
+
+PAIR_SQL = "logits[1] AS l0, logits[2] AS l1"
+PROBABILITY = "exp(l1 - greatest(l0, l1)) / (exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1)))"
+NLL = "greatest(l0, l1) + ln(exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1))) - CASE WHEN label = 1 THEN l1 ELSE l0 END"
+WEIGHT_SQL = f"CASE WHEN label = 1 THEN {WEIGHTS[1]}::DOUBLE ELSE {WEIGHTS[0]}::DOUBLE END"
+LOGITS_SQL = "SELECT vec_id, round(logits[1], 6) AS logit_0, round(logits[2], 6) AS logit_1 FROM scored"
+
+
+def logit_columns(scored: DataFrame) -> DataFrame:
+    return scored.select(
+        "vec_id",
+        F.round(F.element_at("logits", 1), 6).alias("logit_0"),
+        F.round(F.element_at("logits", 2), 6).alias("logit_1"),
+    )
+
+
+def scored_vectors(spark: SparkSession, sf_dir: str, spec: MLPSpec = PLAIN) -> DataFrame:
+    return score_mlp(vectors(spark, sf_dir), formula_params(spec), spec)
+
+
+@query("m1_score_mlp", f"WITH {mlp_sql(PLAIN)} {LOGITS_SQL}")
+def m1_score_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logit_columns(scored_vectors(spark, sf_dir))
+
+
+@query("m1_score_layer_norm", f"WITH {mlp_sql(DEEP)} {LOGITS_SQL}")
+def m1_score_layer_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two hidden layers, leaky activation, layer norm."""
+    return logit_columns(scored_vectors(spark, sf_dir, DEEP))
+
+
+@query("m1_score_batch_norm", f"WITH {mlp_sql(RUNNING)} {LOGITS_SQL}")
+def m1_score_batch_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch norm with its running statistics, tanh."""
+    return logit_columns(scored_vectors(spark, sf_dir, RUNNING))
+
+
+@query(
+    "m2_m3_probability_and_class",
+    f"""WITH {mlp_sql(PLAIN)}, pair AS (SELECT vec_id, {PAIR_SQL} FROM scored)
+SELECT vec_id, round({PROBABILITY}, 6) AS p1, CASE WHEN l1 > l0 THEN 1 ELSE 0 END AS pred FROM pair""",
+)
+def m2_m3_probability_and_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    predicted = with_predictions(scored_vectors(spark, sf_dir))
+    return predicted.select("vec_id", F.round("p1", 6).alias("p1"), "pred")
+
+
+@query("m4_regression_value", f"WITH {mlp_sql(SINGLE)} SELECT vec_id, round(logits[1], 6) AS pred FROM scored")
+def m4_regression_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = scored_vectors(spark, sf_dir, SINGLE)
+    return scored.select("vec_id", F.round(regression_value(F.col("logits")), 6).alias("pred"))
+
+
+@query(
+    "m6_batch_cross_entropy",
+    f"""WITH {mlp_sql(PLAIN)}, pair AS (SELECT label, batch, {PAIR_SQL} FROM scored)
+SELECT batch, count(*) AS n, round(sum({WEIGHT_SQL} * ({NLL})) / sum({WEIGHT_SQL}), 6) AS loss FROM pair GROUP BY batch""",
+)
+def m6_batch_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    losses = batch_cross_entropy(scored_vectors(spark, sf_dir), "batch", "logits", "label", WEIGHTS)
+    return losses.withColumn("loss", F.round("loss", 6))
+
+
+@query(
+    "m10_validation_epoch",
+    f"""WITH {mlp_sql(PLAIN)}, pair AS (SELECT label, batch, {PAIR_SQL} FROM scored), judged AS (
+  SELECT *, CASE WHEN l1 > l0 THEN 1 ELSE 0 END AS pred, {WEIGHT_SQL} AS w, {NLL} AS nll FROM pair
+), batches AS (SELECT sum(w * nll) / sum(w) AS loss FROM judged GROUP BY batch), counts AS (
+  SELECT count(*) FILTER (WHERE label = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE label = 0 AND pred = 1) AS fp,
+         count(*) FILTER (WHERE label = 1 AND pred = 0) AS fn FROM judged
+)
+SELECT (SELECT round(avg(loss), 6) FROM batches) AS loss, coalesce(round(tp / nullif(tp + fp, 0), 6), 0) AS precision,
+       coalesce(round(tp / nullif(tp + fn, 0), 6), 0) AS recall,
+       coalesce(round(2 * tp / nullif(2 * tp + fp + fn, 0), 6), 0) AS f1
+FROM counts""",
+)
+def m10_validation_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validate_epoch(vectors(spark, sf_dir), formula_params(PLAIN), PLAIN, weights=WEIGHTS)
+    return checked.select(*[F.round(c, 6).alias(c) for c in checked.columns])
+
+
+@query(
+    "m10_validation_regression",
+    f"""WITH {mlp_sql(SINGLE)}, judged AS (SELECT batch, label - logits[1] AS e, label FROM scored),
+batches AS (SELECT avg(e * e) AS loss FROM judged GROUP BY batch)
+SELECT (SELECT round(avg(loss), 6) FROM batches) AS loss, round(avg(abs(e)), 6) AS mae, round(avg(e * e), 6) AS mse,
+       round(sqrt(avg(e * e)), 6) AS rmse, round(1 - sum(e * e) / sum((label - mean) * (label - mean)), 6) AS r2
+FROM judged, (SELECT avg(label) AS mean FROM judged)""",
+)
+def m10_validation_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validate_epoch(vectors(spark, sf_dir), formula_params(SINGLE), SINGLE, "regression")
+    return checked.select(*[F.round(c, 6).alias(c) for c in checked.columns])
+
+
+def bucket_count(rows: int, rows_per_bucket: int = 250_000, least: int = 4) -> int:
+    """Parallel buckets of a training run; they grow with the data."""
+    return max(least, math.ceil(rows / rows_per_bucket))
+
+
+LOGISTIC = MLPSpec(WIDTH, [], 2)
+STEP_SIZE, BATCH_SIZE = 0.5, 32
+
+# A network without hidden layers is trained for one epoch: per bucket the mini-batches are walked
+# through in order, each step moving the weights (two rows of 64) and the two biases.
+TRAIN_SQL = f"""WITH RECURSIVE {VECTORS_SQL}, keyed AS (
+  SELECT *, md5('42:' || CAST(vec_id AS VARCHAR)) AS place, md5('42:1:' || CAST(vec_id AS VARCHAR)) AS turn,
+         (SELECT greatest(4, CAST(ceil(count(*) / 250000) AS BIGINT)) FROM vectors) AS buckets
+  FROM vectors
+), bucketed AS (
+  SELECT *, CAST('0x' || substr(place, 1, 15) AS BIGINT) % buckets AS bucket FROM keyed
+), numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY bucket ORDER BY turn) - 1) // {BATCH_SIZE} AS step FROM bucketed
+), batches AS (
+  SELECT bucket, step, list(features ORDER BY turn) AS xs, list(label ORDER BY turn) AS ys,
+         list(CASE WHEN label = 1 THEN {WEIGHTS[1]}::DOUBLE ELSE {WEIGHTS[0]}::DOUBLE END ORDER BY turn) AS ws,
+         count(*) AS n
+  FROM numbered GROUP BY bucket, step
+), start AS (
+  SELECT list_transform(range(0, {2 * WIDTH}), lambda k: CAST((((k // {WIDTH}) * 31 + (k % {WIDTH}) * 17) % 11 - 5) / 10 AS DOUBLE)) AS w,
+         list_transform(range(0, 2), lambda i: CAST((i % 3 - 1) / 10 AS DOUBLE)) AS b
+), walk AS (
+  SELECT bucket, CAST(-1 AS BIGINT) AS step, w, b, CAST(0 AS DOUBLE) AS loss, CAST(0 AS DOUBLE) AS norm
+  FROM (SELECT DISTINCT bucket FROM batches), start
+  UNION ALL
+  SELECT bucket, step,
+         list_transform(range(0, {2 * WIDTH}), lambda k: w[k + 1] - {STEP_SIZE} * (2 * (k // {WIDTH}) - 1) * gw[k % {WIDTH} + 1]) AS w,
+         list_transform(range(0, 2), lambda i: b[i + 1] - {STEP_SIZE} * (2 * i - 1) * gb) AS b, loss,
+         sqrt(2 * gb * gb + 2 * list_sum(list_transform(gw, lambda g: g * g))) AS norm
+  FROM (
+    SELECT bucket, step, w, b, list_sum(ds) AS gb,
+           list_transform(range(1, {WIDTH + 1}), lambda m: list_sum(list_transform(range(1, n + 1), lambda r: ds[r] * xs[r][m]))) AS gw,
+           list_sum(list_transform(range(1, n + 1), lambda r: ws[r] * -ln(CASE WHEN ys[r] = 1 THEN ps[r] ELSE 1 - ps[r] END))) / list_sum(ws) AS loss
+    FROM (
+      SELECT *, list_transform(range(1, n + 1), lambda r: ws[r] * (ps[r] - ys[r]) / list_sum(ws)) AS ds
+      FROM (
+        SELECT batches.*, walk.w, walk.b, list_transform(xs, lambda x: 1 / (1 + exp(
+                 walk.b[1] - walk.b[2] + list_sum(list_transform(range(1, {WIDTH + 1}), lambda m: (walk.w[m] - walk.w[m + {WIDTH}]) * x[m])))) ) AS ps
+        FROM walk JOIN batches ON batches.bucket = walk.bucket AND batches.step = walk.step + 1
+      )
+    )
+  )
+), ends AS (
+  SELECT walk.bucket, w, b, rows FROM walk
+  JOIN (SELECT bucket, max(step) AS step, CAST(sum(n) AS BIGINT) AS rows FROM batches GROUP BY bucket) AS l
+    ON walk.bucket = l.bucket AND walk.step = l.step
+)"""
+TRAINED_SQL = f"""{TRAIN_SQL}, weights AS (
+  SELECT 'weight' AS kind, k AS position, sum(w[k + 1] * rows) / sum(rows) AS value FROM ends, range(0, {2 * WIDTH}) AS s(k) GROUP BY k
+  UNION ALL
+  SELECT 'bias', k, sum(b[k + 1] * rows) / sum(rows) FROM ends, range(0, 2) AS s(k) GROUP BY k
+)
+SELECT kind, CAST(position AS INT) AS position, round(value, 6) AS value FROM weights"""
+
+
+def logistic_epoch(spark: SparkSession, sf_dir: str):
+    rows = vectors(spark, sf_dir).select("vec_id", "features", "label")
+    data = place_rows(rows, bucket_count(rows.count()), key="vec_id")
+    return train_epoch(
+        data, formula_params(LOGISTIC), LOGISTIC, lr=STEP_SIZE, batch_size=BATCH_SIZE, weights=WEIGHTS
+    )
+
+
+@query("m9_train_epoch", TRAINED_SQL)
+def m9_train_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights after one epoch in parallel buckets, averaged."""
+    params, _ = logistic_epoch(spark, sf_dir)
+    return parameter_table(spark, params, LOGISTIC).select(
+        "kind", F.posexplode("values").alias("position", "value")
+    ).withColumn("value", F.round("value", 6))
+
+
+@query(
+    "m8_gradient_norm",
+    f"""{TRAIN_SQL}
+SELECT round(avg(loss), 6) AS loss, round(avg(norm), 6) AS grad_norm FROM walk WHERE step >= 0""",
+)
+def m8_gradient_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean batch loss and mean gradient norm of the same epoch."""
+    _, metrics = logistic_epoch(spark, sf_dir)
+    return spark.createDataFrame([(metrics["loss"], metrics["grad_norm"])], "loss double, grad_norm double").select(
+        *[F.round(c, 6).alias(c) for c in ("loss", "grad_norm")]
+    )
+
+
+@query("m9_fit_network")
+def m9_fit_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared loans, a small network with layer norm and dropout, early stopping: losses per epoch."""
+    ready = prepare(loans(spark, sf_dir), NUMERIC, CATEGORICAL, key=KEY)
+    train = assemble(ready.part("train"), keep=["order_key"])
+    batch = F.conv(F.substring("order_key", 1, 2), 16, 10).cast("int").alias("batch")
+    validation = assemble(ready.part("val"), keep=["order_key"]).select(batch, "features", "label")
+    rows = ready.sizes().filter("split = 'train'").first()
+    spec = MLPSpec(rows["width"] - 3, [8], 2, "relu", 0.1, "layer")
+    weights = weight_list(class_weights(ready.part("train"), "classification_target"))
+    data = place_rows(train, bucket_count(rows["rows"]))
+    result = fit(data, validation, init_params(spec), spec, epochs=3, lr=0.05, weights=weights, patience=2)
+    return result.epochs(spark, "loans")
+
+
+@query("m11_initial_weights")
+def m11_initial_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start weights for a network as wide as the embeddings are."""
+    width = vectors(spark, sf_dir).agg(F.max(F.size("features"))).first()[0]
+    spec = MLPSpec(width, [8], 2)
+    return parameter_table(spark, init_params(spec, "kaiming_uniform"), spec)
+
+
+def stop_sql(patience: int, min_delta: float) -> str:
+    better = f"(best IS NULL OR NOT (e.val_loss > best - {min_delta}::DOUBLE))"
+    return f"""WITH RECURSIVE {EPOCHS_SQL}, walk AS (
+  SELECT run_id, 0 AS epoch, CAST(NULL AS INT) AS best_epoch, CAST(NULL AS DOUBLE) AS best, 0 AS waited
+  FROM (SELECT DISTINCT run_id FROM epochs)
+  UNION ALL
+  SELECT w.run_id, e.epoch, CASE WHEN {better} THEN e.epoch ELSE best_epoch END,
+         CASE WHEN {better} THEN e.val_loss ELSE best END, CASE WHEN {better} THEN 0 ELSE waited + 1 END
+  FROM walk AS w JOIN epochs AS e ON e.run_id = w.run_id AND e.epoch = w.epoch + 1
+  WHERE waited < {patience}
+), ends AS (SELECT run_id, max(epoch) AS epoch FROM walk GROUP BY run_id)
+SELECT w.run_id, CASE WHEN waited >= {patience} THEN w.epoch END AS stop_epoch, best_epoch, best AS best_loss
+FROM walk AS w JOIN ends USING (run_id, epoch)"""
+
+
+@query("m12_early_stop", stop_sql(5, 0.0))
+def m12_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return early_stop(epochs(spark, sf_dir))
+
+
+@query("m12_early_stop_margin", stop_sql(12, 2.5))
+def m12_early_stop_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return early_stop(epochs(spark, sf_dir), patience=12, min_delta=2.5)
+
+
+@query("m13_best_weights")
+def m13_best_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train on the embeddings, keep the best epoch's parameters, read them back."""
+    data = vectors(spark, sf_dir)
+    train = place_rows(data, bucket_count(data.count()), key="vec_id")
+    spec = MLPSpec(WIDTH, [8], 2, dropout_rate=0.0)
+    path = scratch_path(spark, "best-weights")
+    result = fit(train, data, init_params(spec), spec, epochs=2, lr=0.1, best_path=path)
+    return parameter_table(spark, load_best(spark, path, result.best_epoch), spec)
+
+
+def baseline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan amount (in 100,000) and income (in 1,000, 0 if unknown) as features."""
+    features = F.array(F.col("loan_amnt") / 100_000, F.coalesce("annual_inc", F.lit(0.0)) / 1_000)
+    return loans(spark, sf_dir).select(features.alias("features"), "int_rate", "loan_status")
+
+
+BASELINE_SQL = f"""{LOANS_SQL}, points AS (
+  SELECT loan_amnt / 100000 AS a, coalesce(annual_inc, 0) / 1000 AS b, int_rate AS y,
+         CASE WHEN loan_status = 'Fully Paid' THEN 0 ELSE 1 END AS c
+  FROM loans
+)"""
+
+
+@query(
+    "m14_linear_baseline",
+    f"""WITH {BASELINE_SQL}, m AS (
+  SELECT avg(a) AS a, avg(b) AS b, avg(y) AS y, covar_pop(a, a) AS aa, covar_pop(a, b) AS ab, covar_pop(b, b) AS bb,
+         covar_pop(a, y) AS ay, covar_pop(b, y) AS "by"
+  FROM points
+), solved AS (
+  SELECT *, (ay * bb - "by" * ab) / (aa * bb - ab * ab) AS wa, ("by" * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM m
+)
+SELECT 'intercept' AS term, round(y - wa * a - wb * b, 5) AS value FROM solved
+UNION ALL SELECT 'amount', round(wa, 5) FROM solved UNION ALL SELECT 'income', round(wb, 5) FROM solved""",
+)
+def m14_linear_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = fit_linear(baseline_rows(spark, sf_dir).withColumn("label", F.col("int_rate")))
+    rows = coefficient_table(model, ["amount", "income"])
+    return spark.createDataFrame(rows, "term string, value double").withColumn("value", F.round("value", 5))
+
+
+@query(
+    "m14_logistic_baseline",
+    f"""WITH RECURSIVE {BASELINE_SQL}, newton AS (
+  SELECT 0 AS step, CAST(0 AS DOUBLE) AS w0, CAST(0 AS DOUBLE) AS w1
+  UNION ALL
+  SELECT step + 1, w0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), w1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  FROM (
+    SELECT step, w0, w1, sum(c - p) AS g0, sum((c - p) * a) AS g1, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * a) AS h01,
+           sum(p * (1 - p) * a * a) AS h11
+    FROM (SELECT step, w0, w1, a, c, 1 / (1 + exp(-(w0 + w1 * a))) AS p FROM newton, points WHERE step < 8)
+    GROUP BY step, w0, w1
+  )
+)
+SELECT 'intercept' AS term, round(w0, 4) AS value FROM newton WHERE step = 8
+UNION ALL SELECT 'amount', round(w1, 4) FROM newton WHERE step = 8""",
+)
+def m14_logistic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("loan_status") == "Fully Paid", 0).otherwise(1)
+    rows = baseline_rows(spark, sf_dir).select(F.slice("features", 1, 1).alias("features"), label.alias("label"))
+    coefficients = coefficient_table(fit_logistic(rows), ["amount"])
+    return spark.createDataFrame(coefficients, "term string, value double").withColumn("value", F.round("value", 4))
