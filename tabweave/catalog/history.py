@@ -1 +1,311 @@
-"""..."""
+"""Run history, epoch history, report tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabweave.catalog.registry import query
+from tabweave.catalog.views import EPOCHS_SQL, ITEM_SQL, RUNS_SQL, epochs, item_scores, runs
+from tabweave.functions.scores import decide
+from tabweave.operators.metrics import binary_aggregates
+from tabweave.operators.runs import (
+    TABLE_METRICS,
+    comparison,
+    evolution,
+    latest_run_per_model,
+    loss_series,
+    runs_for_model,
+    verdict,
+)
+from tabweave.plans.report import comparison_text, evolution_text, report
+from tabweave.sources.history import append_epochs, append_runs, load_epochs, load_history, write_json
+from tabweave.storage import scratch_path
+
+METRICS = ("accuracy", "precision", "recall", "f1", "mae", "mse", "rmse", "r2")
+METRIC_LIST = ", ".join(METRICS)
+
+
+def flat(records: DataFrame) -> DataFrame:
+    return records.select(
+        "timestamp", "task", "model_name", "notes", *[F.col(f"metrics.{m}").alias(m) for m in METRICS], "seq"
+    )
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run view through the append-only history, written in two appends."""
+    path = scratch_path(spark, "history")
+    records = runs(spark, sf_dir)
+    append_runs(records.filter("task = 'classification'"), path)
+    append_runs(records.filter("task = 'regression'"), path)
+    return load_history(spark, path)
+
+
+@query("s2_s3_run_history", f"WITH {RUNS_SQL} SELECT timestamp, task, model_name, notes, {METRIC_LIST}, seq FROM runs")
+def s2_s3_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(stored(spark, sf_dir))
+
+
+@query(
+    "s3_broken_records",
+    f"WITH {RUNS_SQL} SELECT timestamp, task, model_name, notes, {METRIC_LIST}, seq FROM runs WHERE model_name IS DISTINCT FROM 'm4'",
+)
+def s3_broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that are no JSON are left out on loading; here those of one model lose their braces."""
+    path = scratch_path(spark, "broken-history")
+    text = F.to_json(F.struct(*[F.col(c) for c in runs(spark, sf_dir).columns]))
+    damaged = F.when(F.col("model_name") == "m4", F.translate(text, "{}", "")).otherwise(text)
+    runs(spark, sf_dir).select(damaged.alias("value")).write.text(path)
+    return flat(load_history(spark, path))
+
+
+@query(
+    "s4_json_result",
+    f"""WITH {ITEM_SQL}
+SELECT y, count(*) AS n, round(avg(p1), 6) AS mean FROM scores GROUP BY y""",
+)
+def s4_json_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result written twice to one place and read back."""
+    path = scratch_path(spark, "result")
+    result = item_scores(spark, sf_dir).groupBy("y").agg(F.count("*").alias("n"), F.round(F.avg("p1"), 6).alias("mean"))
+    write_json(item_scores(spark, sf_dir).groupBy("y").agg(F.count("*").alias("n")), path)
+    write_json(result, path)
+    return spark.read.schema("y int, n bigint, mean double").json(path)
+
+
+@query(
+    "s5_epoch_history",
+    f"WITH {EPOCHS_SQL} SELECT run_id, epoch, round(train_loss, 6) AS train_loss, val_loss FROM epochs",
+)
+def s5_epoch_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "epochs")
+    append_epochs(epochs(spark, sf_dir), path)
+    return load_epochs(spark, path).withColumn("train_loss", F.round("train_loss", 6))
+
+
+LATEST_SQL = f"""{RUNS_SQL}, named AS (
+  SELECT * REPLACE (coalesce(model_name, 'desconhecido') AS model_name) FROM runs
+), newest AS (
+  SELECT task, model_name, max(seq) AS seq FROM named GROUP BY task, model_name
+), latest AS (
+  SELECT named.* FROM named JOIN newest ON named.task = newest.task AND named.model_name = newest.model_name AND named.seq = newest.seq
+)"""
+
+
+@query(
+    "h1_latest_runs",
+    f"""WITH {LATEST_SQL}
+SELECT timestamp, task, model_name, notes, {METRIC_LIST}, seq FROM latest WHERE task = 'classification'""",
+)
+def h1_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(latest_run_per_model(runs(spark, sf_dir), "classification"))
+
+
+@query(
+    "h2_runs_of_model",
+    f"""WITH {RUNS_SQL} SELECT timestamp, task, model_name, notes, {METRIC_LIST}, seq FROM runs
+WHERE task = 'regression' AND model_name = 'm3' ORDER BY seq""",
+)
+def h2_runs_of_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(runs_for_model(runs(spark, sf_dir), "regression", "m3"))
+
+
+EXPECTED = {
+    "classification": [("Baseline", "baseline_logistic_regression"), ("MLP", "mlp"), ("Never run", "m9")],
+    "regression": [("Baseline", "baseline_linear_regression"), ("MLP", "mlp"), ("Never run", "m9")],
+}
+
+
+def comparison_sql(task: str) -> str:
+    expected = ", ".join(f"('{d}', '{m}')" for d, m in EXPECTED[task])
+    metrics = ", ".join(TABLE_METRICS[task])
+    return f"""WITH {LATEST_SQL}, expected(display_name, model_name) AS (VALUES {expected}), compared AS (
+  SELECT display_name, expected.model_name, {metrics}, replace(substr(timestamp, 1, 19), 'T', ' ') AS logged_at,
+         latest.seq IS NOT NULL AS available
+  FROM expected LEFT JOIN latest ON latest.model_name = expected.model_name AND latest.task = '{task}'
+)"""
+
+
+@query("h3_comparison_classification", comparison_sql("classification") + " SELECT * FROM compared")
+def h3_comparison_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparison(runs(spark, sf_dir), "classification", EXPECTED["classification"])
+
+
+@query("h3_comparison_regression", comparison_sql("regression") + " SELECT * FROM compared")
+def h3_comparison_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparison(runs(spark, sf_dir), "regression", EXPECTED["regression"])
+
+
+def evolution_sql(task: str, metric: str, where: str) -> str:
+    return f"""WITH {RUNS_SQL}, mine AS (
+  SELECT coalesce(model_name, 'desconhecido') AS model_name, timestamp, notes, {metric} AS value, seq
+  FROM runs WHERE task = '{task}'
+), numbered AS (
+  SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY model_name) AS times,
+         last_value(value IGNORE NULLS) OVER (PARTITION BY model_name ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous
+  FROM mine WHERE {where} WINDOW w AS (PARTITION BY model_name ORDER BY seq)
+), changed AS (
+  SELECT model_name, CAST(n AS INT) AS n, replace(substr(timestamp, 1, 19), 'T', ' ') AS logged_at, value,
+         value - previous AS delta, notes
+  FROM numbered WHERE times >= 2
+)"""
+
+
+DIRECTION_SQL = "CASE WHEN delta > 0 THEN 'up' WHEN delta < 0 THEN 'down' WHEN delta = 0 THEN 'flat' END AS direction"
+
+
+@query(
+    "h4_evolution_of_model",
+    evolution_sql("classification", "recall", "model_name = 'mlp'")
+    + f" SELECT model_name, n, logged_at, value, round(delta, 6) AS delta, {DIRECTION_SQL}, notes FROM changed",
+)
+def h4_evolution_of_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = evolution(runs(spark, sf_dir), "classification", "mlp", rows_per_slice=100)
+    return table.withColumn("delta", F.round("delta", 6))
+
+
+@query(
+    "h4_evolution_of_all",
+    evolution_sql("regression", "rmse", "true")
+    + f" SELECT model_name, n, logged_at, value, round(delta, 6) AS delta, {DIRECTION_SQL}, notes FROM changed",
+)
+def h4_evolution_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model at once, numbered over several slices."""
+    table = evolution(runs(spark, sf_dir), "regression", rows_per_slice=500)
+    return table.withColumn("delta", F.round("delta", 6))
+
+
+def verdict_sql(task: str, metric: str, baseline: str, model: str, better: str, worse: str, extra: str = "") -> str:
+    def of(name: str, field: str) -> str:
+        return f"(SELECT {field} FROM latest WHERE task = '{task}' AND model_name = '{name}')"
+
+    return f"""WITH {LATEST_SQL}, pair AS (
+  SELECT {of(baseline, 'count(*)')} AS has_b, {of(model, 'count(*)')} AS has_m, {of(baseline, metric)} AS b, {of(model, metric)} AS m,
+         {of(baseline, 'f1')} AS bf, {of(model, 'f1')} AS mf
+)
+SELECT '{task}' AS task,
+       CASE WHEN has_b = 0 OR has_m = 0 THEN 'missing_runs' WHEN b IS NULL OR m IS NULL THEN 'missing_metric'
+            WHEN {better} THEN 'better' WHEN {worse} THEN 'worse' ELSE 'equal' END AS verdict,
+       concat_ws(',', CASE WHEN has_b = 0 THEN '{baseline}' END, CASE WHEN has_m = 0 THEN '{model}' END) AS missing,
+       b AS baseline_value, m AS model_value, round(m - b, 6) AS difference{extra}
+FROM pair"""
+
+
+RECALL_RULE = ("m - b > 1e-9", "m - b < -1e-9")
+RMSE_RULE = ("m < b", "m > b")
+
+
+@query(
+    "h5_classification_verdict",
+    verdict_sql(
+        "classification", "recall", "baseline_logistic_regression", "mlp", *RECALL_RULE,
+        ", bf AS baseline_f1, mf AS model_f1",
+    ),
+)
+def h5_classification_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdict(runs(spark, sf_dir), "classification").withColumn("difference", F.round("difference", 6))
+
+
+@query("h6_regression_verdict", verdict_sql("regression", "rmse", "baseline_linear_regression", "mlp", *RMSE_RULE))
+def h6_regression_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdict(runs(spark, sf_dir), "regression").withColumn("difference", F.round("difference", 6))
+
+
+@query("h6_verdict_without_runs", verdict_sql("regression", "rmse", "m2", "m9", *RMSE_RULE))
+def h6_verdict_without_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The named model never ran."""
+    table = verdict(runs(spark, sf_dir), "regression", "m2", "m9")
+    return table.withColumn("difference", F.round("difference", 6))
+
+
+def text_sql(column: str, digits: int = 4) -> str:
+    return f"coalesce(printf('%.{digits}f', {column}), 'N/D')"
+
+
+@query(
+    "h7_comparison_text",
+    comparison_sql("regression")
+    + f""" SELECT display_name, {text_sql('mae', 6)} AS mae, {text_sql('mse', 6)} AS mse, {text_sql('rmse', 6)} AS rmse,
+       {text_sql('r2')} AS r2, CASE WHEN available THEN logged_at ELSE 'sem execução registrada' END AS logged_at
+FROM compared""",
+)
+def h7_comparison_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparison_text(comparison(runs(spark, sf_dir), "regression", EXPECTED["regression"]), "regression")
+
+
+@query(
+    "h7_evolution_text",
+    evolution_sql("regression", "rmse", "true")
+    + f""" SELECT model_name, CAST(n AS VARCHAR) AS n, logged_at, {text_sql('value', 6)} AS rmse,
+       CASE WHEN delta IS NULL THEN '-'
+            ELSE CASE WHEN delta > 0 THEN '▲' WHEN delta < 0 THEN '▼' ELSE '→' END || ' ' || printf('%+.6f', delta) END AS delta,
+       coalesce(nullif(notes, ''), '-') AS notes
+FROM changed""",
+)
+def h7_evolution_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evolution_text(evolution(runs(spark, sf_dir), "regression"), "regression")
+
+
+@query(
+    "h8_loss_series",
+    f"""WITH {EPOCHS_SQL}
+SELECT run_id, epoch, 'train' AS series, round(train_loss, 6) AS loss FROM epochs
+UNION ALL SELECT run_id, epoch, 'val', round(val_loss, 6) FROM epochs""",
+)
+def h8_loss_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loss_series(epochs(spark, sf_dir)).withColumn("loss", F.round("loss", 6))
+
+
+@query(
+    "h9_report",
+    f"""WITH {RUNS_SQL}, {EPOCHS_SQL}
+SELECT 'runs' AS name, count(DISTINCT task) AS rows FROM runs
+UNION ALL SELECT 'classification_comparison', 2
+UNION ALL SELECT 'classification_evolution', count(*) FROM runs WHERE task = 'classification' AND model_name = 'mlp'
+UNION ALL SELECT 'classification_verdict', 1
+UNION ALL SELECT 'regression_comparison', 2
+UNION ALL SELECT 'regression_evolution', count(*) FROM runs WHERE task = 'regression' AND model_name = 'mlp'
+UNION ALL SELECT 'regression_verdict', 1
+UNION ALL SELECT 'loss_curves', 2 * count(*) FROM epochs""",
+)
+def h9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report from a stored history: rows in each table it wrote."""
+    out = scratch_path(spark, "report")
+    names = report(stored(spark, sf_dir), epochs(spark, sf_dir), out)
+    sizes = None
+    for name in names:
+        table = spark.read.text(f"{out}/{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
+        sizes = table if sizes is None else sizes.unionByName(table)
+    return sizes
+
+
+@query(
+    "evaluated_runs",
+    f"""WITH {ITEM_SQL}, cut AS (SELECT CAST(c / 10 AS DOUBLE) AS threshold FROM range(1, 10) AS s(c)), decided AS (
+  SELECT threshold, y, CAST(p1 >= threshold AS INT) AS pred FROM scores CROSS JOIN cut
+), counts AS (
+  SELECT threshold, count(*) AS n, count(*) FILTER (WHERE y = pred) AS hits, count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp,
+         count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp, count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn
+  FROM decided GROUP BY threshold
+)
+SELECT threshold, round(hits / n, 6) AS accuracy, coalesce(round(tp / nullif(tp + fp, 0), 6), 0) AS precision,
+       coalesce(round(tp / nullif(tp + fn, 0), 6), 0) AS recall, coalesce(round(2 * tp / nullif(2 * tp + fp + fn, 0), 6), 0) AS f1
+FROM counts""",
+)
+def evaluated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics at several cutoffs from one pass over the scores."""
+    cutoffs = [c / 10 for c in range(1, 10)]
+    decided = item_scores(spark, sf_dir).select(
+        "y", *[decide(F.col("p1"), c).alias(f"pred_{i}") for i, c in enumerate(cutoffs)]
+    )
+    lines = decided.agg(
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("threshold"), *[m.alias(n) for n, m in binary_aggregates("y", f"pred_{i}").items()])
+                for i, c in enumerate(cutoffs)
+            ]
+        ).alias("lines")
+    )
+    return lines.select(F.explode("lines").alias("l")).select(
+        "l.threshold", *[F.round(f"l.{m}", 6).alias(m) for m in ("accuracy", "precision", "recall", "f1")]
+    )

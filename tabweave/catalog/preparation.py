@@ -10,7 +10,6 @@ from tabweave.catalog.views import CATEGORICAL, CLEAN_SQL, LOANS_SQL, NUMERIC, l
 from tabweave.operators.classes import class_counts, class_weights
 from tabweave.operators.encode import (
     assemble,
-    feature_columns,
     fill_categories,
     fit_vocabulary,
     keep_members,
@@ -18,6 +17,8 @@ from tabweave.operators.encode import (
     one_hot,
     project,
 )
+from tabweave.operators.order_statistics import exact_medians
+from tabweave.operators.ordered import Running, assign_slices, plan_slices, running
 from tabweave.operators.scaling import fit_scaling, impute, scaling_table, standardize
 from tabweave.operators.shuffle_split import seeded_shuffle, three_way_split
 from tabweave.plans.prepare import clean, prepare
@@ -59,13 +60,13 @@ def prepared(spark: SparkSession, sf_dir: str):
 @query(
     "s1_csv_scan",
     f"""WITH {LOANS_SQL}
-SELECT loan_id, CASE WHEN loan_id % 5 = 0 THEN NULL ELSE loan_amnt END AS loan_amnt, annual_inc, purpose, int_rate
+SELECT loan_id, CASE WHEN grade = '5-LOW' THEN NULL ELSE loan_amnt END AS loan_amnt, annual_inc, purpose, int_rate
 FROM loans""",
 )
 def s1_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loan view through a CSV with an unused column and damaged cells."""
     path = scratch_path(spark, "loans-csv")
-    damaged = F.when(F.col("loan_id") % 5 == 0, "oops").otherwise(F.concat(F.lit(" "), F.col("loan_amnt")))
+    damaged = F.when(F.col("grade") == "5-LOW", "oops").otherwise(F.concat(F.lit(" "), F.col("loan_amnt")))
     loans(spark, sf_dir).select(
         F.lit("a,b").alias("unused"), "purpose", damaged.alias("loan_amnt"), "int_rate", "annual_inc", "loan_id"
     ).write.csv(path, header=True, ignoreLeadingWhiteSpace=False)
@@ -191,8 +192,6 @@ FROM orders WINDOW w AS (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AN
 )
 def x3_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Global running sum, maximum and position in key order."""
-    from tabweave.operators.ordered import Running, assign_slices, plan_slices, running
-
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
     slicing = plan_slices(orders, "o_orderkey", rows_per_slice=5_000)
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
@@ -236,8 +235,6 @@ def a1_exact_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_returnflag", "l_extendedprice", "l_quantity", "l_discount"
     )
-    from tabweave.operators.order_statistics import exact_medians
-
     measures = {"price_median": "l_extendedprice", "quantity_median": "l_quantity", "discount_median": "l_discount"}
     flags = [r[0] for r in items.select("l_returnflag").distinct().collect()]
     wide = items.select(
@@ -342,6 +339,3 @@ def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.round(F.avg("annual_inc"), 6) + 0.0).alias("income_mean"),
         )
     )
-
-
-__all__ = ["cleaned", "divided", "feature_columns", "prepared"]

@@ -125,7 +125,7 @@ PAIRS_SQL = """pairs AS (
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run records of both tasks: baselines, network, other models and runs without a model name."""
-    metric = F.when((F.col("event_type") != "error") & (F.col("event_id") % 7 != 3), F.round(F.col("value") / 500, 4))
+    cents = F.when((F.col("event_type") != "error") & (F.col("value") >= 1), F.round(F.col("value") * 100).cast("bigint"))
     classification = F.col("event_type").isin("view", "click")
     kind = F.col("user_id") % 6
     name = (
@@ -140,7 +140,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (
         table(spark, sf_dir, "events")
-        .withColumn("m", metric)
+        .withColumn("m", cents)
         .select(
             F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("timestamp"),
             F.when(classification, "classification").otherwise("regression").alias("task"),
@@ -149,14 +149,14 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(
                 F.when(classification, "classification").otherwise("regression").alias("mode"),
                 of(classification, F.lit(0.5)).alias("threshold"),
-                of(classification, F.col("m")).alias("accuracy"),
-                of(classification, F.round(F.col("m") * 0.5, 4)).alias("precision"),
-                of(classification, F.round(F.col("m") * 0.25, 4)).alias("recall"),
-                of(classification, F.round(F.col("m") * 0.125, 4)).alias("f1"),
-                of(~classification, F.col("m")).alias("mae"),
-                of(~classification, F.round(F.col("m") * 4, 4)).alias("mse"),
-                of(~classification, F.round(F.col("m") * 2, 4)).alias("rmse"),
-                of(~classification, F.round(1 - F.col("m"), 4)).alias("r2"),
+                of(classification, F.col("m") / 50_000).alias("accuracy"),
+                of(classification, F.col("m") / 100_000).alias("precision"),
+                of(classification, F.col("m") / 200_000).alias("recall"),
+                of(classification, F.col("m") / 400_000).alias("f1"),
+                of(~classification, F.col("m") / 50_000).alias("mae"),
+                of(~classification, F.col("m") / 12_500).alias("mse"),
+                of(~classification, F.col("m") / 25_000).alias("rmse"),
+                of(~classification, (50_000 - F.col("m")) / 50_000).alias("r2"),
                 F.lit(None).cast("array<array<bigint>>").alias("confusion_matrix"),
             ).alias("metrics"),
             F.col("event_id").alias("seq"),
@@ -167,7 +167,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RUNS_SQL = """marked AS (
   SELECT *, event_type IN ('view', 'click') AS c, user_id % 6 AS kind,
-         CASE WHEN event_type <> 'error' AND event_id % 7 <> 3 THEN round(value / 500, 4) END AS m
+         CASE WHEN event_type <> 'error' AND value >= 1 THEN CAST(round(value * 100) AS BIGINT) END AS m
   FROM events
 ), runs AS (
   SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
@@ -177,14 +177,14 @@ RUNS_SQL = """marked AS (
               WHEN kind = 1 THEN 'mlp'
               WHEN kind < 5 THEN 'm' || CAST(kind AS VARCHAR) END AS model_name,
          props AS notes,
-         CASE WHEN c THEN m END AS accuracy,
-         CASE WHEN c THEN round(m * 0.5::DOUBLE, 4) END AS precision,
-         CASE WHEN c THEN round(m * 0.25::DOUBLE, 4) END AS recall,
-         CASE WHEN c THEN round(m * 0.125::DOUBLE, 4) END AS f1,
-         CASE WHEN NOT c THEN m END AS mae,
-         CASE WHEN NOT c THEN round(m * 4, 4) END AS mse,
-         CASE WHEN NOT c THEN round(m * 2, 4) END AS rmse,
-         CASE WHEN NOT c THEN round(1 - m, 4) END AS r2,
+         CASE WHEN c THEN m / 50000 END AS accuracy,
+         CASE WHEN c THEN m / 100000 END AS precision,
+         CASE WHEN c THEN m / 200000 END AS recall,
+         CASE WHEN c THEN m / 400000 END AS f1,
+         CASE WHEN NOT c THEN m / 50000 END AS mae,
+         CASE WHEN NOT c THEN m / 12500 END AS mse,
+         CASE WHEN NOT c THEN m / 25000 END AS rmse,
+         CASE WHEN NOT c THEN (50000 - m) / 50000 END AS r2,
          event_id AS seq
   FROM marked
 )"""
