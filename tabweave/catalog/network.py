@@ -25,7 +25,7 @@ from tabweave.operators.baselines import coefficient_table, fit_linear, fit_logi
 from tabweave.operators.classes import class_weights, weight_list
 from tabweave.operators.encode import assemble
 from tabweave.operators.losses import batch_cross_entropy
-from tabweave.operators.network import MLPSpec, init_params
+from tabweave.operators.network import INITIAL_SPREAD, MLPSpec, init_params
 from tabweave.operators.scoring import score_mlp, validate_epoch, with_predictions
 from tabweave.operators.stopping import early_stop
 from tabweave.operators.training import parameter_table, place_rows, train_epoch
@@ -92,14 +92,15 @@ PAIR_SQL = "logits[1] AS l0, logits[2] AS l1"
 PROBABILITY = "exp(l1 - greatest(l0, l1)) / (exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1)))"
 NLL = "greatest(l0, l1) + ln(exp(l0 - greatest(l0, l1)) + exp(l1 - greatest(l0, l1))) - CASE WHEN label = 1 THEN l1 ELSE l0 END"
 WEIGHT_SQL = f"CASE WHEN label = 1 THEN {WEIGHTS[1]}::DOUBLE ELSE {WEIGHTS[0]}::DOUBLE END"
-LOGITS_SQL = "SELECT vec_id, round(logits[1], 6) AS logit_0, round(logits[2], 6) AS logit_1 FROM scored"
+# Adding 0 turns a rounded -0 into 0.
+LOGITS_SQL = "SELECT vec_id, round(logits[1], 6) + 0.0 AS logit_0, round(logits[2], 6) + 0.0 AS logit_1 FROM scored"
 
 
 def logit_columns(scored: DataFrame) -> DataFrame:
     return scored.select(
         "vec_id",
-        F.round(F.element_at("logits", 1), 6).alias("logit_0"),
-        F.round(F.element_at("logits", 2), 6).alias("logit_1"),
+        (F.round(F.element_at("logits", 1), 6) + 0.0).alias("logit_0"),
+        (F.round(F.element_at("logits", 2), 6) + 0.0).alias("logit_1"),
     )
 
 
@@ -134,10 +135,10 @@ def m2_m3_probability_and_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("vec_id", F.round("p1", 6).alias("p1"), "pred")
 
 
-@query("m4_regression_value", f"WITH {mlp_sql(SINGLE)} SELECT vec_id, round(logits[1], 6) AS pred FROM scored")
+@query("m4_regression_value", f"WITH {mlp_sql(SINGLE)} SELECT vec_id, round(logits[1], 6) + 0.0 AS pred FROM scored")
 def m4_regression_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scored_vectors(spark, sf_dir, SINGLE)
-    return scored.select("vec_id", F.round(regression_value(F.col("logits")), 6).alias("pred"))
+    return scored.select("vec_id", (F.round(regression_value(F.col("logits")), 6) + 0.0).alias("pred"))
 
 
 @query(
@@ -238,7 +239,7 @@ TRAINED_SQL = f"""{TRAIN_SQL}, weights AS (
   UNION ALL
   SELECT 'bias', k, sum(b[k + 1] * rows) / sum(rows) FROM ends, range(0, 2) AS s(k) GROUP BY k
 )
-SELECT kind, CAST(position AS INT) AS position, round(value, 6) AS value FROM weights"""
+SELECT kind, CAST(position AS INT) AS position, round(value, 6) + 0.0 AS value FROM weights"""
 
 
 def logistic_epoch(spark: SparkSession, sf_dir: str):
@@ -255,7 +256,7 @@ def m9_train_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     params, _ = logistic_epoch(spark, sf_dir)
     return parameter_table(spark, params, LOGISTIC).select(
         "kind", F.posexplode("values").alias("position", "value")
-    ).withColumn("value", F.round("value", 6))
+    ).withColumn("value", F.round("value", 6) + 0.0)
 
 
 @query(
@@ -288,10 +289,19 @@ def m9_fit_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m11_initial_weights")
 def m11_initial_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Start weights for a network as wide as the embeddings are."""
-    width = vectors(spark, sf_dir).agg(F.max(F.size("features"))).first()[0]
-    spec = MLPSpec(width, [8], 2)
-    return parameter_table(spark, init_params(spec, "kaiming_uniform"), spec)
+    """Spread of the outputs over all embeddings under each kind of start weights."""
+    rows = vectors(spark, sf_dir)
+    width = rows.agg(F.max(F.size("features"))).first()[0]
+    spec = MLPSpec(width, [32, 16], 1)
+    out = None
+    for init in INITIAL_SPREAD:
+        scored = score_mlp(rows, init_params(spec, init), spec, keep=["vec_id"])
+        value = regression_value(F.col("logits"))
+        line = scored.agg(
+            F.lit(init).alias("init"), F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")
+        )
+        out = line if out is None else out.unionByName(line)
+    return out
 
 
 def stop_sql(patience: int, min_delta: float) -> str:

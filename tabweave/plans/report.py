@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,26 +43,34 @@ def evolution_text(table: DataFrame, task: str) -> DataFrame:
     )
 
 
-def report_tables(history: DataFrame, epochs: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the report by name; an empty history gives only its (empty) run counts.
+def report_tables(history: DataFrame, epochs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All tables of the report by name.
 
-    A task without a run has no tables, and there is no loss curve without stored epochs.
+    ``epochs`` maps a task to its stored epoch losses. What is missing is said in ``notices``: no
+    history at all, no run of a task, no loss curve of a task. Nothing is filled in for it.
     """
+    spark = history.sparkSession
     counts = history.groupBy("task").agg(F.count(F.lit(1)).alias("runs"))
-    tables = {"runs": counts}
-    seen = {r["task"] for r in counts.filter(F.col("task").isin(*TASKS)).collect()}
-    for task in TASKS:
+    seen = {r["task"] for r in counts.collect()}
+    tables, notices = {"runs": counts}, []
+    if not seen:
+        notices.append((None, "no_history"))
+    for task in TASKS if seen else ():
         if task not in seen:
+            notices.append((task, "no_runs"))
             continue
         tables[f"{task}_comparison"] = comparison_text(comparison(history, task), task)
         tables[f"{task}_evolution"] = evolution_text(evolution(history, task, NETWORK_NAME), task)
         tables[f"{task}_verdict"] = verdict(history, task)
-    if seen and not epochs.isEmpty():
-        tables["loss_curves"] = loss_series(epochs)
+        if task in epochs and not epochs[task].isEmpty():
+            tables[f"{task}_loss_curve"] = loss_series(epochs[task])
+        else:
+            notices.append((task, "no_loss_curve"))
+    tables["notices"] = spark.createDataFrame(notices, "task string, notice string")
     return tables
 
 
-def report(history: DataFrame, epochs: DataFrame, out_dir: str) -> list[str]:
+def report(history: DataFrame, epochs: Mapping[str, DataFrame], out_dir: str) -> list[str]:
     """Write every table under ``out_dir`` and return the names written."""
     tables = report_tables(history, epochs)
     for name, table in tables.items():

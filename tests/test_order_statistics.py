@@ -1,0 +1,47 @@
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tabweave.operators.order_statistics import exact_medians
+from tabweave.operators.scaling import fit_scaling
+
+
+def medians(spark, columns, in_memory_rows):
+    df = spark.createDataFrame(pd.DataFrame(columns).astype("float64").astype(object).where(lambda d: d.notna(), None),
+                               ", ".join(f"{c} double" for c in columns))
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).first().asDict()
+    return exact_medians(df, counts, in_memory_rows)
+
+
+@pytest.mark.parametrize("in_memory_rows", [0, 3, 10_000])
+@pytest.mark.parametrize("n", [1, 2, 999, 1000])
+def test_medians_by_narrowing(spark, n, in_memory_rows):
+    rng = np.random.default_rng(n)
+    columns = {
+        "smooth": rng.normal(size=n),
+        "heavy": np.exp(rng.normal(scale=8, size=n)),
+        "hot": np.where(rng.random(n) < 0.4, 7.0, rng.normal(7, 3, size=n)),
+        "edge": np.concatenate([np.full(n // 2, 5.0), 5 + rng.random(n - n // 2)]),
+        "constant": np.full(n, 3.5),
+        "few": rng.integers(0, 3, size=n).astype(float),
+        "gaps": np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n)),
+        "empty": np.full(n, np.nan),
+    }
+    got = medians(spark, columns, in_memory_rows)
+    for c, v in columns.items():
+        known = v[~np.isnan(v)]
+        if len(known) == 0:
+            assert got[c] is None
+        else:
+            assert got[c] == np.median(known), c
+
+
+def test_fitted_statistics_of_hand_made_columns(spark):
+    rows = [(1.0, 5.0, None, 2.0), (2.0, 5.0, None, None), (4.0, 5.0, None, None), (9.0, 5.0, None, None), (None, 5.0, None, None)]
+    df = spark.createDataFrame(rows, "a double, constant double, nothing double, one double")
+    s = fit_scaling(df, df.columns)
+    assert (s["a"].median, s["a"].mean, s["a"].std) == (3.0, 4.0, pytest.approx(3.5590260840104366))
+    assert (s["constant"].median, s["constant"].std) == (5.0, 1.0)
+    assert (s["nothing"].median, s["nothing"].mean, s["nothing"].std) == (None, None, 1.0)
+    assert (s["one"].mean, s["one"].std) == (2.0, 1.0)
