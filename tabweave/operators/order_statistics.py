@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -49,17 +50,21 @@ class _Selection:
         raise AssertionError(f"rank outside column '{self.column}'; did the input change between passes?")
 
 
-def _narrow_all(df: DataFrame, open_selections: list[_Selection]) -> None:
-    sketches = []
-    for i, s in enumerate(open_selections):
+def _sketches(selections: list[_Selection]) -> list[Column]:
+    """Values a little below and a little above the wanted rank of each selection."""
+    columns = []
+    for i, s in enumerate(selections):
         at = (s.rank + 0.5) / s.inside
         around = F.array(F.lit(max(at - _MARGIN, 0.0)), F.lit(min(at + _MARGIN, 1.0)))
-        sketches.append(F.percentile_approx(s.values(), around, _SKETCH).alias(str(i)))
-    brackets = df.agg(*sketches).first()
+        columns.append(F.percentile_approx(s.values(), around, _SKETCH).alias(str(i)))
+    return columns
 
+
+def _count_zones(df: DataFrame, selections: list[_Selection], brackets: list[tuple[float, float]]) -> None:
+    """Exact counts around each bracket, and the step into the zone that holds the rank."""
     counts = []
-    for i, s in enumerate(open_selections):
-        v, (low, high) = s.values(), brackets[i]
+    for i, (s, (low, high)) in enumerate(zip(selections, brackets)):
+        v = s.values()
         zones = {
             "below": v < F.lit(low),
             "at_low": v == F.lit(low),
@@ -68,32 +73,49 @@ def _narrow_all(df: DataFrame, open_selections: list[_Selection]) -> None:
         }
         counts += [F.count_if(zone).alias(f"{i}_{name}") for name, zone in zones.items()]
     row = df.agg(*counts).first().asDict()
-    for i, s in enumerate(open_selections):
-        low, high = brackets[i]
+    for i, (s, (low, high)) in enumerate(zip(selections, brackets)):
         s.narrow(low, high, {z: row[f"{i}_{z}"] for z in ("below", "at_low", "between", "at_high")})
 
 
 def exact_medians(
-    df: DataFrame, counts: dict[str, int], in_memory_rows: int = IN_MEMORY_ROWS
-) -> dict[str, float | None]:
-    """Median of each column in ``counts`` (column to number of non-null values).
-
-    Each round is two aggregates that return one row: a sketch brackets the wanted rank, then exact
-    counts decide which zone holds it. A bracket keeps about 4e-4 of the values it had, and a value
-    that repeats often is met as a bracket end, so even 10^12 rows need two rounds. Once few values
-    are left they are picked directly.
+    df: DataFrame,
+    columns: Sequence[str],
+    in_memory_rows: int = IN_MEMORY_ROWS,
+    also: Mapping[str, Column] | None = None,
+) -> tuple[dict[str, float | None], dict]:
+    """Median of the non-null values of each column, and the ``also`` aggregates from the first pass.
+
+    The first pass counts the values and sketches where the middle is. Then exact counts decide on
+    which side of the sketched values the median lies. What is left between them is about 4e-4 of
+    the values, and a value that repeats often is met as one of them, so even 10^12 rows need two
+    rounds. Once few values are left they are picked directly. Every pass returns one row.
     """
-    selections = {
-        c: [_Selection(c, (n - 1) // 2, n)] + ([_Selection(c, n // 2, n)] if n % 2 == 0 else [])
-        for c, n in counts.items()
-        if n > 0
-    }
-    every = [s for pair in selections.values() for s in pair]
-    while True:
-        wide = [s for s in every if s.answer is None and s.inside > in_memory_rows]
-        if not wide:
-            break
-        _narrow_all(df, wide)
+    also = dict(also or {})
+    middle = F.array(F.lit(0.5 - _MARGIN), F.lit(0.5 + _MARGIN))
+    first: list[Column] = [column.alias(f"also_{name}") for name, column in also.items()]
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        first += [F.count(v).alias(f"n{i}"), F.percentile_approx(v, middle, _SKETCH).alias(f"q{i}")]
+    row = df.agg(*first).first().asDict()
+
+    selections: dict[str, list[_Selection]] = {}
+    brackets: list[tuple[float, float]] = []
+    for i, c in enumerate(columns):
+        n = row[f"n{i}"]
+        ranks = sorted({(n - 1) // 2, n // 2}) if n else []
+        selections[c] = [_Selection(c, rank, n) for rank in ranks]
+        brackets += [tuple(row[f"q{i}"] or ())] * len(ranks)
+    every = [s for found in selections.values() for s in found]
+
+    def wide(s: _Selection) -> bool:
+        return s.answer is None and s.inside > in_memory_rows
+
+    first_round = [(s, b) for s, b in zip(every, brackets) if wide(s)]
+    if first_round:
+        _count_zones(df, *map(list, zip(*first_round)))
+    while left := [s for s in every if wide(s)]:
+        found = df.agg(*_sketches(left)).first()
+        _count_zones(df, left, [tuple(b) for b in found])
     small = [s for s in every if s.answer is None]
     if small:
         # At most in_memory_rows values per selection.
@@ -103,6 +125,5 @@ def exact_medians(
         ]
         for s, value in zip(small, df.agg(*picks).first()):
             s.answer = value
-    return {
-        c: sum(s.answer for s in selections[c]) / len(selections[c]) if c in selections else None for c in counts
-    }
+    medians = {c: sum(s.answer for s in found) / len(found) if found else None for c, found in selections.items()}
+    return medians, {name: row[f"also_{name}"] for name in also}

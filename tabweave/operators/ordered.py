@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 ROWS_PER_SLICE = 200_000
 MAX_SLICES = 8_192
@@ -81,7 +82,11 @@ def assign_slices(df: DataFrame, order: str, slicing: Slicing, name: str = "slic
 
 @dataclass(frozen=True)
 class Running:
-    """One running measure: ``kind`` is sum, min, max or last (the last value that is not null)."""
+    """One running measure.
+
+    ``kind`` is sum, min, max, last (the last value that is not null) or whole (the sum over all rows
+    of the partition, the same on each of them).
+    """
 
     kind: str
     value: Column
@@ -89,7 +94,7 @@ class Running:
 
 
 def _total(measure: Running, order: Column) -> Column:
-    if measure.kind == "sum":
+    if measure.kind in ("sum", "whole"):
         return F.sum(measure.value)
     if measure.kind == "min":
         return F.min(measure.value)
@@ -100,10 +105,12 @@ def _total(measure: Running, order: Column) -> Column:
     raise ValueError(f"unknown running measure '{measure.kind}'")
 
 
-def _over(kind: str, value: Column, window) -> Column:
+def _over(kind: str, value: Column, ordered: WindowSpec, all_rows: WindowSpec) -> Column:
     if kind == "last":
-        return F.last(value, ignorenulls=True).over(window)
-    return {"sum": F.sum, "min": F.min, "max": F.max}[kind](value).over(window)
+        return F.last(value, ignorenulls=True).over(ordered)
+    if kind == "whole":
+        return F.sum(value).over(all_rows)
+    return {"sum": F.sum, "min": F.min, "max": F.max}[kind](value).over(ordered)
 
 
 def _combine(kind: str, carried: Column, local: Column) -> Column:
@@ -113,6 +120,8 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
         return F.least(carried, local)
     if kind == "max":
         return F.greatest(carried, local)
+    if kind == "whole":
+        return F.coalesce(carried, local)
     return F.coalesce(local, carried)
 
 
@@ -135,7 +144,8 @@ def running(
     def towards(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)
 
-    local = Window.partitionBy(*partition, slice_col).orderBy(towards(order))
+    of_slice = Window.partitionBy(*partition, slice_col)
+    local = of_slice.orderBy(towards(order))
     before = Window.unboundedPreceding
 
     def frame(window, measure: Running):
@@ -146,7 +156,7 @@ def running(
         return df.select(
             "*",
             *[
-                _combine(m.kind, none, _over(m.kind, m.value, frame(local, m))).alias(name)
+                _combine(m.kind, none, _over(m.kind, m.value, frame(local, m), of_slice)).alias(name)
                 for name, m in measures.items()
             ],
         )
@@ -154,18 +164,25 @@ def running(
     totals = df.groupBy(*partition, slice_col).agg(
         *[_total(m, F.col(order)).alias(f"__total_{name}") for name, m in measures.items()]
     )
-    earlier = Window.partitionBy(*partition).orderBy(towards(slice_col)).rowsBetween(before, -1)
+    of_partition = Window.partitionBy(*partition)
+    earlier = of_partition.orderBy(towards(slice_col)).rowsBetween(before, -1)
     carried = totals.select(
         *partition,
         slice_col,
-        *[_over(m.kind, F.col(f"__total_{name}"), earlier).alias(f"__carry_{name}") for name, m in measures.items()],
+        *[
+            _over(m.kind, F.col(f"__total_{name}"), earlier, of_partition).alias(f"__carry_{name}")
+            for name, m in measures.items()
+        ],
     )
     if not partition:
         # One row per slice, and the number of slices is bounded by how slices are made.
         carried = F.broadcast(carried)
     scanned = df.select(
         "*",
-        *[_over(m.kind, m.value, frame(local, m)).alias(f"__local_{name}") for name, m in measures.items()],
+        *[
+            (F.lit(None) if m.kind == "whole" else _over(m.kind, m.value, frame(local, m), of_slice)).alias(f"__local_{name}")
+            for name, m in measures.items()
+        ],
     )
     return scanned.join(carried, [*partition, slice_col]).select(
         *df.columns,

@@ -36,10 +36,17 @@ def _named(history: DataFrame) -> DataFrame:
 
 
 def latest_run_per_model(history: DataFrame, task: str) -> DataFrame:
-    """The last record of each model in a task: one aggregate, combined on the map side."""
+    """The last record of each model in a task.
+
+    The highest ``seq`` per model is a hash aggregate over two columns. Whole records are then only
+    taken where they match it, so wide records are neither sorted nor shuffled in bulk.
+    """
     of_task = _named(history.filter(F.col("task") == task))
-    last = F.max_by(F.struct(*of_task.columns), F.struct("seq", "writer"))
-    return of_task.groupBy(F.col("model_name").alias("m")).agg(last.alias("r")).select("r.*")
+    newest = of_task.groupBy("model_name").agg(F.max("seq").alias("seq"))
+    candidates = of_task.join(newest, ["model_name", "seq"])
+    # Usually one record per model; the writer settles appends in the same nanosecond.
+    last = F.max_by(F.struct(*[F.col(c) for c in of_task.columns]), "writer")
+    return candidates.groupBy(F.col("model_name").alias("m")).agg(last.alias("r")).select("r.*")
 
 
 def runs_for_model(history: DataFrame, task: str, model_name: str) -> DataFrame:
@@ -98,14 +105,14 @@ def evolution(
         {
             "n": Running("sum", F.lit(1)),
             "previous": Running("last", F.col("value"), include_current=False),
+            "runs": Running("whole", F.lit(1)),
         },
         "place",
         ["model_name"],
         single_slice=slicing.single,
     )
-    repeated = runs.groupBy("model_name").agg(F.count(F.lit(1)).alias("runs")).filter("runs >= 2")
     delta = F.col("value") - F.col("previous")
-    return numbered.join(repeated, "model_name", "left_semi").select(
+    return numbered.filter("runs >= 2").select(
         "model_name",
         F.col("n").cast("int").alias("n"),
         F.replace(F.substring("timestamp", 1, 19), F.lit("T"), F.lit(" ")).alias("logged_at"),

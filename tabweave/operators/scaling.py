@@ -21,16 +21,14 @@ class Scale:
 def fit_scaling(df: DataFrame, columns: Sequence[str], in_memory_rows: int = IN_MEMORY_ROWS) -> dict[str, Scale]:
     """Median, mean and sample deviation per column; nulls are skipped, a deviation of 0 or null is 1.
 
-    One aggregate for all columns, then the exact medians.
+    Mean and deviation of all columns come from the first pass of the median search.
     """
-    aggregates: list[Column] = []
+    also: dict[str, Column] = {}
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
-        aggregates += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}")]
-    row = df.agg(*aggregates).first()
-    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    medians = exact_medians(df, counts, in_memory_rows)
-    return {c: Scale(medians[c], row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
+        also |= {f"mean{i}": F.avg(v), f"std{i}": F.stddev_samp(v)}
+    medians, found = exact_medians(df, columns, in_memory_rows, also)
+    return {c: Scale(medians[c], found[f"mean{i}"], found[f"std{i}"] or 1.0) for i, c in enumerate(columns)}
 
 
 def scaling_table(spark: SparkSession, scales: dict[str, Scale]) -> DataFrame:

@@ -13,7 +13,9 @@ TRAIN_FRACTION = 0.70
 VALIDATION_FRACTION = 0.15
 DEFAULT_SEED = 42
 
-_STEP = 3  # hex digits read per refinement, 4,096 cells
+_SLICE_DIGITS = 3  # hex digits of the order key that make a slice
+_PLACE_BITS = 60  # leading bits of the order key used as a number
+_STEP_BITS = 12  # bits read per refinement, 4,096 cells
 _CELL_ROWS = 200_000
 _COPIES_PER_TASK_ROW = 100_000
 
@@ -45,7 +47,7 @@ def _copies_spread_out(df: DataFrame, copies: str, offset: str) -> DataFrame:
 
 
 def seeded_shuffle(
-    df: DataFrame, seed: int = DEFAULT_SEED, key: Sequence[str] | None = None, digits: int = _STEP
+    df: DataFrame, seed: int = DEFAULT_SEED, key: Sequence[str] | None = None, digits: int = _SLICE_DIGITS
 ) -> DataFrame:
     """Every row once with its ``order_key`` and its ``rank`` (from 0) in the seeded order.
 
@@ -83,66 +85,79 @@ class _Cut:
     """Search for the key at one rank: the cell that holds it and what lies before the cell."""
 
     def __init__(self, rank: int, rows: int):
-        self.rank, self.prefix, self.before, self.rows, self.key = rank, "", 0, rows, None
-
-    def descend(self, cells: list) -> None:
-        for cell in sorted(cells, key=lambda c: c["prefix"]):
-            if self.rank < self.before + cell["n"]:
-                self.prefix, self.rows = cell["prefix"], cell["n"]
-                if cell["low"] == cell["high"]:
-                    self.key = cell["low"]
+        self.rank, self.rows, self.before = rank, rows, 0
+        self.cell, self.shift = 0, _PLACE_BITS
+        self.low: int | None = None
+        self.high: int | None = None
+        self.key: str | None = None
+
+    def descend(self, cells: list, shift: int) -> None:
+        for c in sorted(cells, key=lambda c: c["cell"]):
+            if c["cell"] >> (self.shift - shift) != self.cell:
+                continue
+            if self.rank < self.before + c["n"]:
+                self.cell, self.shift, self.rows = c["cell"], shift, c["n"]
+                self.low, self.high = c["low"], c["high"]
                 return
-            self.before += cell["n"]
+            self.before += c["n"]
 
+    @property
+    def wide(self) -> bool:
+        return self.rows > _CELL_ROWS and self.low != self.high
 
-def _cells(keys: DataFrame, length: int) -> list:
-    """Row counts per key prefix: at most 4,096 rows per prefix that is being refined."""
+    def holds(self) -> Column:
+        return F.shiftright("place", self.shift) == self.cell if self.low != self.high else F.col("place") == self.low
+
+
+def _cells(keys: DataFrame, shift: int) -> list:
+    """Row counts per leading bits of the place: at most 4,096 rows per cell that is refined.
+
+    Longs only, so this is a hash aggregate with a map side of bounded size.
+    """
     return (
-        keys.groupBy(F.substring("order_key", 1, length).alias("prefix"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("order_key").alias("low"), F.max("order_key").alias("high"))
+        keys.groupBy(F.shiftright("place", shift).alias("cell"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("low"), F.max("place").alias("high"))
         .collect()
     )
 
 
+def _any_of(cuts: list[_Cut]) -> Column:
+    condition = F.lit(False)
+    for cut in cuts:
+        condition = condition | cut.holds()
+    return condition
+
+
 def _find_cuts(keys: DataFrame, ends_of) -> tuple[int, tuple[int, int], list[_Cut]]:
-    """Keys at the split ends, found by reading key prefixes instead of sorting the table.
+    """Keys at the split ends, found by counting cells of keys instead of sorting the table.
 
     Only the key column is read: once for all rows, then for the cells that contain an end.
     """
-    cells = _cells(keys, _STEP)
+    keys = keys.withColumn("place", F.conv(F.substring("order_key", 1, _PLACE_BITS // 4), 16, 10).cast("bigint"))
+    shift = _PLACE_BITS - _STEP_BITS
+    cells = _cells(keys.select("place"), shift)
     rows = sum(c["n"] for c in cells)
     ends = ends_of(rows)
     cuts = [_Cut(rank, rows) for rank in ends]
     inside = [c for c in cuts if c.rank < rows]
     for cut in inside:
-        cut.descend(cells)
-    length = _STEP
-    while True:
-        wide = [c for c in inside if c.key is None and c.rows > _CELL_ROWS]
-        if not wide:
-            break
-        length += _STEP
-        prefixes = {c.prefix for c in wide}
-        found = _cells(keys.filter(F.substring("order_key", 1, length - _STEP).isin(sorted(prefixes))), length)
+        cut.descend(cells, shift)
+    while wide := [c for c in inside if c.wide]:
+        shift -= _STEP_BITS
+        found = _cells(keys.filter(_any_of(wide)).select("place"), shift)
         for cut in wide:
-            cut.descend([c for c in found if c["prefix"].startswith(cut.prefix)])
-    open_cuts = [c for c in inside if c.key is None]
-    if open_cuts:
-        wanted = None
-        for cut in open_cuts:
-            hit = F.col("order_key").startswith(cut.prefix)
-            wanted = hit if wanted is None else wanted | hit
-        # At most _CELL_ROWS rows per cut are left.
-        small = sorted((r["order_key"], r["n"]) for r in keys.filter(wanted).groupBy("order_key").agg(
-            F.count(F.lit(1)).alias("n")).collect())
-        for cut in open_cuts:
-            for value, n in small:
-                if not value.startswith(cut.prefix):
-                    continue
-                if cut.rank < cut.before + n:
-                    cut.key, cut.rows = value, n
-                    break
-                cut.before += n
+            cut.descend(found, shift)
+    if inside:
+        # At most _CELL_ROWS rows per cut, or copies of one key, which are counted on the map side.
+        near = keys.filter(_any_of(inside)).groupBy("order_key", "place").agg(F.count(F.lit(1)).alias("n"))
+        for r in sorted(near.collect(), key=lambda r: r["order_key"]):
+            for cut in inside:
+                mine = r["place"] == cut.low if cut.low == cut.high else r["place"] >> cut.shift == cut.cell
+                if cut.key is None and mine:
+                    if cut.rank < cut.before + r["n"]:
+                        cut.key = r["order_key"]
+                    else:
+                        cut.before += r["n"]
     return rows, ends, cuts
 
 

@@ -39,19 +39,26 @@ def early_stop(
         _loss_or_null("val_loss").alias("loss"),
         F.floor((F.col("epoch") - 1) / epochs_per_slice).cast("int").alias("slice"),
     )
+    last_slice = losses.agg(F.max("slice")).first()[0] or 0
     if min_delta == 0:
-        return _stop_by_running_minimum(losses, patience, run)
-    return _stop_by_rounds(losses, patience, min_delta, run)
+        return _stop_by_running_minimum(losses, patience, run, single_slice=last_slice == 0)
+    return _stop_by_rounds(losses, patience, min_delta, run, last_slice)
 
 
-def _stop_by_running_minimum(losses: DataFrame, patience: int, run: str) -> DataFrame:
+def _stop_by_running_minimum(losses: DataFrame, patience: int, run: str, single_slice: bool) -> DataFrame:
     """Without a margin the best loss is the running minimum, so no fold over the epochs is needed."""
     lowest = running(
-        losses, {"earlier": Running("min", F.col("loss"), include_current=False)}, "epoch", [run]
+        losses,
+        {"earlier": Running("min", F.col("loss"), include_current=False)},
+        "epoch",
+        [run],
+        single_slice=single_slice,
     )
     improves = F.col("loss").isNotNull() & (F.col("earlier").isNull() | (F.col("loss") <= F.col("earlier")))
     marked = lowest.withColumn("improved", F.when(improves, F.col("epoch")))
-    followed = running(marked, {"best_epoch": Running("max", F.col("improved"))}, "epoch", [run])
+    followed = running(
+        marked, {"best_epoch": Running("max", F.col("improved"))}, "epoch", [run], single_slice=single_slice
+    )
     waited = F.col("epoch") - F.coalesce("best_epoch", F.lit(0)) >= patience
     state = F.struct(
         F.when(waited, F.col("epoch")).alias("stop_epoch"),
@@ -84,7 +91,7 @@ def _fold(entries: Column, state: Column, patience: int, min_delta: float) -> Co
     return F.aggregate(entries, state, step)
 
 
-def _stop_by_rounds(losses: DataFrame, patience: int, min_delta: float, run: str) -> DataFrame:
+def _stop_by_rounds(losses: DataFrame, patience: int, min_delta: float, run: str, last_slice: int) -> DataFrame:
     """With a margin each step needs the one before, so slices of epochs are folded in turn.
 
     A group holds one slice of one run. Runs that have stopped are left out of later rounds, and
@@ -97,9 +104,8 @@ def _stop_by_rounds(losses: DataFrame, patience: int, min_delta: float, run: str
         F.lit(None).cast("double").alias("best_loss"),
         F.lit(0).alias("count"),
     )
-    last_slice = losses.agg(F.max("slice")).first()[0]
     state = None
-    for number in range((last_slice or 0) + 1):
+    for number in range(last_slice + 1):
         entries = (
             losses.filter(F.col("slice") == number)
             .groupBy(run)
@@ -117,6 +123,6 @@ def _stop_by_rounds(losses: DataFrame, patience: int, min_delta: float, run: str
                 _fold(F.col("entries"), F.col("s"), patience, min_delta),
             ).otherwise(F.col("s"))
             state = joined.select(run, folded.alias("s"))
-        if number < (last_slice or 0):
+        if number < last_slice:
             state = cut_lineage(state)
     return state.select(run, *[f"s.{name}" for name in _RESULT])

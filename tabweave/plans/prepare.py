@@ -29,7 +29,7 @@ from tabweave.sources.schemas import (
     LOAN_STATUS,
     LOAN_ZERO_STATUS,
 )
-from tabweave.storage import scratch_path
+from tabweave.storage import stage as staged_copy
 
 
 @dataclass(frozen=True)
@@ -86,9 +86,7 @@ def prepare(
     """
     cleaned = clean(df, categorical, status, allowed, zero_value)
     if stage:
-        path = scratch_path(df.sparkSession, "cleaned")
-        cleaned.write.parquet(path)
-        cleaned = df.sparkSession.read.parquet(path)
+        cleaned = staged_copy(cleaned, "cleaned")
     divided = three_way_split(cleaned, seed, key)
     train = divided.filter(divided["split"] == "train")
     vocabulary = fit_vocabulary(train if vocabulary_from == "train" else cleaned, categorical)

@@ -11,6 +11,7 @@ from tabweave.functions.display import NOT_AVAILABLE, delta_text, number_text, t
 from tabweave.operators.baselines import NETWORK_NAME
 from tabweave.operators.runs import MAIN_METRIC, TABLE_METRICS, comparison, evolution, loss_series, verdict
 from tabweave.sources.history import TASKS
+from tabweave.storage import stage
 
 # Decimals per metric and per evolution table, and the time of a model without a run.
 METRIC_DIGITS = {"mae": 6, "mse": 6, "rmse": 6}
@@ -71,8 +72,11 @@ def report_tables(history: DataFrame, epochs: Mapping[str, DataFrame]) -> dict[s
 
 
 def report(history: DataFrame, epochs: Mapping[str, DataFrame], out_dir: str) -> list[str]:
-    """Write every table under ``out_dir`` and return the names written."""
-    tables = report_tables(history, epochs)
+    """Write every table under ``out_dir`` and return the names written.
+
+    The history is read once, as JSON; the tables work on a columnar copy.
+    """
+    tables = report_tables(stage(history, "history"), epochs)
     for name, table in tables.items():
         table.write.mode("overwrite").json(f"{out_dir}/{name}")
     return list(tables)

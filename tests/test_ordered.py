@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -49,7 +50,8 @@ def test_partitioned_running_measures_over_many_slices(spark):
     assert len(slicing.cuts) > 8
     sliced = assign_slices(df, "place", slicing)
     assert sliced.groupBy("slice").count().agg(F.max("count")).first()[0] <= 60
-    got = running(sliced, measures(), "place", ["g"]).collect()
+    got = running(sliced, measures() | {"rows": Running("whole", F.lit(1))}, "place", ["g"]).collect()
+    assert {r["g"]: r["rows"] for r in got} == Counter(r[0] for r in rows)
     assert {(r["g"], r["place"]): (r["total"], r["low"], r["high"], r["before"]) for r in got} == brute(rows)
     assert len(got) == len(rows)
 
