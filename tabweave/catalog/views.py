@@ -142,7 +142,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .withColumn("m", cents)
         .select(
-            F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("timestamp"),
+            F.concat(F.translate(F.substring(F.col("ts").cast("string"), 1, 19), " ", "T"), F.lit("+00:00"))
+            .alias("timestamp"),
             F.when(classification, "classification").otherwise("regression").alias("task"),
             name.alias("model_name"),
             F.col("props").alias("notes"),

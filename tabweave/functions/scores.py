@@ -8,18 +8,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _exponentials(logits: Column) -> Column:
-    return F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
+def _softmax_parts(logits: Column, num_classes: int) -> tuple[Column, list[Column]]:
+    """The largest logit and exp(logit - largest) per class.
 
+    Written out per class: array lambdas would leave generated code.
+    """
+    values = [F.element_at(logits, i + 1) for i in range(num_classes)]
+    top = F.greatest(*values)
+    return top, [F.exp(v - top) for v in values]
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
+def _total(values: Sequence[Column]) -> Column:
+    total = values[0]
+    for v in values[1:]:
+        total = total + v
+    return total
 
-def positive_probability(logits: Column) -> Column:
+
+def positive_probability(logits: Column, num_classes: int = 2) -> Column:
     """Softmax of the logits, second class."""
-    shifted = _exponentials(logits)
-    return F.element_at(shifted, 2) / _total(shifted)
+    _, parts = _softmax_parts(logits, num_classes)
+    return parts[1] / _total(parts)
 
 
 def argmax_class(logits: Column) -> Column:
@@ -38,10 +47,10 @@ def decide(probability: Column, cutoff: float | Column = 0.5) -> Column:
     return (probability >= limit).cast("int")
 
 
-def negative_log_likelihood(logits: Column, label: Column) -> Column:
+def negative_log_likelihood(logits: Column, label: Column, num_classes: int = 2) -> Column:
     """log(sum(exp)) minus the logit of the true class."""
-    top = F.array_max(logits)
-    return top + F.log(_total(_exponentials(logits))) - F.element_at(logits, label.cast("int") + 1)
+    top, parts = _softmax_parts(logits, num_classes)
+    return top + F.log(_total(parts)) - F.element_at(logits, label.cast("int") + 1)
 
 
 def squared_error(actual: Column, predicted: Column) -> Column:

@@ -10,18 +10,26 @@ from pyspark.sql import functions as F
 from tabweave.functions.scores import class_weight, negative_log_likelihood, squared_error
 
 
-def weighted_cross_entropy(logits: str, label: str, weights: Sequence[float] | None = None) -> Column:
+def weighted_cross_entropy(
+    logits: str, label: str, weights: Sequence[float] | None = None, num_classes: int = 2
+) -> Column:
     """sum(w * nll) / sum(w), as an aggregate column."""
     w = class_weight(F.col(label), weights)
-    return F.try_divide(F.sum(w * negative_log_likelihood(F.col(logits), F.col(label))), F.sum(w))
+    nll = negative_log_likelihood(F.col(logits), F.col(label), num_classes)
+    return F.try_divide(F.sum(w * nll), F.sum(w))
 
 
 def batch_cross_entropy(
-    df: DataFrame, batch: str, logits: str, label: str, weights: Sequence[float] | None = None
+    df: DataFrame,
+    batch: str,
+    logits: str,
+    label: str,
+    weights: Sequence[float] | None = None,
+    num_classes: int = 2,
 ) -> DataFrame:
     """``batch, n, loss`` with the class-weighted cross-entropy of a batch."""
     return df.groupBy(F.col(batch).alias("batch")).agg(
-        F.count(F.lit(1)).alias("n"), weighted_cross_entropy(logits, label, weights).alias("loss")
+        F.count(F.lit(1)).alias("n"), weighted_cross_entropy(logits, label, weights, num_classes).alias("loss")
     )
 
 

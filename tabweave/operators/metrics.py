@@ -133,11 +133,12 @@ def classification_report(grid: DataFrame, num_classes: int = 2) -> DataFrame:
         return F.struct(F.lit(label).alias("label"), *fields, total.alias("support"))
 
     weighted = [ratio_or_zero(F.sum(F.col(n) * F.col("support")), total) for n in names]
-    summary = classes.agg(
-        F.array(
-            line("accuracy", [accuracy, accuracy, accuracy]),
-            line("macro avg", [F.avg(n) for n in names]),
-            line("weighted avg", weighted),
-        ).alias("lines")
-    ).select(F.explode("lines").alias("l")).select("l.*")
-    return classes.select(F.col("c").cast("string").alias("label"), *names, "support").unionByName(summary)
+    # num_classes rows come together here, so the classes are computed once for both kinds of lines.
+    of_class = F.struct(F.col("c").cast("string").alias("label"), *names, "support")
+    summary = F.array(
+        line("accuracy", [accuracy, accuracy, accuracy]),
+        line("macro avg", [F.avg(n) for n in names]),
+        line("weighted avg", weighted),
+    )
+    lines = classes.agg(F.concat(F.sort_array(F.collect_list(of_class)), summary).alias("lines"))
+    return lines.select(F.explode("lines").alias("l")).select("l.*")

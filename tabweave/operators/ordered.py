@@ -77,7 +77,8 @@ def assign_slices(df: DataFrame, order: str, slicing: Slicing, name: str = "slic
         handleInvalid="keep",
     )
     sliced = cutter.transform(df.withColumn(as_double, F.col(order).cast("double")))
-    return sliced.withColumn(name, F.col(name).cast("int")).drop(as_double)
+    # Never null, so the join on slices adds no filter and both its sides can share one exchange.
+    return sliced.withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(0))).drop(as_double)
 
 
 @dataclass(frozen=True)

@@ -58,10 +58,11 @@ def score_mlp(
     return df.select(*kept, features).mapInArrow(score, schema)
 
 
-def with_predictions(scored: DataFrame, mode: str = "classification") -> DataFrame:
+def with_predictions(scored: DataFrame, mode: str = "classification", num_classes: int = 2) -> DataFrame:
     """Add ``p1`` and ``pred`` (classification) or ``pred`` (regression) to scored rows."""
     if mode == "classification":
-        return scored.withColumns({"p1": positive_probability(F.col("logits")), "pred": argmax_class(F.col("logits"))})
+        logits = F.col("logits")
+        return scored.withColumns({"p1": positive_probability(logits, num_classes), "pred": argmax_class(logits)})
     if mode == "regression":
         return scored.withColumn("pred", regression_value(F.col("logits")))
     raise ValueError(f"mode '{mode}' is not one of {MODES}")
@@ -82,11 +83,11 @@ def validate_epoch(
     Rows are scored once. Each batch is reduced to its loss sums and its share of the metrics in one
     grouped aggregate, and the batches are then added up.
     """
-    predicted = with_predictions(score_mlp(df, params, spec, features, keep=[batch, label]), mode)
+    predicted = with_predictions(score_mlp(df, params, spec, features, keep=[batch, label]), mode, spec.num_classes)
     if mode == "classification":
         counts = hit_counts(F.col(label).cast("int"), F.col("pred"))
         per_batch = predicted.groupBy(batch).agg(
-            weighted_cross_entropy("logits", label, weights).alias("loss"),
+            weighted_cross_entropy("logits", label, weights, spec.num_classes).alias("loss"),
             *[c.alias(n) for n, c in counts.items()],
         )
         rates = rates_of_counts(*[F.sum(n) for n in counts])

@@ -57,7 +57,8 @@ def seeded_shuffle(
     """
     keyed = df if key else df.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
     keyed = keyed.withColumn("order_key", order_key(df.columns, seed, key))
-    keyed = keyed.withColumn("__slice", F.conv(F.substring("order_key", 1, digits), 16, 10).cast("int"))
+    slice_of_key = F.conv(F.substring("order_key", 1, digits), 16, 10).cast("int")
+    keyed = keyed.withColumn("__slice", F.coalesce(slice_of_key, F.lit(0)))
     weight = F.lit(1).cast("long") if key else F.col("__copies")
     ranked = running(
         keyed, {"rank": Running("sum", weight, include_current=False)}, "order_key", slice_col="__slice"

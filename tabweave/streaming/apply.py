@@ -26,4 +26,4 @@ def score_stream(
 ) -> DataFrame:
     """Predictions for arriving rows; ``keep`` names key columns carried along."""
     features = assemble(prepare_stream(stream, fitted), mode, keep=keep)
-    return with_predictions(score_mlp(features, params, spec, keep=[*keep, "label"]), mode)
+    return with_predictions(score_mlp(features, params, spec, keep=[*keep, "label"]), mode, spec.num_classes)
