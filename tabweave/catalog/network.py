@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabweave.catalog.evaluation import BEST_F1_SQL, CURVE_SQL
 from tabweave.catalog.preparation import KEY
 from tabweave.catalog.registry import query
 from tabweave.catalog.views import (
@@ -29,6 +30,7 @@ from tabweave.operators.network import INITIAL_SPREAD, MLPSpec, init_params
 from tabweave.operators.scoring import score_mlp, validate_epoch, with_predictions
 from tabweave.operators.stopping import early_stop
 from tabweave.operators.training import parameter_table, place_rows, train_epoch
+from tabweave.plans.evaluate import evaluate_network, network_threshold
 from tabweave.plans.fit import fit, load_best
 from tabweave.plans.prepare import prepare
 from tabweave.storage import scratch_path
@@ -250,13 +252,17 @@ def logistic_epoch(spark: SparkSession, sf_dir: str):
     )
 
 
+def parameter_rows(table: DataFrame) -> DataFrame:
+    """One row per weight."""
+    values = table.select("kind", F.posexplode("values").alias("position", "value"))
+    return values.withColumn("value", F.round("value", 6) + 0.0)
+
+
 @query("m9_train_epoch", TRAINED_SQL)
 def m9_train_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights after one epoch in parallel buckets, averaged."""
     params, _ = logistic_epoch(spark, sf_dir)
-    return parameter_table(spark, params, LOGISTIC).select(
-        "kind", F.posexplode("values").alias("position", "value")
-    ).withColumn("value", F.round("value", 6) + 0.0)
+    return parameter_rows(parameter_table(spark, params, LOGISTIC))
 
 
 @query(
@@ -329,15 +335,53 @@ def m12_early_stop_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return early_stop(epochs(spark, sf_dir), patience=12, min_delta=2.5)
 
 
-@query("m13_best_weights")
+@query("m13_best_weights", TRAINED_SQL)
 def m13_best_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the embeddings, keep the best epoch's parameters, read them back."""
+    """Train with validation, keep the best epoch's parameters, read them back."""
     data = vectors(spark, sf_dir)
     train = place_rows(data, bucket_count(data.count()), key="vec_id")
-    spec = MLPSpec(WIDTH, [8], 2, dropout_rate=0.0)
     path = scratch_path(spark, "best-weights")
-    result = fit(train, data, init_params(spec), spec, epochs=2, lr=0.1, best_path=path)
-    return parameter_table(spark, load_best(spark, path, result.best_epoch), spec)
+    result = fit(
+        train, data, formula_params(LOGISTIC), LOGISTIC, epochs=1, lr=STEP_SIZE, batch_size=BATCH_SIZE,
+        weights=WEIGHTS, best_path=path,
+    )
+    return parameter_rows(parameter_table(spark, load_best(spark, path, result.best_epoch), LOGISTIC))
+
+
+JUDGED_SQL = f"""{mlp_sql(PLAIN)}, scores AS (
+  SELECT label AS y, {PROBABILITY} AS p1 FROM (SELECT label, {PAIR_SQL} FROM scored)
+)"""
+
+
+@query(
+    "evaluate_network",
+    f"""WITH {JUDGED_SQL}, counts AS (
+  SELECT count(*) FILTER (WHERE y = 1 AND p1 >= 0.52) AS tp, count(*) FILTER (WHERE y = 0 AND p1 >= 0.52) AS fp,
+         count(*) FILTER (WHERE y = 1 AND p1 < 0.52) AS fn, count(*) FILTER (WHERE y = 0 AND p1 < 0.52) AS tn
+  FROM scores
+)
+SELECT 'classification' AS mode, 0.52::DOUBLE AS threshold, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy,
+       coalesce(round(tp / nullif(tp + fp, 0), 6), 0) AS precision, coalesce(round(tp / nullif(tp + fn, 0), 6), 0) AS recall,
+       coalesce(round(2 * tp / nullif(2 * tp + fp + fn, 0), 6), 0) AS f1,
+       '[[' || tn || ',' || fp || '],[' || fn || ',' || tp || ']]' AS confusion_matrix
+FROM counts""",
+)
+def network_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blind evaluation of a network: scoring, decision and metrics in one job."""
+    record = evaluate_network(vectors(spark, sf_dir), formula_params(PLAIN), PLAIN, threshold=0.52)
+    return record.withColumns({c: F.round(c, 6) for c in ("accuracy", "precision", "recall", "f1")}).withColumn(
+        "confusion_matrix", F.to_json("confusion_matrix")
+    )
+
+
+@query(
+    "network_threshold",
+    f"""WITH {JUDGED_SQL}, {CURVE_SQL}, best AS ({BEST_F1_SQL})
+SELECT round(threshold, 6) AS threshold, precision, recall FROM best""",
+)
+def threshold_of_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = network_threshold(vectors(spark, sf_dir), formula_params(PLAIN), PLAIN)
+    return best.select(*[F.round(c, 6).alias(c) for c in best.columns])
 
 
 def baseline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

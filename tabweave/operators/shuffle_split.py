@@ -16,7 +16,7 @@ DEFAULT_SEED = 42
 _SLICE_DIGITS = 3  # hex digits of the order key that make a slice
 _PLACE_BITS = 60  # leading bits of the order key used as a number
 _STEP_BITS = 12  # bits read per refinement, 4,096 cells
-_CELL_ROWS = 200_000
+_CELL_ROWS = 20_000  # a cell this small is read directly
 _COPIES_PER_TASK_ROW = 100_000
 
 

@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.scores import decide
+from tabweave.operators.curve import DEFAULT_MIN_RECALL, best_threshold
 from tabweave.operators.metrics import DEFAULT_CUTOFF, ratio_or_zero, regression_metrics
+from tabweave.operators.network import MLPSpec, Parameters
+from tabweave.operators.scoring import score_mlp, with_predictions
+from tabweave.storage import stage
 
 
 def evaluate(
@@ -44,3 +48,36 @@ def metrics_record(result: DataFrame) -> dict:
     """The single row of :func:`evaluate` as a dictionary for the run history."""
     row = result.first().asDict()
     return {k: [list(r) for r in v] if k == "confusion_matrix" else v for k, v in row.items()}
+
+
+def _predicted(df: DataFrame, params: Parameters, spec: MLPSpec, mode: str, label: str) -> DataFrame:
+    return with_predictions(score_mlp(df, params, spec, keep=[label]), mode, spec.num_classes)
+
+
+def evaluate_network(
+    df: DataFrame,
+    params: Parameters,
+    spec: MLPSpec,
+    mode: str = "classification",
+    threshold: float | None = None,
+    label: str = "label",
+) -> DataFrame:
+    """Score ``features, label`` rows and evaluate them; each row is scored once and then reduced."""
+    predicted = _predicted(df, params, spec, mode, label)
+    return evaluate(predicted, label, "p1" if mode == "classification" else "pred", mode, threshold)
+
+
+def network_threshold(
+    df: DataFrame,
+    params: Parameters,
+    spec: MLPSpec,
+    strategy: str = "f1",
+    min_recall: float = DEFAULT_MIN_RECALL,
+    label: str = "label",
+) -> DataFrame:
+    """The best decision threshold of a network on validation rows.
+
+    The search reads the scores more than once, so labels and probabilities are stored first.
+    """
+    scores = stage(_predicted(df, params, spec, "classification", label).select(label, "p1"), "scores")
+    return best_threshold(scores, label, "p1", strategy, min_recall)
