@@ -14,8 +14,8 @@ VALIDATION_FRACTION = 0.15
 DEFAULT_SEED = 42
 
 _SLICE_DIGITS = 3  # hex digits of the order key that make a slice
-_PLACE_BITS = 60  # leading bits of the order key used as a number
-_STEP_BITS = 12  # bits read per refinement, 4,096 cells
+_STEP_DIGITS = 3  # hex digits read per refinement, 4,096 cells
+_KEY_DIGITS = 32
 _CELL_ROWS = 20_000  # a cell this small is read directly
 _COPIES_PER_TASK_ROW = 100_000
 
@@ -57,8 +57,8 @@ def seeded_shuffle(
     """
     keyed = df if key else df.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
     keyed = keyed.withColumn("order_key", order_key(df.columns, seed, key))
-    slice_of_key = F.conv(F.substring("order_key", 1, digits), 16, 10).cast("int")
-    keyed = keyed.withColumn("__slice", F.coalesce(slice_of_key, F.lit(0)))
+    # A prefix sorts as the keys do and serves as a slice. It is never null.
+    keyed = keyed.withColumn("__slice", F.coalesce(F.substring("order_key", 1, digits), F.lit("")))
     weight = F.lit(1).cast("long") if key else F.col("__copies")
     ranked = running(
         keyed, {"rank": Running("sum", weight, include_current=False)}, "order_key", slice_col="__slice"
@@ -87,74 +87,68 @@ class _Cut:
 
     def __init__(self, rank: int, rows: int):
         self.rank, self.rows, self.before = rank, rows, 0
-        self.cell, self.shift = 0, _PLACE_BITS
-        self.low: int | None = None
-        self.high: int | None = None
+        self.prefix, self.one_key = "", False
         self.key: str | None = None
 
-    def descend(self, cells: list, shift: int) -> None:
-        for c in sorted(cells, key=lambda c: c["cell"]):
-            if c["cell"] >> (self.shift - shift) != self.cell:
+    def descend(self, cells: list) -> None:
+        for c in sorted(cells, key=lambda c: c["prefix"]):
+            if not c["prefix"].startswith(self.prefix):
                 continue
             if self.rank < self.before + c["n"]:
-                self.cell, self.shift, self.rows = c["cell"], shift, c["n"]
-                self.low, self.high = c["low"], c["high"]
+                self.prefix, self.rows, self.one_key = c["prefix"], c["n"], c["low"] == c["high"]
                 return
             self.before += c["n"]
 
     @property
     def wide(self) -> bool:
-        return self.rows > _CELL_ROWS and self.low != self.high
+        return self.rows > _CELL_ROWS and not self.one_key and len(self.prefix) < _KEY_DIGITS
 
-    def holds(self) -> Column:
-        return F.shiftright("place", self.shift) == self.cell if self.low != self.high else F.col("place") == self.low
 
+def _cells(keys: DataFrame, length: int) -> list:
+    """Row counts per key prefix: at most 4,096 rows per cell that is refined.
 
-def _cells(keys: DataFrame, shift: int) -> list:
-    """Row counts per leading bits of the place: at most 4,096 rows per cell that is refined.
-
-    Longs only, so this is a hash aggregate with a map side of bounded size.
+    ``low`` equals ``high`` where a cell holds a single key. They are hashes, not keys: buffers of
+    longs keep this a hash aggregate, while strings would make it sort the rows.
     """
+    fingerprint = F.xxhash64("order_key")
     return (
-        keys.groupBy(F.shiftright("place", shift).alias("cell"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("low"), F.max("place").alias("high"))
+        keys.groupBy(F.substring("order_key", 1, length).alias("prefix"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(fingerprint).alias("low"), F.max(fingerprint).alias("high"))
         .collect()
     )
 
 
-def _any_of(cuts: list[_Cut]) -> Column:
-    condition = F.lit(False)
-    for cut in cuts:
-        condition = condition | cut.holds()
-    return condition
+def _inside(cuts: list[_Cut], length: int) -> Column:
+    return F.substring("order_key", 1, length).isin(sorted({c.prefix for c in cuts if len(c.prefix) == length}))
 
 
 def _find_cuts(keys: DataFrame, ends_of) -> tuple[int, tuple[int, int], list[_Cut]]:
-    """Keys at the split ends, found by counting cells of keys instead of sorting the table.
+    """Keys at the split ends, found by counting key prefixes instead of sorting the table.
 
     Only the key column is read: once for all rows, then for the cells that contain an end.
     """
-    keys = keys.withColumn("place", F.conv(F.substring("order_key", 1, _PLACE_BITS // 4), 16, 10).cast("bigint"))
-    shift = _PLACE_BITS - _STEP_BITS
-    cells = _cells(keys.select("place"), shift)
+    length = _STEP_DIGITS
+    cells = _cells(keys, length)
     rows = sum(c["n"] for c in cells)
     ends = ends_of(rows)
     cuts = [_Cut(rank, rows) for rank in ends]
     inside = [c for c in cuts if c.rank < rows]
     for cut in inside:
-        cut.descend(cells, shift)
+        cut.descend(cells)
     while wide := [c for c in inside if c.wide]:
-        shift -= _STEP_BITS
-        found = _cells(keys.filter(_any_of(wide)).select("place"), shift)
+        length += _STEP_DIGITS
+        found = _cells(keys.filter(_inside(wide, length - _STEP_DIGITS)), length)
         for cut in wide:
-            cut.descend(found, shift)
+            cut.descend(found)
     if inside:
         # At most _CELL_ROWS rows per cut, or copies of one key, which are counted on the map side.
-        near = keys.filter(_any_of(inside)).groupBy("order_key", "place").agg(F.count(F.lit(1)).alias("n"))
-        for r in sorted(near.collect(), key=lambda r: r["order_key"]):
+        near = F.lit(False)
+        for n in sorted({len(c.prefix) for c in inside}):
+            near = near | _inside(inside, n)
+        counted = keys.filter(near).groupBy("order_key").agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in sorted(counted, key=lambda r: r["order_key"]):
             for cut in inside:
-                mine = r["place"] == cut.low if cut.low == cut.high else r["place"] >> cut.shift == cut.cell
-                if cut.key is None and mine:
+                if cut.key is None and r["order_key"].startswith(cut.prefix):
                     if cut.rank < cut.before + r["n"]:
                         cut.key = r["order_key"]
                     else:
