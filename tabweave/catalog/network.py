@@ -8,13 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabweave.catalog.evaluation import BEST_F1_SQL, CURVE_SQL
-from tabweave.catalog.preparation import KEY
+from tabweave.catalog.preparation import prepared
 from tabweave.catalog.registry import query
 from tabweave.catalog.views import (
-    CATEGORICAL,
     EPOCHS_SQL,
     LOANS_SQL,
-    NUMERIC,
     VECTORS_SQL,
     epochs,
     formula_params,
@@ -32,7 +30,6 @@ from tabweave.operators.stopping import early_stop
 from tabweave.operators.training import parameter_table, place_rows, train_epoch
 from tabweave.plans.evaluate import evaluate_network, network_threshold
 from tabweave.plans.fit import fit, load_best
-from tabweave.plans.prepare import prepare
 from tabweave.storage import scratch_path
 
 WIDTH = 64
@@ -281,7 +278,7 @@ def m8_gradient_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("m9_fit_network")
 def m9_fit_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prepared loans, a small network with layer norm and dropout, early stopping: losses per epoch."""
-    ready = prepare(loans(spark, sf_dir), NUMERIC, CATEGORICAL, key=KEY)
+    ready = prepared(spark, sf_dir)
     train = assemble(ready.part("train"), keep=["order_key"])
     batch = F.conv(F.substring("order_key", 1, 2), 16, 10).cast("int").alias("batch")
     validation = assemble(ready.part("val"), keep=["order_key"]).select(batch, "features", "label")

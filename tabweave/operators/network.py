@@ -106,7 +106,7 @@ def unflatten(values: np.ndarray, spec: MLPSpec) -> Parameters:
 def _activate(z: np.ndarray, kind: str) -> np.ndarray:
     if kind == "tanh":
         return np.tanh(z)
-    return np.where(z > 0, z, z * (LEAKY_SLOPE if kind == "leaky_relu" else 0.0))
+    return np.maximum(z, LEAKY_SLOPE * z if kind == "leaky_relu" else 0.0)
 
 
 def _activation_slope(z: np.ndarray, kind: str) -> np.ndarray:
@@ -124,7 +124,8 @@ def forward(params: Parameters, x: np.ndarray, spec: MLPSpec, rng: np.random.Gen
     training, tape, out = rng is not None, [], x
     for i in range(len(spec.hidden_sizes)):
         step = {"input": out}
-        z = out @ params[f"{i}.weight"].T + params[f"{i}.bias"]
+        z = out @ params[f"{i}.weight"].T
+        z += params[f"{i}.bias"]
         if spec.norm:
             axis = 0 if spec.norm == "batch" else 1
             if spec.norm == "batch" and not training:

@@ -51,15 +51,22 @@ def _number(value: Any) -> Any:
 
 
 def _load(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records of a JSON folder; a missing folder is empty and broken records are left out."""
-    full = T._parse_datatype_string(schema)
+    """Records of a JSON folder; a missing folder is empty and broken records are left out.
+
+    Lines are parsed after reading, so that a record is judged as a whole even where a query needs
+    none of its columns, such as a count.
+    """
+    names = T._parse_datatype_string(schema).fieldNames()
     try:
-        raw = spark.read.schema(f"{schema}, {_BROKEN} string").json(path)
+        lines = spark.read.text(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
-    return raw.filter(F.col(_BROKEN).isNull()).select(*full.fieldNames())
+        return spark.createDataFrame([], schema)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    record = F.from_json("value", f"{schema}, {_BROKEN} string", options).alias("record")
+    whole = F.col("record").isNotNull() & F.col(f"record.{_BROKEN}").isNull()
+    return lines.filter(F.trim("value") != "").select(record).filter(whole).select(*[f"record.{n}" for n in names])
 
 
 def load_history(spark: SparkSession, path: str) -> DataFrame:

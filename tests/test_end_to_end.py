@@ -1,0 +1,57 @@
+"""From a CSV file to a written report, as in the README."""
+
+from pyspark.sql import functions as F
+
+from tabweave.operators.baselines import BASELINE_NAME, fit_logistic, score_logistic
+from tabweave.operators.classes import class_weights, weight_list
+from tabweave.operators.encode import assemble
+from tabweave.operators.network import MLPSpec, init_params
+from tabweave.operators.training import place_rows
+from tabweave.plans.evaluate import evaluate, evaluate_network, metrics_record, network_threshold
+from tabweave.plans.fit import fit
+from tabweave.plans.prepare import prepare_loans
+from tabweave.plans.report import report
+from tabweave.sources.history import append_epochs, load_epochs, load_history, log_run
+from tabweave.sources.schemas import LOAN_CATEGORICAL, LOAN_NUMERIC
+
+
+def test_from_csv_to_report(spark, tmp_path):
+    i = F.col("id")
+    risky = (i * 7919 % 1000) < 250
+    raw = spark.range(1500).select(
+        *[((i * (31 + n) % 977) + F.when(risky, 300 if n < 4 else 0).otherwise(0)).cast("string").alias(c) for n, c in enumerate(LOAN_NUMERIC)],
+        *[F.concat(F.lit("v"), i % (n + 2)).alias(c) for n, c in enumerate(LOAN_CATEGORICAL)],
+        F.when(i % 50 == 0, "Current").when(risky, "Charged Off").otherwise("Fully Paid").alias("loan_status"),
+        (i % 25 + 5).alias("int_rate"),
+    )
+    raw.write.csv(str(tmp_path / "loans"), header=True)
+
+    ready = prepare_loans(spark, str(tmp_path / "loans"))
+    train_rows = assemble(ready.part("train"), keep=["order_key"])
+    train = place_rows(train_rows, buckets=2)
+    batch = F.substring("order_key", 1, 1).alias("batch")
+    validation = assemble(ready.part("val"), keep=["order_key"]).select(batch, "features", "label")
+    test = assemble(ready.part("test"))
+    weights = weight_list(class_weights(ready.part("train"), "classification_target"))
+
+    spec = MLPSpec(len(ready.frame.columns) - 5, [16], 2, norm="layer", dropout_rate=0.1)
+    result = fit(train, validation, init_params(spec), spec, epochs=4, lr=0.1, batch_size=32, weights=weights)
+    assert result.history[-1]["train_loss"] < result.history[0]["train_loss"]
+    cut = network_threshold(validation, result.params, spec).first()["threshold"]
+    record = metrics_record(evaluate_network(test, result.params, spec, threshold=cut))
+    assert record["threshold"] == cut and record["recall"] > 0.4
+
+    baseline = fit_logistic(train_rows, weights)
+    base = metrics_record(evaluate(score_logistic(test, baseline), "label", "p1"))
+    history = str(tmp_path / "history")
+    log_run(spark, "classification", BASELINE_NAME["classification"], base, path=history)
+    log_run(spark, "classification", "mlp", record, "first", path=history)
+    log_run(spark, "classification", "mlp", record, path=history)
+    append_epochs(result.epochs(spark, "first"), str(tmp_path / "epochs"))
+
+    names = report(load_history(spark, history), {"classification": load_epochs(spark, str(tmp_path / "epochs"))}, str(tmp_path / "report"))
+    assert {"runs", "classification_comparison", "classification_evolution", "classification_verdict", "classification_loss_curve"} < set(names)
+    evolution = spark.read.json(str(tmp_path / "report" / "classification_evolution")).orderBy("n").collect()
+    assert [(r["n"], r["delta"], r["notes"]) for r in evolution] == [("1", "-", "first"), ("2", "→ +0.0000", "-")]
+    verdict = spark.read.json(str(tmp_path / "report" / "classification_verdict")).first()
+    assert verdict["verdict"] in ("better", "worse", "equal") and verdict["baseline_value"] == base["recall"]

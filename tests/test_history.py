@@ -34,8 +34,10 @@ def test_log_and_load(spark, tmp_path):
 def test_broken_records_are_left_out(spark, tmp_path):
     path = tmp_path / "history"
     path.mkdir()
-    (path / "a.json").write_text('{"task": "regression", "model_name": "m", "seq": 1}\n{"task": "regr\nnot json\n')
-    assert [r["seq"] for r in load_history(spark, str(path)).collect()] == [1]
+    (path / "a.json").write_text('{"task": "regression", "model_name": "m", "seq": 1}\n{"task": "regr\nnot json\n\n7\n')
+    history = load_history(spark, str(path))
+    assert [r["seq"] for r in history.collect()] == [1]
+    assert history.count() == 1 and not history.isEmpty()
 
 
 def test_json_result_is_replaced(spark, tmp_path):
