@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabweave.operators import training
 from tabweave.operators.network import (
     MLPSpec,
     backward,
@@ -187,6 +188,17 @@ def test_buckets_are_averaged_by_rows_and_runs_repeat(spark):
     assert sum(r["count"] for r in sizes) == 240 and len(sizes) == 4
 
 
+def test_weights_of_many_slices_come_back_in_order(spark, monkeypatch):
+    df, _, _ = data(spark)
+    spec = MLPSpec(3, [6], 2, dropout_rate=0.0)
+    placed = place_rows(df, 2)
+    whole, a = train_epoch(placed, init_params(spec), spec, batch_size=16)
+    monkeypatch.setattr(training, "_CHUNK", 5)
+    monkeypatch.setattr(training, "_CHUNKS_PER_BATCH", 3)
+    sliced, b = train_epoch(placed, init_params(spec), spec, batch_size=16)
+    assert a == b and all((whole[n] == sliced[n]).all() for n in whole)
+
+
 def test_training_learns_and_regression_metrics(spark):
     df, x, y = data(spark)
     spec = MLPSpec(3, [8], 1, "tanh", 0.0)
