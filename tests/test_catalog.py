@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from tabweave import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
