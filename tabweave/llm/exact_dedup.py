@@ -82,7 +82,8 @@ def _split(active: DataFrame, width: int, rest: Column, sha: Column, extra: list
     shared = keyed.groupBy("grp", "digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = stage(shared.select("grp", "digit", F.monotonically_increasing_id().alias("next")), "radix-groups")
     ended = F.octet_length("digit") < width
-    placed = keyed.join(groups, ["grp", "digit"], "left").select(
+    # The same join at every size: a table of groups small enough to broadcast says nothing about the texts beside it.
+    placed = keyed.join(groups.hint("merge"), ["grp", "digit"], "left").select(
         "doc_id",
         sha.alias("text_sha256"),
         F.when(F.col("next").isNull(), "alone").when(ended, "ended").otherwise("open").alias("state"),
