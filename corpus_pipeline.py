@@ -1,21 +1,59 @@
-"""The corpus pipeline: quality rules, exact dedup, near dedup, repeated spans, packing."""
+"""The corpus pipeline: quality rules, exact dedup, near dedup, repeated passages, packing.
+
+Each stage works on all that the one before it kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabweave.llm.exact_dedup import drop_copies
+from tabweave.llm.packing import cut_pieces, pack
+from tabweave.llm.quality import load_labels, quality_rules
+from tabweave.llm.repeated_spans import cut_repeats
+from tabweave.llm.simhash import drop_near_duplicates
 from tabweave.storage import stage
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or lie below the quality threshold go."""
+    judged = quality_rules(docs, load_labels(spark, sf_dir), carry=docs.columns)
+    return judged.where("kept").select("carried.*")
+
+
+def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return drop_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def keep_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return drop_near_duplicates(docs)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that repeat are cut out; the number of characters follows the text."""
+    cut = cut_repeats(docs)
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, each with its sequence and its place there."""
+    import public_tokenizers
+
+    return pack(cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("exact_dedup", keep_exact),
+    ("near_dedup", keep_near),
+    ("repeated_passages", cut_passages),
+    ("packing", pack_sequences),
+]
 
-# Several stages have no equivalent in SQL.
+# Fingerprints, log ratios, tokens and windows have no equivalent in SQL.
 ORACLE_SQL = None
 
 

@@ -80,3 +80,75 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         _hex(F.col("loss_text")).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@_query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabweave.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabweave.llm.common import fold
+    from tabweave.llm.ngram_lm import score_corpus
+
+    return score_corpus(table(spark, sf_dir, "documents"), train=fold("doc_id", 5) != 1)
+
+
+@_query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabweave.llm.quality import load_labels, quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"), load_labels(spark, sf_dir))
+
+
+@_query
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabweave.llm.langid import fit_languages, is_held_out, predict_languages
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs.where(~is_held_out()))
+    marked = docs.select(F.struct("doc_id", is_held_out().alias("held_out")).alias("key"), "text")
+    return predict_languages(marked, model, id_col="key").select("doc_id.*", "lang_pred", "score")
+
+
+@_query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tabweave.llm.packing import cut_pieces, pack
+
+    return pack(cut_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@_query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tabweave.llm.bpe import decode, encode
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    decoded = decode(encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        _hex(F.col("text")).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabweave.llm.repeated_spans import repeated_spans
+
+    found = repeated_spans(table(spark, sf_dir, "documents"), length=200)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
