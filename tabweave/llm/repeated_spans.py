@@ -401,7 +401,5 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Bytes of characters that a span cuts through go as well. A text without spans, null included, stays as it is.
     """
     found = repeated_spans(docs, id_col, text_col, length, carry=docs.columns)
-    left = F.when(F.size("spans") == 0, F.col(f"carried.`{text_col}`")).otherwise(
-        F.regexp_replace(F.decode("kept", "UTF-8"), "\ufffd", "")
-    )
+    left = F.when(F.size("spans") == 0, F.col(f"carried.`{text_col}`")).otherwise(F.col("left"))
     return found.select(*[left.alias(c) if c == text_col else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
