@@ -26,8 +26,10 @@ class MergeAutomaton:
         self._arcs: dict[int, bool] = {}
         known = dict(symbols)
         for k, (a, b) in enumerate(merges, start=1):
-            self._gadget(k, known[a], known[b], tokens[a + b], a + b)
-            known[a + b] = tokens[a + b]
+            # Without the arc there is nothing to merge: an earlier rule always comes between.
+            if a in known and b in known and self._arc_at(known[a], known[b], k):
+                self._gadget(k, known[a], known[b], tokens[a + b], a + b)
+                known[a + b] = tokens[a + b]
         self.trie = _trie(self.label)
 
     def _gadget(self, k: int, a: int, b: int, c: int, label: bytes) -> None:
