@@ -347,11 +347,13 @@ def repeated_spans(
     parsed = given.select("id_key", "text_key", "text").mapInArrow(
         _parse_rows(length), "id_key long, text_key int, mark long, phrase long, place long"
     )
-    triggers = (
+    # Written, so that the join reads plain exchanges and a frequent trigger can be split over tasks.
+    triggers = stage(
         parsed.groupBy("mark")
         .agg(F.count(F.lit(1)).alias("n"), F.min("phrase").alias("least"), F.max("phrase").alias("most"))
         .where("n > 1")
-        .select("mark", (F.col("least") != F.col("most")).alias("differs"))
+        .select("mark", (F.col("least") != F.col("most")).alias("differs")),
+        "repeated-triggers",
     )
     repeated = stage(parsed.join(triggers, "mark"), "repeated-phrases")
     differing = repeated.where("differs")
