@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabweave.catalog.registry import query
 from tabweave.catalog.views import EPOCHS_SQL, ITEM_SQL, RUNS_SQL, epochs, item_scores, runs
+from tabweave.functions.display import number_text
 from tabweave.functions.scores import decide
 from tabweave.operators.metrics import binary_aggregates
 from tabweave.operators.runs import (
@@ -19,7 +20,14 @@ from tabweave.operators.runs import (
     verdict,
 )
 from tabweave.plans.report import comparison_text, evolution_text, report
-from tabweave.sources.history import append_epochs, append_runs, load_epochs, load_history, write_json
+from tabweave.sources.history import (
+    append_epochs,
+    append_runs,
+    import_history,
+    load_epochs,
+    load_history,
+    write_json,
+)
 from tabweave.storage import scratch_path
 
 METRICS = ("accuracy", "precision", "recall", "f1", "mae", "mse", "rmse", "r2")
@@ -80,7 +88,73 @@ def s4_json_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s5_epoch_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "epochs")
     append_epochs(epochs(spark, sf_dir), path)
-    return load_epochs(spark, path).withColumn("train_loss", F.round("train_loss", 6))
+    return load_epochs(spark, path).drop("metrics").withColumn("train_loss", F.round("train_loss", 6))
+
+
+def written_array(records: DataFrame, order: str, path: str) -> None:
+    """One file that holds all rows as a JSON array in order, the form of histories kept elsewhere.
+
+    One task writes it, as it is one file; its rows pass through sorted and are never held together.
+    """
+    ends = records.agg(F.min(order).alias("first"), F.max(order).alias("last")).first()
+    text = F.to_json(F.struct(*[F.col(c) for c in records.columns if c != order]))
+    line = F.concat(
+        F.when(F.col(order) == ends["first"], "[").otherwise(","), text, F.when(F.col(order) == ends["last"], "]").otherwise("")
+    )
+    records.repartition(1).sortWithinPartitions(order).select(line.alias("value")).write.text(path)
+
+
+@query(
+    "s3_array_history",
+    f"""WITH {RUNS_SQL}
+SELECT timestamp, task, model_name, notes, {METRIC_LIST}, row_number() OVER (ORDER BY seq) - 1 AS seq,
+       CASE WHEN seq % 3 = 0 THEN seq / 4 END AS latency FROM runs""",
+)
+def s3_array_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history kept as one array, with a metric that records do not know, through import and append."""
+    source, path = scratch_path(spark, "array-history"), scratch_path(spark, "history")
+    latency = F.when(F.col("seq") % 3 == 0, F.col("seq") / 4)
+    metrics = F.struct("metrics.*", latency.alias("latency"), F.lit("fast").alias("remark"))
+    written_array(
+        runs(spark, sf_dir).select("timestamp", "task", "model_name", metrics.alias("metrics"), "notes", "seq"), "seq", source
+    )
+    append_runs(import_history(spark, source), path)
+    stored = load_history(spark, path)
+    return flat(stored).join(stored.select("seq", F.col("extra")["latency"].alias("latency")), "seq")
+
+
+@query(
+    "s2_extra_metrics",
+    f"""WITH {RUNS_SQL}
+SELECT seq, round(m * 3, 4) AS auc, seq % 7 AS depth FROM runs JOIN (SELECT event_id AS seq, m FROM marked) USING (seq)""",
+)
+def s2_extra_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics under names of their own survive the history, null and NaN included."""
+    path = scratch_path(spark, "history")
+    records = runs(spark, sf_dir)
+    m = F.coalesce(F.col("metrics.accuracy"), F.col("metrics.mae")) * 50_000
+    extra = F.map_from_arrays(F.array(F.lit("auc"), F.lit("depth")), F.array(m * 3, (F.col("seq") % 7).cast("double")))
+    append_runs(records.withColumn("extra", extra), path)
+    return load_history(spark, path).select(
+        "seq", F.round(F.col("extra")["auc"], 4).alias("auc"), F.col("extra")["depth"].cast("bigint").alias("depth")
+    )
+
+
+@query(
+    "s5_epoch_metrics",
+    f"""WITH {EPOCHS_SQL}
+SELECT run_id, epoch, val_loss, CASE WHEN epoch % 2 = 0 THEN epoch / 8 END AS val_f1, epoch * 2.0::DOUBLE AS train_grad_norm FROM epochs""",
+)
+def s5_epoch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epoch records with metrics beside the losses."""
+    path = scratch_path(spark, "epochs")
+    f1 = F.when(F.col("epoch") % 2 == 0, F.col("epoch") / 8)
+    norm = F.col("epoch") * F.lit(2.0)
+    named = F.map_from_arrays(F.array(F.lit("val_f1"), F.lit("train_grad_norm")), F.array(f1, norm))
+    append_epochs(epochs(spark, sf_dir).withColumn("metrics", named), path)
+    return load_epochs(spark, path).select(
+        "run_id", "epoch", "val_loss", *[F.col("metrics")[n].alias(n) for n in ("val_f1", "train_grad_norm")]
+    )
 
 
 LATEST_SQL = f"""{RUNS_SQL}, named AS (
@@ -116,8 +190,8 @@ EXPECTED = {
 }
 
 
-def comparison_sql(task: str) -> str:
-    expected = ", ".join(f"('{d}', '{m}')" for d, m in EXPECTED[task])
+def comparison_sql(task: str, models: list[tuple[str, str]] | None = None) -> str:
+    expected = ", ".join(f"('{d}', '{m}')" for d, m in models or EXPECTED[task])
     metrics = ", ".join(TABLE_METRICS[task])
     return f"""WITH {LATEST_SQL}, expected(display_name, model_name) AS (VALUES {expected}), compared AS (
   SELECT display_name, expected.model_name, {metrics}, replace(substr(timestamp, 1, 19), 'T', ' ') AS logged_at,
@@ -151,7 +225,7 @@ def evolution_sql(task: str, metric: str, where: str) -> str:
 )"""
 
 
-DIRECTION_SQL = "CASE WHEN delta > 0 THEN 'up' WHEN delta < 0 THEN 'down' WHEN delta = 0 THEN 'flat' END AS direction"
+DIRECTION_SQL = "CASE WHEN isnan(delta) THEN 'flat' WHEN delta > 0 THEN 'up' WHEN delta < 0 THEN 'down' WHEN delta = 0 THEN 'flat' END AS direction"
 
 
 @query(
@@ -185,7 +259,7 @@ def verdict_sql(task: str, metric: str, baseline: str, model: str, better: str,
 )
 SELECT '{task}' AS task,
        CASE WHEN has_b = 0 OR has_m = 0 THEN 'missing_runs' WHEN b IS NULL OR m IS NULL THEN 'missing_metric'
-            WHEN {better} THEN 'better' WHEN {worse} THEN 'worse' ELSE 'equal' END AS verdict,
+            WHEN isnan(m - b) THEN 'equal' WHEN {better} THEN 'better' WHEN {worse} THEN 'worse' ELSE 'equal' END AS verdict,
        concat_ws(',', CASE WHEN has_b = 0 THEN '{baseline}' END, CASE WHEN has_m = 0 THEN '{model}' END) AS missing,
        b AS baseline_value, m AS model_value, round(m - b, 6) AS difference{extra}
 FROM pair"""
@@ -238,7 +312,7 @@ def h7_comparison_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     evolution_sql("regression", "rmse", "true")
     + f""" SELECT model_name, CAST(n AS VARCHAR) AS n, logged_at, {text_sql('value', 6)} AS rmse,
        CASE WHEN delta IS NULL THEN '-'
-            ELSE CASE WHEN delta > 0 THEN '▲' WHEN delta < 0 THEN '▼' ELSE '→' END || ' ' || printf('%+.6f', delta) END AS delta,
+            ELSE CASE WHEN isnan(delta) THEN '→' WHEN delta > 0 THEN '▲' WHEN delta < 0 THEN '▼' ELSE '→' END || ' ' || printf('%+.6f', delta) END AS delta,
        coalesce(nullif(notes, ''), '-') AS notes
 FROM changed""",
 )
@@ -283,6 +357,77 @@ def h9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes
 
 
+def cells_sql(name: str, source: str, cells: list[str]) -> str:
+    listed = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cells)
+    return f"SELECT '{name}' AS name, concat_ws('|', {listed}) AS cells FROM ({source})"
+
+
+def report_cells_sql() -> str:
+    parts = []
+    expected = {
+        "classification": [("Regressão Logística (Baseline)", "baseline_logistic_regression"), ("MLP", "mlp")],
+        "regression": [("Regressão Linear (Baseline)", "baseline_linear_regression"), ("MLP", "mlp")],
+    }
+    rules = {"classification": ("recall", "baseline_logistic_regression", RECALL_RULE), "regression": ("rmse", "baseline_linear_regression", RMSE_RULE)}
+    for task, digits in (("classification", 4), ("regression", 6)):
+        metric, baseline, rule = rules[task]
+        texts = [text_sql(m, 6 if m in ("mae", "mse", "rmse") else 4) for m in TABLE_METRICS[task]]
+        logged = "CASE WHEN available THEN logged_at ELSE 'sem execução registrada' END"
+        parts.append(
+            cells_sql(f"{task}_comparison", comparison_sql(task, expected[task]) + " SELECT * FROM compared", ["display_name", *texts, logged])
+        )
+        delta = (
+            "CASE WHEN delta IS NULL THEN '-' ELSE CASE WHEN isnan(delta) THEN '→' WHEN delta > 0 THEN '▲' WHEN delta < 0 THEN '▼' "
+            f"ELSE '→' END || ' ' || printf('%+.{digits}f', delta) END"
+        )
+        parts.append(
+            cells_sql(
+                f"{task}_evolution",
+                evolution_sql(task, metric, "model_name = 'mlp'") + " SELECT * FROM changed",
+                ["model_name", "n", "logged_at", text_sql("value", digits), delta, "coalesce(nullif(notes, ''), '-')"],
+            )
+        )
+        values = [f"printf('%.6f', {v})" for v in ("baseline_value", "model_value", "difference")]
+        parts.append(
+            cells_sql(f"{task}_verdict", verdict_sql(task, metric, baseline, "mlp", *rule), ["task", "verdict", "missing", *values])
+        )
+    parts.append(cells_sql("runs", f"WITH {RUNS_SQL} SELECT task, count(*) AS n FROM runs GROUP BY task", ["task", "n"]))
+    parts.append("SELECT 'notices', 'regression|no_loss_curve'")
+    curve = f"""WITH {EPOCHS_SQL} SELECT run_id, epoch, 'train' AS series, train_loss AS loss FROM epochs
+UNION ALL SELECT run_id, epoch, 'val', val_loss FROM epochs"""
+    parts.append(cells_sql("classification_loss_curve", curve, ["run_id", "epoch", "series", "printf('%.6f', loss)"]))
+    return "\nUNION ALL ".join(f"({p})" for p in parts)
+
+
+def _cells(table: DataFrame, name: str, columns: list) -> DataFrame:
+    listed = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    return table.select(F.lit(name).alias("name"), F.concat_ws("|", *listed).alias("cells"))
+
+
+@query("h9_report_cells", report_cells_sql())
+def h9_report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report from a stored history, every cell of every table it wrote."""
+    out = scratch_path(spark, "report")
+    names = report(stored(spark, sf_dir), {"classification": epochs(spark, sf_dir)}, out)
+    found = None
+    for name in names:
+        task = name.split("_")[0]
+        if name.endswith("_comparison"):
+            columns = ["display_name", *TABLE_METRICS[task], "logged_at"]
+        elif name.endswith("_evolution"):
+            columns = ["model_name", "n", "logged_at", {"classification": "recall", "regression": "rmse"}[task], "delta", "notes"]
+        elif name.endswith("_verdict"):
+            columns = ["task", "verdict", "missing", "baseline_value", "model_value", "difference"]
+        else:
+            columns = {"runs": ["task", "runs"], "notices": ["task", "notice"]}.get(name, ["run_id", "epoch", "series", "loss"])
+        kinds = {"baseline_value": "double", "model_value": "double", "difference": "double", "loss": "double"}
+        table = spark.read.schema(", ".join(f"{c} {kinds.get(c, 'string')}" for c in columns)).json(f"{out}/{name}")
+        shown = [number_text(F.col(c), 6) if c in kinds else F.col(c) for c in columns]
+        part = _cells(table, name, shown)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query(
     "evaluated_runs",
     f"""WITH {ITEM_SQL}, cut AS (SELECT CAST(c / 10 AS DOUBLE) AS threshold FROM range(1, 10) AS s(c)), decided AS (

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +18,11 @@ from tabweave.catalog.views import (
     vectors,
 )
 from tabweave.functions.scores import regression_value
+from tabweave.operators.batches import batches_by_size
 from tabweave.operators.baselines import coefficient_table, fit_linear, fit_logistic
 from tabweave.operators.classes import class_weights, weight_list
 from tabweave.operators.encode import assemble
-from tabweave.operators.losses import batch_cross_entropy
+from tabweave.operators.losses import batch_cross_entropy, weighted_cross_entropy
 from tabweave.operators.network import INITIAL_SPREAD, MLPSpec, init_params
 from tabweave.operators.scoring import score_mlp, validate_epoch, with_predictions
 from tabweave.operators.stopping import early_stop
@@ -181,10 +180,30 @@ def m10_validation_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select(*[F.round(c, 6).alias(c) for c in checked.columns])
 
 
-def bucket_count(rows: int, rows_per_bucket: int = 250_000, least: int = 4) -> int:
-    """Parallel buckets of a training run; they grow with the data."""
-    return max(least, math.ceil(rows / rows_per_bucket))
+BY_SIZE = 48
+BY_SIZE_SQL = mlp_sql(PLAIN).replace(
+    "CAST(floor(vec_id / 64.0) AS BIGINT) AS batch",
+    f"(row_number() OVER (ORDER BY md5('42:' || CAST(vec_id AS VARCHAR))) - 1) // {BY_SIZE} AS batch",
+)
+
+
+@query(
+    "m10_batches_by_size",
+    f"""WITH {BY_SIZE_SQL}, pair AS (SELECT label, batch, {PAIR_SQL} FROM scored), judged AS (
+  SELECT *, {WEIGHT_SQL} AS w, {NLL} AS nll FROM pair
+)
+SELECT batch, count(*) AS rows, round(sum(w * nll) / sum(w), 6) AS loss FROM judged GROUP BY batch""",
+)
+def m10_batches_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation losses of batches that hold a given number of rows."""
+    rows = batches_by_size(vectors(spark, sf_dir).drop("batch"), BY_SIZE, key=["vec_id"])
+    scored = score_mlp(rows, formula_params(PLAIN), PLAIN, keep=["batch", "label"])
+    loss = weighted_cross_entropy("logits", "label", WEIGHTS, 2)
+    return scored.groupBy("batch").agg(F.count(F.lit(1)).alias("rows"), F.round(loss, 6).alias("loss"))
+
 
+# Parallel buckets of the training runs here. Trained weights depend on it, so it is a setting, not a guess from the data.
+BUCKETS = 4
 
 LOGISTIC = MLPSpec(WIDTH, [], 2)
 STEP_SIZE, BATCH_SIZE = 0.5, 32
@@ -193,7 +212,7 @@ STEP_SIZE, BATCH_SIZE = 0.5, 32
 # through in order, each step moving the weights (two rows of 64) and the two biases.
 TRAIN_SQL = f"""WITH RECURSIVE {VECTORS_SQL}, keyed AS (
   SELECT *, md5('42:' || CAST(vec_id AS VARCHAR)) AS place, md5('42:1:' || CAST(vec_id AS VARCHAR)) AS turn,
-         (SELECT greatest(4, CAST(ceil(count(*) / 250000) AS BIGINT)) FROM vectors) AS buckets
+         {BUCKETS} AS buckets
   FROM vectors
 ), bucketed AS (
   SELECT *, CAST('0x' || substr(place, 1, 15) AS BIGINT) % buckets AS bucket FROM keyed
@@ -243,7 +262,7 @@ SELECT kind, CAST(position AS INT) AS position, round(value, 6) + 0.0 AS value F
 
 def logistic_epoch(spark: SparkSession, sf_dir: str):
     rows = vectors(spark, sf_dir).select("vec_id", "features", "label")
-    data = place_rows(rows, bucket_count(rows.count()), key="vec_id")
+    data = place_rows(rows, BUCKETS, key="vec_id")
     return train_epoch(
         data, formula_params(LOGISTIC), LOGISTIC, lr=STEP_SIZE, batch_size=BATCH_SIZE, weights=WEIGHTS
     )
@@ -280,12 +299,11 @@ def m9_fit_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prepared loans, a small network with layer norm and dropout, early stopping: losses per epoch."""
     ready = prepared(spark, sf_dir)
     train = assemble(ready.part("train"), keep=["order_key"])
-    batch = F.conv(F.substring("order_key", 1, 2), 16, 10).cast("int").alias("batch")
-    validation = assemble(ready.part("val"), keep=["order_key"]).select(batch, "features", "label")
+    validation = batches_by_size(assemble(ready.part("val"), keep=["order_key"]), 64, key=["order_key"])
     rows = ready.sizes().filter("split = 'train'").first()
     spec = MLPSpec(rows["width"] - 3, [8], 2, "relu", 0.1, "layer")
     weights = weight_list(class_weights(ready.part("train"), "classification_target"))
-    data = place_rows(train, bucket_count(rows["rows"]))
+    data = place_rows(train, BUCKETS)
     result = fit(data, validation, init_params(spec), spec, epochs=3, lr=0.05, weights=weights, patience=2)
     return result.epochs(spark, "loans")
 
@@ -307,6 +325,49 @@ def m11_initial_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+# Spread of the start weights by kind, as it follows from a layer's width and height.
+SPREAD_SQL = """CASE init WHEN 'kaiming_normal' THEN sqrt(2.0 / fan_in) WHEN 'kaiming_uniform' THEN sqrt(6.0 / fan_in)
+  WHEN 'xavier_normal' THEN sqrt(2.0 / (fan_in + fan_out)) WHEN 'xavier_uniform' THEN sqrt(6.0 / (fan_in + fan_out))
+  ELSE sqrt(1.0 / fan_in) END"""
+
+
+@query(
+    "m11_weight_spread",
+    f"""WITH widths AS (SELECT CAST(max(len(embedding)) AS INT) AS width FROM embeddings), layers AS (
+  SELECT 0 AS layer, width AS fan_in, 32 AS fan_out FROM widths UNION ALL SELECT 1, 32, 16 UNION ALL SELECT 2, 16, 1
+), kinds(init) AS (VALUES ('kaiming_normal'), ('kaiming_uniform'), ('xavier_normal'), ('xavier_uniform'), ('default'))
+SELECT init, layer, fan_in, fan_out, round({SPREAD_SQL}, 6) AS spread, true AS spread_met, true AS zero_biases FROM kinds, layers""",
+)
+def m11_weight_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per kind of start weights and layer: its size, the spread asked for, and whether the weights have it.
+
+    Normal weights meet it if their deviation is within five standard errors, uniform ones if none lies
+    beyond the bound and their deviation is that of the bound.
+    """
+    width = vectors(spark, sf_dir).agg(F.max(F.size("features"))).first()[0]
+    spec = MLPSpec(width, [32, 16], 1)
+    tables = None
+    for init in INITIAL_SPREAD:
+        table = parameter_table(spark, init_params(spec, init), spec).withColumn("init", F.lit(init))
+        tables = table if tables is None else tables.unionByName(table)
+    zero = F.forall("values", lambda v: v == 0)
+    biases = tables.filter("kind = 'bias'").select("init", "layer", zero.alias("zero_biases"))
+    fan_in, fan_out = F.element_at("shape", 2), F.element_at("shape", 1)
+    weights = tables.filter("kind = 'weight'").select(
+        "init", "layer", fan_in.alias("fan_in"), fan_out.alias("fan_out"), F.expr(SPREAD_SQL.replace("fan_in", "shape[1]").replace("fan_out", "shape[0]")).alias("spread"), F.explode("values").alias("w")
+    )
+    normal = F.col("init").endswith("normal")
+    by_layer = weights.groupBy("init", "layer", "fan_in", "fan_out", "spread").agg(
+        F.stddev_pop("w").alias("deviation"), F.max(F.abs("w")).alias("largest"), F.count("w").alias("n")
+    )
+    asked = F.when(normal, F.col("spread")).otherwise(F.col("spread") / F.sqrt(F.lit(3.0)))
+    near = F.abs(F.col("deviation") / asked - 1) <= 5 / F.sqrt(2.0 * F.col("n"))
+    met = near & (normal | (F.col("largest") <= F.col("spread")))
+    return by_layer.join(biases, ["init", "layer"]).select(
+        "init", "layer", "fan_in", "fan_out", F.round("spread", 6).alias("spread"), met.alias("spread_met"), "zero_biases"
+    )
+
+
 def stop_sql(patience: int, min_delta: float) -> str:
     better = f"(best IS NULL OR NOT (e.val_loss > best - {min_delta}::DOUBLE))"
     return f"""WITH RECURSIVE {EPOCHS_SQL}, walk AS (
@@ -315,11 +376,11 @@ def stop_sql(patience: int, min_delta: float) -> str:
   UNION ALL
   SELECT w.run_id, e.epoch, CASE WHEN {better} THEN e.epoch ELSE best_epoch END,
          CASE WHEN {better} THEN e.val_loss ELSE best END, CASE WHEN {better} THEN 0 ELSE waited + 1 END
-  FROM walk AS w JOIN epochs AS e ON e.run_id = w.run_id AND e.epoch = w.epoch + 1
+  FROM walk AS w JOIN epochs AS e ON e.run_id IS NOT DISTINCT FROM w.run_id AND e.epoch = w.epoch + 1
   WHERE waited < {patience}
 ), ends AS (SELECT run_id, max(epoch) AS epoch FROM walk GROUP BY run_id)
 SELECT w.run_id, CASE WHEN waited >= {patience} THEN w.epoch END AS stop_epoch, best_epoch, best AS best_loss
-FROM walk AS w JOIN ends USING (run_id, epoch)"""
+FROM walk AS w JOIN ends ON w.run_id IS NOT DISTINCT FROM ends.run_id AND w.epoch = ends.epoch"""
 
 
 @query("m12_early_stop", stop_sql(5, 0.0))
@@ -332,17 +393,102 @@ def m12_early_stop_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return early_stop(epochs(spark, sf_dir), patience=12, min_delta=2.5)
 
 
-@query("m13_best_weights", TRAINED_SQL)
+@query("m12_early_stop_sliced", stop_sql(5, 0.0))
+def m12_early_stop_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same runs, the one without an id included, looked at in slices of a few epochs."""
+    return early_stop(epochs(spark, sf_dir), epochs_per_slice=7)
+
+
+@query("m12_early_stop_margin_sliced", stop_sql(12, 2.5))
+def m12_early_stop_margin_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return early_stop(epochs(spark, sf_dir), patience=12, min_delta=2.5, epochs_per_slice=9)
+
+
+# The same network trained for some epochs in one bucket, with a step so large that the losses go up and down
+# and an epoch in the middle is the best one. The walk goes on from epoch to epoch.
+FIT_EPOCHS, FIT_STEP_SIZE = 5, 2.0
+FIT_SQL = f"""WITH RECURSIVE {VECTORS_SQL}, sizes AS (
+  SELECT CAST(ceil(count(*) / {BATCH_SIZE}.0) AS BIGINT) AS per_epoch FROM vectors
+), turns AS (
+  SELECT vectors.*, e, row_number() OVER (PARTITION BY e ORDER BY md5('42:' || e || ':' || CAST(vec_id AS VARCHAR))) - 1 AS place
+  FROM vectors, range(1, {FIT_EPOCHS + 1}) AS s(e)
+), batches AS (
+  SELECT (e - 1) * per_epoch + place // {BATCH_SIZE} AS step, list(features ORDER BY place) AS xs, list(label ORDER BY place) AS ys,
+         list(CASE WHEN label = 1 THEN {WEIGHTS[1]}::DOUBLE ELSE {WEIGHTS[0]}::DOUBLE END ORDER BY place) AS ws, count(*) AS n
+  FROM turns, sizes GROUP BY 1
+), start AS (
+  SELECT list_transform(range(0, {2 * WIDTH}), lambda k: CAST((((k // {WIDTH}) * 31 + (k % {WIDTH}) * 17) % 11 - 5) / 10 AS DOUBLE)) AS w,
+         list_transform(range(0, 2), lambda i: CAST((i % 3 - 1) / 10 AS DOUBLE)) AS b
+), walk AS (
+  SELECT CAST(-1 AS BIGINT) AS step, w, b, CAST(0 AS DOUBLE) AS loss FROM start
+  UNION ALL
+  SELECT step,
+         list_transform(range(0, {2 * WIDTH}), lambda k: w[k + 1] - {FIT_STEP_SIZE} * (2 * (k // {WIDTH}) - 1) * gw[k % {WIDTH} + 1]) AS w,
+         list_transform(range(0, 2), lambda i: b[i + 1] - {FIT_STEP_SIZE} * (2 * i - 1) * gb) AS b, loss
+  FROM (
+    SELECT step, w, b, list_sum(ds) AS gb,
+           list_transform(range(1, {WIDTH + 1}), lambda m: list_sum(list_transform(range(1, n + 1), lambda r: ds[r] * xs[r][m]))) AS gw,
+           list_sum(list_transform(range(1, n + 1), lambda r: ws[r] * -ln(CASE WHEN ys[r] = 1 THEN ps[r] ELSE 1 - ps[r] END))) / list_sum(ws) AS loss
+    FROM (
+      SELECT *, list_transform(range(1, n + 1), lambda r: ws[r] * (ps[r] - ys[r]) / list_sum(ws)) AS ds
+      FROM (
+        SELECT batches.*, walk.w, walk.b, list_transform(xs, lambda x: 1 / (1 + exp(
+                 walk.b[1] - walk.b[2] + list_sum(list_transform(range(1, {WIDTH + 1}), lambda m: (walk.w[m] - walk.w[m + {WIDTH}]) * x[m])))) ) AS ps
+        FROM walk JOIN batches ON batches.step = walk.step + 1
+      )
+    )
+  )
+), ended AS (
+  SELECT CAST((step + 1) // per_epoch AS INT) AS epoch, w, b FROM walk, sizes WHERE step >= 0 AND (step + 1) % per_epoch = 0
+), trained AS (
+  SELECT CAST(step // per_epoch + 1 AS INT) AS epoch, avg(loss) AS train_loss FROM walk, sizes WHERE step >= 0 GROUP BY 1
+), pair AS (
+  SELECT epoch, batch, label, b[1] + list_sum(list_transform(range(1, {WIDTH + 1}), lambda m: w[m] * features[m])) AS l0,
+         b[2] + list_sum(list_transform(range(1, {WIDTH + 1}), lambda m: w[m + {WIDTH}] * features[m])) AS l1
+  FROM ended, vectors
+), checked AS (
+  SELECT epoch, avg(loss) AS val_loss
+  FROM (SELECT epoch, batch, sum({WEIGHT_SQL} * ({NLL})) / sum({WEIGHT_SQL}) AS loss FROM pair GROUP BY epoch, batch)
+  GROUP BY epoch
+), best AS (SELECT epoch FROM checked ORDER BY val_loss, epoch DESC LIMIT 1)"""
+
+
+def fitted_logistic(spark: SparkSession, sf_dir: str, path: str | None = None):
+    data = vectors(spark, sf_dir)
+    return fit(
+        place_rows(data, 1, key="vec_id"), data, formula_params(LOGISTIC), LOGISTIC, epochs=FIT_EPOCHS, lr=FIT_STEP_SIZE,
+        batch_size=BATCH_SIZE, weights=WEIGHTS, patience=FIT_EPOCHS, best_path=path,
+    )
+
+
+@query(
+    "m9_fit_losses",
+    f"""{FIT_SQL}
+SELECT 'vectors' AS run_id, epoch, round(train_loss, 5) AS train_loss, round(val_loss, 5) AS val_loss FROM trained JOIN checked USING (epoch)""",
+)
+def m9_fit_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Losses of a whole fit from weights by formula."""
+    losses = fitted_logistic(spark, sf_dir).epochs(spark, "vectors")
+    return losses.select("run_id", "epoch", *[F.round(c, 5).alias(c) for c in ("train_loss", "val_loss")])
+
+
+@query(
+    "m13_best_weights",
+    f"""{FIT_SQL}
+SELECT 'weight' AS kind, CAST(k AS INT) AS position, round(w[k + 1], 4) + 0.0 AS value FROM ended JOIN best USING (epoch), range(0, {2 * WIDTH}) AS s(k)
+UNION ALL
+SELECT 'bias', CAST(k AS INT), round(b[k + 1], 4) + 0.0 FROM ended JOIN best USING (epoch), range(0, 2) AS s(k)
+UNION ALL
+SELECT 'best_epoch', 0, CAST(epoch AS DOUBLE) FROM best""",
+)
 def m13_best_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train with validation, keep the best epoch's parameters, read them back."""
-    data = vectors(spark, sf_dir)
-    train = place_rows(data, bucket_count(data.count()), key="vec_id")
     path = scratch_path(spark, "best-weights")
-    result = fit(
-        train, data, formula_params(LOGISTIC), LOGISTIC, epochs=1, lr=STEP_SIZE, batch_size=BATCH_SIZE,
-        weights=WEIGHTS, best_path=path,
-    )
-    return parameter_rows(parameter_table(spark, load_best(spark, path, result.best_epoch), LOGISTIC))
+    result = fitted_logistic(spark, sf_dir, path)
+    kept = parameter_table(spark, load_best(spark, path, result.best_epoch), LOGISTIC)
+    values = kept.select("kind", F.posexplode("values").alias("position", "value"))
+    epoch = spark.createDataFrame([("best_epoch", 0, float(result.best_epoch))], "kind string, position int, value double")
+    return values.withColumn("value", F.round("value", 4) + 0.0).unionByName(epoch)
 
 
 JUDGED_SQL = f"""{mlp_sql(PLAIN)}, scores AS (

@@ -72,12 +72,13 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.join(labels, "doc_id").select(
         "doc_id",
         F.col("quality").cast("int").alias("y"),
-        F.round(F.least(F.col("n_chars"), F.lit(5000)) / 5000, 3).alias("p1"),
+        F.round(F.col("n_chars") / (F.col("n_chars") + 1000), 3).alias("p1"),
     )
 
 
 QUALITY_SQL = """scores AS (
-  SELECT doc_id, CAST(quality AS INT) AS y, round(least(n_chars, 5000) / 5000, 3) AS p1
+  SELECT doc_id, CAST(quality AS INT) AS y,
+         round(n_chars / (n_chars + 1000), 3) AS p1
   FROM documents JOIN labels USING (doc_id)
 )"""
 
@@ -125,7 +126,10 @@ PAIRS_SQL = """pairs AS (
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run records of both tasks: baselines, network, other models and runs without a model name."""
-    cents = F.when((F.col("event_type") != "error") & (F.col("value") >= 1), F.round(F.col("value") * 100).cast("bigint"))
+    cents = F.when(
+        (F.col("event_type") != "error") & (F.col("value") >= 1),
+        F.when(F.col("event_id") % 53 == 7, F.lit(float("nan"))).otherwise(F.round(F.col("value") * 100)),
+    )
     classification = F.col("event_type").isin("view", "click")
     kind = F.col("user_id") % 6
     name = (
@@ -168,7 +172,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RUNS_SQL = """marked AS (
   SELECT *, event_type IN ('view', 'click') AS c, user_id % 6 AS kind,
-         CASE WHEN event_type <> 'error' AND value >= 1 THEN CAST(round(value * 100) AS BIGINT) END AS m
+         CASE WHEN event_type <> 'error' AND value >= 1
+              THEN CASE WHEN event_id % 53 = 7 THEN 'NaN'::DOUBLE ELSE round(value * 100) END END AS m
   FROM events
 ), runs AS (
   SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
@@ -192,11 +197,11 @@ RUNS_SQL = """marked AS (
 
 
 def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Epoch losses of one run per user, numbered in the order of the event log.
+    """Epoch losses of one run per user, numbered in the order of the event log; one run has no id.
 
     A user may own most of the log, so the numbering goes slice by slice.
     """
-    log = table(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    log = table(spark, sf_dir, "events").select(F.nullif("user_id", F.lit(7)).alias("user_id"), "event_id", "value")
     slicing = plan_slices(log, "event_id")
     numbered = running(
         assign_slices(log, "event_id", slicing),
@@ -214,8 +219,8 @@ def epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EPOCHS_SQL = """epochs AS (
-  SELECT CAST(user_id AS VARCHAR) AS run_id,
-         CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INT) AS epoch,
+  SELECT CAST(nullif(user_id, 7) AS VARCHAR) AS run_id,
+         CAST(row_number() OVER (PARTITION BY nullif(user_id, 7) ORDER BY event_id) AS INT) AS epoch,
          value * 0.9::DOUBLE AS train_loss, value AS val_loss
   FROM events
 )"""

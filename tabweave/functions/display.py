@@ -13,7 +13,8 @@ ARROWS = {"up": "▲", "down": "▼", "flat": "→"}
 
 def number_text(value: Column, digits: int = 4) -> Column:
     """Fixed decimals, or the mark for values that are not there."""
-    text = F.format_string(f"%.{digits}f", value.cast("double"))
+    number = value.cast("double")
+    text = F.when(F.isnan(number), "nan").otherwise(F.format_string(f"%.{digits}f", number))
     return F.when(value.isNull(), F.lit(NOT_AVAILABLE)).otherwise(text)
 
 
@@ -23,11 +24,14 @@ def time_text(timestamp: Column) -> Column:
 
 
 def direction(delta: Column) -> Column:
-    return F.when(delta > 0, "up").when(delta < 0, "down").when(delta == 0, "flat")
+    """up, down or flat; a change that is no number is flat, as it points nowhere."""
+    return F.when(F.isnan(delta), "flat").when(delta > 0, "up").when(delta < 0, "down").when(delta == 0, "flat")
 
 
 def delta_text(delta: Column, digits: int = 4) -> Column:
     """Arrow and signed difference, or a dash where there is nothing to compare."""
-    arrow = F.when(delta > 0, ARROWS["up"]).when(delta < 0, ARROWS["down"]).otherwise(ARROWS["flat"])
-    text = F.concat(arrow, F.lit(" "), F.format_string(f"%+.{digits}f", delta))
+    way = direction(delta)
+    arrow = F.when(way == "up", ARROWS["up"]).when(way == "down", ARROWS["down"]).otherwise(ARROWS["flat"])
+    number = F.when(F.isnan(delta), "+nan").otherwise(F.format_string(f"%+.{digits}f", delta))
+    text = F.concat(arrow, F.lit(" "), number)
     return F.when(delta.isNull(), F.lit(NO_DELTA)).otherwise(text)

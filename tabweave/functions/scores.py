@@ -42,9 +42,9 @@ def regression_value(logits: Column) -> Column:
 
 
 def decide(probability: Column, cutoff: float | Column = 0.5) -> Column:
-    """1 from the cutoff upwards, the cutoff included."""
+    """1 from the cutoff upwards, the cutoff included. NaN reaches no cutoff."""
     limit = cutoff if isinstance(cutoff, Column) else F.lit(cutoff)
-    return (probability >= limit).cast("int")
+    return ((probability >= limit) & ~F.isnan(probability) & ~F.isnan(limit)).cast("int")
 
 
 def negative_log_likelihood(logits: Column, label: Column, num_classes: int = 2) -> Column:

@@ -90,17 +90,16 @@ def feature_columns(columns: Sequence[str], exclude: Sequence[str] = ()) -> list
 
 def assemble(
     df: DataFrame,
-    mode: str = "classification",
+    mode: str | None = "classification",
     exclude: Sequence[str] = ("split", "order_key"),
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``keep`` columns, a float array of all features and the label of the task.
+    """``keep`` columns, a float array of all features and the label of the task (none without a mode).
 
     A feature that is null (only possible when it was null in every training row) is an error.
     """
-    if mode not in LABEL_OF_MODE:
+    if mode is not None and mode not in LABEL_OF_MODE:
         raise ValueError(f"mode '{mode}' is not one of {sorted(LABEL_OF_MODE)}")
-    label, label_type = LABEL_OF_MODE[mode]
     names = feature_columns(df.columns, [*exclude, *keep])
     elements = [
         F.coalesce(F.col(f"`{c}`").cast("float"), F.raise_error(F.lit(f"feature '{c}' is null")).cast("float"))
@@ -109,7 +108,7 @@ def assemble(
     return df.select(
         *[F.col(f"`{c}`") for c in keep],
         F.array(*elements).alias("features"),
-        F.col(label).cast(label_type).alias("label"),
+        *([F.col(LABEL_OF_MODE[mode][0]).cast(LABEL_OF_MODE[mode][1]).alias("label")] if mode else []),
     )
 
 

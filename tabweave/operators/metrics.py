@@ -38,11 +38,16 @@ def r2_of_sums(n: Column, squares: Column, spread: Column) -> Column:
 
 
 def confusion(df: DataFrame, actual: str, predicted: str, num_classes: int = 2) -> DataFrame:
-    """``actual, predicted, n``: all num_classes squared cells of the grid."""
+    """``actual, predicted, n``: all num_classes squared cells of the grid.
+
+    Rows with a null are left out; a class id outside 0 to num_classes - 1 is an error.
+    """
     grouped = df.groupBy(F.col(actual).cast("int").alias("a"), F.col(predicted).cast("int").alias("p")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    cell = F.col("a") * num_classes + F.col("p")
+    inside = F.col("a").between(0, num_classes - 1) & F.col("p").between(0, num_classes - 1)
+    refused = F.raise_error(F.concat(F.lit(f"not among {num_classes} classes: "), F.col("a"), F.lit(", "), F.col("p")))
+    cell = F.when(inside, F.col("a") * num_classes + F.col("p")).otherwise(refused.cast("int"))
     # The grouped frame has one row per cell at most, so this map is num_classes squared wide.
     one = grouped.filter(F.col("a").isNotNull() & F.col("p").isNotNull()).agg(
         F.map_from_entries(F.collect_list(F.struct(cell.alias("cell"), "n"))).alias("cells")

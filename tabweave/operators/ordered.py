@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 ROWS_PER_SLICE = 200_000
-MAX_SLICES = 8_192
 _FIRST_LOOK = 1_024
+_PARTITION = "__partition"
 
 
 @dataclass(frozen=True)
@@ -45,12 +45,23 @@ def _even_percentiles(
     return row["n"], row["cuts"] or [], {name: row[f"also_{name}"] for name in also or {}}
 
 
+def _cuts_within(df: DataFrame, order: str, coarse: Slicing, parts: int) -> list[float]:
+    """Cut points inside each coarse slice: one sketch and one row per slice, however many there are."""
+    fractions = ", ".join(f"{i / parts!r}D" for i in range(1, parts))
+    sliced = assign_slices(df.select(order), order, coarse, "__coarse")
+    inner = sliced.groupBy("__coarse").agg(
+        F.expr(f"percentile_approx(CAST(`{order}` AS DOUBLE), array({fractions}), {max(1_000, 10 * parts)})").alias("cuts")
+    )
+    return [c for row in inner.collect() for c in row["cuts"] or []]
+
+
 def plan_slices(
     df: DataFrame, order: str, rows_per_slice: int = ROWS_PER_SLICE, also: dict[str, Column] | None = None
 ) -> Slicing:
     """Cut a numeric order column into slices of about ``rows_per_slice`` rows.
 
-    One pass that returns one row: the percentile sketches are combined on the map side. Equal
+    One pass that returns one row: the percentile sketches are combined on the map side. Beyond
+    1,024 slices a second pass cuts each of them again, so slices keep their size. Equal
     values stay together, so callers with repeated values group by value first. The cut points only
     balance the work; results do not depend on how good they are. ``also`` are aggregates the caller
     wants from the same pass.
@@ -58,7 +69,8 @@ def plan_slices(
     n, cuts, extra = _even_percentiles(df, order, _FIRST_LOOK, also)
     wanted = -(-n // rows_per_slice)
     if wanted > _FIRST_LOOK:
-        _, cuts, _ = _even_percentiles(df, order, min(wanted, MAX_SLICES))
+        coarse = Slicing(tuple(sorted({c for c in cuts if c == c})))
+        cuts = [*coarse.cuts, *_cuts_within(df, order, coarse, -(-wanted // _FIRST_LOOK))]
     else:
         step = _FIRST_LOOK / max(wanted, 1)
         cuts = [cuts[int(i * step) - 1] for i in range(1, wanted)]
@@ -137,10 +149,14 @@ def running(
 ) -> DataFrame:
     """Add running measures along ``order`` within ``partition``.
 
-    ``slice_col`` must grow with ``order``. Partition columns must not be null. The window of a
-    slice and the join to its carried totals need the same distribution, so the rows move once.
-    "last" is only defined for ascending order.
+    ``slice_col`` must grow with ``order``. Null is a partition of its own. The window of a slice and
+    the join to its carried totals need the same distribution, so the rows move once. The sum of no
+    values is 0. "last" is only defined for ascending order.
     """
+    given = df.columns
+    # Structs of equal parts are equal even where parts are null, unlike the columns themselves.
+    df = df.withColumn(_PARTITION, F.struct(*[F.col(c) for c in partition] or [F.lit(0)]))
+    partition = [_PARTITION]
 
     def towards(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)
@@ -155,7 +171,7 @@ def running(
     if single_slice:
         none = F.lit(None)
         return df.select(
-            "*",
+            *given,
             *[
                 _combine(m.kind, none, _over(m.kind, m.value, frame(local, m), of_slice)).alias(name)
                 for name, m in measures.items()
@@ -175,9 +191,6 @@ def running(
             for name, m in measures.items()
         ],
     )
-    if not partition:
-        # One row per slice, and the number of slices is bounded by how slices are made.
-        carried = F.broadcast(carried)
     scanned = df.select(
         "*",
         *[
@@ -186,7 +199,7 @@ def running(
         ],
     )
     return scanned.join(carried, [*partition, slice_col]).select(
-        *df.columns,
+        *given,
         *[
             _combine(m.kind, F.col(f"__carry_{name}"), F.col(f"__local_{name}")).alias(name)
             for name, m in measures.items()

@@ -36,17 +36,23 @@ def _named(history: DataFrame) -> DataFrame:
 
 
 def latest_run_per_model(history: DataFrame, task: str) -> DataFrame:
-    """The last record of each model in a task.
+    """The last record of each model in a task."""
+    return latest_runs(history.filter(F.col("task") == task))
 
-    The highest ``seq`` per model is a hash aggregate over two columns. Whole records are then only
-    taken where they match it, so wide records are neither sorted nor shuffled in bulk.
+
+def latest_runs(history: DataFrame) -> DataFrame:
+    """The last record of each model in each task.
+
+    The highest ``seq`` per model is a hash aggregate over three columns. Whole records are then only
+    taken where they match it, so wide records are neither sorted nor shuffled in bulk. Latest runs
+    of latest runs are the same, so the other questions can be put to this table as well.
     """
-    of_task = _named(history.filter(F.col("task") == task))
-    newest = of_task.groupBy("model_name").agg(F.max("seq").alias("seq"))
-    candidates = of_task.join(newest, ["model_name", "seq"])
+    named = _named(history.filter(F.col("task").isNotNull()))
+    newest = named.groupBy("task", "model_name").agg(F.max("seq").alias("seq"))
+    candidates = named.join(newest, ["task", "model_name", "seq"])
     # Usually one record per model; the writer settles appends in the same nanosecond.
-    last = F.max_by(F.struct(*[F.col(c) for c in of_task.columns]), "writer")
-    return candidates.groupBy(F.col("model_name").alias("m")).agg(last.alias("r")).select("r.*")
+    last = F.max_by(F.struct(*[F.col(c) for c in named.columns]), "writer")
+    return candidates.groupBy("task", F.col("model_name").alias("m")).agg(last.alias("r")).select("r.*")
 
 
 def runs_for_model(history: DataFrame, task: str, model_name: str) -> DataFrame:
@@ -63,7 +69,7 @@ def comparison(
         "place int, display_name string, model_name string",
     )
     wanted = [m for _, m in (expected or EXPECTED_MODELS[task])]
-    latest = latest_run_per_model(history.filter(F.col("model_name").isin(wanted)), task).select(
+    latest = latest_run_per_model(_named(history).filter(F.col("model_name").isin(wanted)), task).select(
         "model_name", "timestamp", "metrics", F.lit(True).alias("found")
     )
     return (
@@ -94,7 +100,7 @@ def evolution(
     value = F.col(f"metrics.{metric or MAIN_METRIC[task]}").cast("double")
     runs = _named(history.filter(F.col("task") == task))
     if model_name is not None:
-        runs = history.filter((F.col("task") == task) & (F.col("model_name") == model_name))
+        runs = runs.filter(F.col("model_name") == model_name)
     runs = runs.select(
         "model_name", "seq", F.struct("seq", "writer").alias("place"), "timestamp", value.alias("value"), "notes"
     )
@@ -129,11 +135,11 @@ def verdict(
     """One row that says how the latest run of the model compares with that of the baseline.
 
     ``verdict`` is missing_runs, missing_metric, better, worse or equal. Recall counts upwards with a
-    tolerance, RMSE downwards without one.
+    tolerance, RMSE downwards without one. A metric that is no number is neither better nor worse.
     """
     baseline = baseline or BASELINE_NAME[task]
     metric = MAIN_METRIC[task]
-    latest = latest_run_per_model(history.filter(F.col("model_name").isin(baseline, model)), task)
+    latest = latest_run_per_model(_named(history).filter(F.col("model_name").isin(baseline, model)), task)
 
     def of(name: str, field: Column) -> Column:
         return F.max(F.when(F.col("model_name") == name, field))
@@ -155,6 +161,7 @@ def verdict(
     code = (
         F.when(~F.col("has_baseline") | ~F.col("has_model"), "missing_runs")
         .when(F.col("baseline_value").isNull() | F.col("model_value").isNull(), "missing_metric")
+        .when(F.isnan(gain), "equal")
         .when(gain > margin, "better")
         .when(gain < -margin, "worse")
         .otherwise("equal")

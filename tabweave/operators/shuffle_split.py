@@ -13,7 +13,7 @@ TRAIN_FRACTION = 0.70
 VALIDATION_FRACTION = 0.15
 DEFAULT_SEED = 42
 
-_SLICE_DIGITS = 3  # hex digits of the order key that make a slice
+_SLICE_ROWS = 200_000  # rows of the seeded order that are numbered together
 _STEP_DIGITS = 3  # hex digits read per refinement, 4,096 cells
 _KEY_DIGITS = 32
 _CELL_ROWS = 20_000  # a cell this small is read directly
@@ -46,15 +46,25 @@ def _copies_spread_out(df: DataFrame, copies: str, offset: str) -> DataFrame:
     )
 
 
+def slice_digits(rows: int) -> int:
+    """Hex digits of the order key that cut ``rows`` rows into slices of at most some 200,000."""
+    digits = 1
+    while rows > _SLICE_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def seeded_shuffle(
-    df: DataFrame, seed: int = DEFAULT_SEED, key: Sequence[str] | None = None, digits: int = _SLICE_DIGITS
+    df: DataFrame, seed: int = DEFAULT_SEED, key: Sequence[str] | None = None, digits: int | None = None
 ) -> DataFrame:
     """Every row once with its ``order_key`` and its ``rank`` (from 0) in the seeded order.
 
     ``key`` must identify a row. Without a key equal rows share a place; they are counted first and
     unfolded at the end, so copies of one row never meet in one window. ``digits`` sets the number
-    of slices, 16 to the power of it; 3 suits up to some billion rows.
+    of slices, 16 to the power of it; without it the rows are counted and the slices keep their size.
     """
+    if digits is None:
+        digits = slice_digits(df.count())
     keyed = df if key else df.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
     keyed = keyed.withColumn("order_key", order_key(df.columns, seed, key))
     # A prefix sorts as the keys do and serves as a slice. It is never null.

@@ -117,7 +117,8 @@ def _stop_by_rounds(losses: DataFrame, patience: int, min_delta: float, run: str
             going_on = state.filter(F.col("s.stop_epoch").isNull())
             if going_on.isEmpty():
                 break
-            joined = state.join(entries, run, "left")
+            same_run = state[run].eqNullSafe(F.col("__run"))
+            joined = state.join(entries.withColumnRenamed(run, "__run"), same_run, "left")
             folded = F.when(
                 F.col("entries").isNotNull() & F.col("s.stop_epoch").isNull(),
                 _fold(F.col("entries"), F.col("s"), patience, min_delta),

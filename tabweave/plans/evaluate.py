@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabweave.functions.scores import decide
 from tabweave.operators.curve import DEFAULT_MIN_RECALL, best_threshold
-from tabweave.operators.metrics import DEFAULT_CUTOFF, ratio_or_zero, regression_metrics
+from tabweave.operators.metrics import DEFAULT_CUTOFF, rates_of_counts, regression_metrics
 from tabweave.operators.network import MLPSpec, Parameters
 from tabweave.operators.scoring import score_mlp, with_predictions
 from tabweave.storage import stage
@@ -20,7 +20,8 @@ def evaluate(
 
     Classification takes the probability of class 1 and a cutoff (default 0.5) and adds the 2 by 2
     confusion matrix; regression takes the predicted value. One pass each: all classification
-    metrics follow from the four cells.
+    metrics follow from the four cells. A label other than 0 and 1 is an error; rows without one are
+    left out.
     """
     if mode == "regression":
         return regression_metrics(df, actual, predicted).select(F.lit(mode).alias("mode"), "*")
@@ -30,16 +31,17 @@ def evaluate(
     y, p = F.col(actual).cast("int"), decide(F.col(predicted), cutoff)
     cells = df.agg(
         *[F.count_if((y == a) & (p == b)).alias(f"c{a}{b}") for a in (0, 1) for b in (0, 1)],
+        F.count_if(~y.isin(0, 1)).alias("other"),
     )
     tn, fp, fn, tp = (F.col(c) for c in ("c00", "c01", "c10", "c11"))
-    total = tn + fp + fn + tp
+    refused = F.raise_error(F.concat(F.col("other"), F.lit(" labels are neither 0 nor 1")))
+    total = F.when(F.col("other") == 0, tn + fp + fn + tp).otherwise(refused.cast("long"))
+    rates = rates_of_counts(tp, fp, fn)
     return cells.select(
         F.lit(mode).alias("mode"),
         F.lit(cutoff).alias("threshold"),
         F.try_divide((tp + tn).cast("double"), total).alias("accuracy"),
-        ratio_or_zero(tp, tp + fp).alias("precision"),
-        ratio_or_zero(tp, tp + fn).alias("recall"),
-        ratio_or_zero(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        *[rate.alias(name) for name, rate in rates.items()],
         F.array(F.array(tn, fp), F.array(fn, tp)).alias("confusion_matrix"),
     )
 

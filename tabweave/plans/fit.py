@@ -12,6 +12,7 @@ from tabweave.operators.network import MLPSpec, Parameters
 from tabweave.operators.scoring import validate_epoch
 from tabweave.operators.stopping import DEFAULT_MIN_DELTA, DEFAULT_PATIENCE
 from tabweave.operators.training import TrainingData, parameter_table, parameters_of, train_epoch
+from tabweave.sources.schemas import EPOCH_SCHEMA
 
 
 class EarlyStop:
@@ -43,9 +44,13 @@ class FitResult:
     history: list[dict[str, float]] = field(default_factory=list)
 
     def epochs(self, spark: SparkSession, run_id: str) -> DataFrame:
-        """The losses as epoch records for the epoch history."""
-        rows = [(run_id, h["epoch"], h["train_loss"], h["val_loss"]) for h in self.history]
-        return spark.createDataFrame(rows, "run_id string, epoch int, train_loss double, val_loss double")
+        """The losses, and all other metrics by name, as epoch records for the epoch history."""
+        named = ("epoch", "train_loss", "val_loss")
+        rows = [
+            (run_id, *(h[n] for n in named), {k: v for k, v in h.items() if k not in named and v is not None})
+            for h in self.history
+        ]
+        return spark.createDataFrame(rows, EPOCH_SCHEMA)
 
 
 def save_best(spark: SparkSession, params: Parameters, spec: MLPSpec, epoch: int, path: str) -> None:

@@ -9,9 +9,17 @@ from pyspark.sql import functions as F
 
 from tabweave.functions.display import NOT_AVAILABLE, delta_text, number_text, time_text
 from tabweave.operators.baselines import NETWORK_NAME
-from tabweave.operators.runs import MAIN_METRIC, TABLE_METRICS, comparison, evolution, loss_series, verdict
+from tabweave.operators.runs import (
+    MAIN_METRIC,
+    TABLE_METRICS,
+    comparison,
+    evolution,
+    latest_runs,
+    loss_series,
+    verdict,
+)
 from tabweave.sources.history import TASKS
-from tabweave.storage import stage
+from tabweave.storage import staged
 
 # Decimals per metric and per evolution table, and the time of a model without a run.
 METRIC_DIGITS = {"mae": 6, "mse": 6, "rmse": 6}
@@ -44,13 +52,16 @@ def evolution_text(table: DataFrame, task: str) -> DataFrame:
     )
 
 
-def report_tables(history: DataFrame, epochs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All tables of the report by name.
+def report_tables(
+    history: DataFrame, epochs: Mapping[str, DataFrame], latest: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All tables of the report by name; ``latest`` are the latest runs if they are at hand.
 
     ``epochs`` maps a task to its stored epoch losses. What is missing is said in ``notices``: no
     history at all, no run of a task, no loss curve of a task. Nothing is filled in for it.
     """
     spark = history.sparkSession
+    newest = latest_runs(history) if latest is None else latest
     counts = history.groupBy("task").agg(F.count(F.lit(1)).alias("runs"))
     seen = {r["task"] for r in counts.collect()}
     tables, notices = {"runs": counts}, []
@@ -60,9 +71,9 @@ def report_tables(history: DataFrame, epochs: Mapping[str, DataFrame]) -> dict[s
         if task not in seen:
             notices.append((task, "no_runs"))
             continue
-        tables[f"{task}_comparison"] = comparison_text(comparison(history, task), task)
+        tables[f"{task}_comparison"] = comparison_text(comparison(newest, task), task)
         tables[f"{task}_evolution"] = evolution_text(evolution(history, task, NETWORK_NAME), task)
-        tables[f"{task}_verdict"] = verdict(history, task)
+        tables[f"{task}_verdict"] = verdict(newest, task)
         if task in epochs and not epochs[task].isEmpty():
             tables[f"{task}_loss_curve"] = loss_series(epochs[task])
         else:
@@ -74,9 +85,11 @@ def report_tables(history: DataFrame, epochs: Mapping[str, DataFrame]) -> dict[s
 def report(history: DataFrame, epochs: Mapping[str, DataFrame], out_dir: str) -> list[str]:
     """Write every table under ``out_dir`` and return the names written.
 
-    The history is read once, as JSON; the tables work on a columnar copy.
+    The history is read once, as JSON; the tables work on a columnar copy, and comparisons and verdicts on one
+    table of latest runs. Both copies are deleted at the end.
     """
-    tables = report_tables(stage(history, "history"), epochs)
-    for name, table in tables.items():
-        table.write.mode("overwrite").json(f"{out_dir}/{name}")
+    with staged(history, "history") as records, staged(latest_runs(records), "latest-runs") as latest:
+        tables = report_tables(records, epochs, latest)
+        for name, table in tables.items():
+            table.write.mode("overwrite").json(f"{out_dir}/{name}")
     return list(tables)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabweave.sources.schemas import EPOCH_SCHEMA, RUN_SCHEMA
+from tabweave.sources.schemas import EPOCH_SCHEMA, STORED_RUN_SCHEMA
 
 TASKS = ("classification", "regression")
 _BROKEN = "_corrupt_record"
@@ -20,19 +20,30 @@ _BROKEN = "_corrupt_record"
 
 def append_runs(records: DataFrame, path: str) -> None:
     """Append run records. New files only, so writers do not disturb each other or earlier records."""
-    columns = [f.name for f in T._parse_datatype_string(RUN_SCHEMA).fields]
-    records.select(*columns).write.mode("append").json(path)
+    _with_fields(records, STORED_RUN_SCHEMA).write.mode("append").json(path)
+
+
+def _with_fields(records: DataFrame, schema: str) -> DataFrame:
+    """The columns of a stored record; a map that the records lack is null."""
+    optional = {f.name: f.dataType for f in T._parse_datatype_string(schema).fields if isinstance(f.dataType, T.MapType)}
+    names = T._parse_datatype_string(schema).fieldNames()
+    missing = {n: F.lit(None).cast(t) for n, t in optional.items() if n not in records.columns}
+    return records.withColumns(missing).select(*names) if missing else records.select(*names)
 
 
 def log_run(
     spark: SparkSession, task: str, model_name: str, metrics: dict[str, Any], notes: str | None = None, *, path: str
 ) -> dict[str, Any]:
-    """Append one record with the current UTC time in seconds and return it."""
-    schema = T._parse_datatype_string(RUN_SCHEMA)
+    """Append one record with the current UTC time in seconds and return it.
+
+    Metrics under names that the record does not know are kept as numbers in ``extra``.
+    """
+    schema = T._parse_datatype_string(STORED_RUN_SCHEMA)
     known = [f.name for f in schema["metrics"].dataType.fields]
-    unknown = sorted(set(metrics) - set(known))
-    if unknown:
-        raise ValueError(f"metrics {unknown} are not among {known}")
+    extra = {k: _number(v) for k, v in metrics.items() if k not in known}
+    wrong = sorted(k for k, v in extra.items() if v is not None and not isinstance(v, float))
+    if wrong:
+        raise ValueError(f"metrics {wrong} are neither known nor numbers")
     entry = {
         "timestamp": datetime.now(timezone.utc).isoformat(timespec="seconds"),
         "task": task,
@@ -41,6 +52,7 @@ def log_run(
         "metrics": {k: _number(metrics.get(k)) for k in known},
         "seq": time.time_ns(),
         "writer": uuid.uuid4().hex,
+        "extra": extra or None,
     }
     append_runs(spark.createDataFrame([entry], schema), path)
     return {**entry, "metrics": metrics}
@@ -70,12 +82,53 @@ def _load(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def load_history(spark: SparkSession, path: str) -> DataFrame:
-    return _load(spark, path, RUN_SCHEMA)
+    return _load(spark, path, STORED_RUN_SCHEMA)
+
+
+def _array_file(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Elements of a file that is one JSON array, with their position; the file is read as a stream by one task."""
+    elements = spark.read.schema(schema).option("multiLine", True).json(path)
+    return elements.withColumn("position", F.monotonically_increasing_id())
+
+
+def import_history(spark: SparkSession, path: str) -> DataFrame:
+    """Run records from a file that holds them as one JSON array, oldest first.
+
+    Their place in the array becomes ``seq``. Metrics under unknown names go to ``extra`` as far as they are
+    numbers. The result has the columns of :func:`load_history` and can be appended to a history.
+    """
+    record = T._parse_datatype_string(STORED_RUN_SCHEMA)
+    known = record["metrics"].dataType.fieldNames()
+    given = _array_file(spark, path, "timestamp string, task string, model_name string, notes string, metrics string")
+    numbers = F.transform_values(F.from_json("metrics", "map<string,string>"), lambda _, v: v.try_cast("double"))
+    extra = F.map_filter(numbers, lambda k, v: ~k.isin(known) & v.isNotNull())
+    return given.select(
+        "timestamp",
+        "task",
+        "model_name",
+        "notes",
+        F.from_json("metrics", record["metrics"].dataType).alias("metrics"),
+        F.col("position").alias("seq"),
+        F.lit("").alias("writer"),
+        F.when(F.size(extra) > 0, extra).alias("extra"),
+    )
+
+
+def import_epochs(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """Epoch losses from a file that holds them as one JSON array; the place in it, from 1, is the epoch."""
+    given = _array_file(spark, path, "train_loss double, val_loss double")
+    return given.select(
+        F.lit(run_id).alias("run_id"),
+        (F.col("position") + 1).cast("int").alias("epoch"),
+        "train_loss",
+        "val_loss",
+        F.lit(None).cast("map<string,double>").alias("metrics"),
+    )
 
 
 def append_epochs(epochs: DataFrame, path: str) -> None:
-    """Append ``run_id, epoch, train_loss, val_loss`` records."""
-    epochs.select(*T._parse_datatype_string(EPOCH_SCHEMA).fieldNames()).write.mode("append").json(path)
+    """Append ``run_id, epoch, train_loss, val_loss`` records, with ``metrics`` by name where there are any."""
+    _with_fields(epochs, EPOCH_SCHEMA).write.mode("append").json(path)
 
 
 def load_epochs(spark: SparkSession, path: str) -> DataFrame:

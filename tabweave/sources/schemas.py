@@ -11,8 +11,10 @@ RUN_SCHEMA = (
     f"metrics struct<{METRIC_FIELDS.replace(' string', ':string').replace(' double', ':double').replace(' array', ':array')}>, "
     "seq bigint, writer string"
 )
+# As stored: ``extra`` has metrics under other names.
+STORED_RUN_SCHEMA = f"{RUN_SCHEMA}, extra map<string,double>"
 
-EPOCH_SCHEMA = "run_id string, epoch int, train_loss double, val_loss double"
+EPOCH_SCHEMA = "run_id string, epoch int, train_loss double, val_loss double, metrics map<string,double>"
 
 # Columns of the loan table by role, in table order.
 LOAN_NUMERIC = (

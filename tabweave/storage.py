@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was staged under ``path``; nothing happens if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Like :func:`stage`, for as long as the block runs; the copy is deleted behind it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.parquet(path)
+    finally:
+        remove(df.sparkSession, path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it from there.
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from tabweave.operators.encode import assemble
+from tabweave.operators.encode import assemble, fill_categories
 from tabweave.operators.network import MLPSpec, Parameters
 from tabweave.operators.scoring import score_mlp, with_predictions
 from tabweave.plans.prepare import Prepared, clean
@@ -24,6 +24,15 @@ def prepare_stream(stream: DataFrame, fitted: Prepared) -> DataFrame:
 def score_stream(
     stream: DataFrame, fitted: Prepared, params: Parameters, spec: MLPSpec, mode: str, keep: Sequence[str]
 ) -> DataFrame:
-    """Predictions for arriving rows; ``keep`` names key columns carried along."""
+    """Predictions for arriving rows that have an outcome; ``keep`` names key columns carried along."""
     features = assemble(prepare_stream(stream, fitted), mode, keep=keep)
     return with_predictions(score_mlp(features, params, spec, keep=[*keep, "label"]), mode, spec.num_classes)
+
+
+def score_open(
+    stream: DataFrame, fitted: Prepared, params: Parameters, spec: MLPSpec, mode: str, keep: Sequence[str]
+) -> DataFrame:
+    """Predictions for every arriving row; neither a status nor a label is needed, and none is looked at."""
+    encoded = fitted.apply(fill_categories(stream, list(fitted.vocabulary)))
+    features = assemble(encoded, None, keep=keep)
+    return with_predictions(score_mlp(features, params, spec, keep=keep), mode, spec.num_classes)

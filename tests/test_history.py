@@ -1,10 +1,20 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from tabweave.catalog.views import runs as run_view
 from tabweave.operators.runs import comparison, evolution, latest_run_per_model, loss_series, runs_for_model, verdict
 from tabweave.plans.report import comparison_text, evolution_text, report, report_tables
-from tabweave.sources.history import append_epochs, load_epochs, load_history, log_run, write_json
+from tabweave.sources.history import (
+    append_epochs,
+    import_epochs,
+    import_history,
+    load_epochs,
+    load_history,
+    log_run,
+    write_json,
+)
 from tabweave.sources.schemas import RUN_SCHEMA
 
 
@@ -27,8 +37,48 @@ def test_log_and_load(spark, tmp_path):
     rows = runs_for_model(load_history(spark, path), "classification", "mlp").collect()
     assert [r["notes"] for r in rows] == ["first", None]
     assert rows[0]["metrics"]["confusion_matrix"] == [[1, 2], [3, 4]] and rows[1]["metrics"]["recall"] == 1.0
-    with pytest.raises(ValueError, match="auc"):
-        log_run(spark, "classification", "mlp", {"auc": 0.5}, path=path)
+    log_run(spark, "classification", "mlp", {"auc": 0.5, "recall": 0.25}, path=path)
+    last = runs_for_model(load_history(spark, path), "classification", "mlp").collect()[-1]
+    assert last["extra"] == {"auc": 0.5} and last["metrics"]["recall"] == 0.25
+    with pytest.raises(ValueError, match="remark"):
+        log_run(spark, "classification", "mlp", {"remark": "good"}, path=path)
+
+
+def test_array_history_is_imported(spark, tmp_path):
+    (tmp_path / "old.json").write_text(
+        json.dumps(
+            [
+                {"timestamp": "t1", "task": "regression", "model_name": "m", "metrics": {"rmse": 2.0, "auc": 1, "note": "x"}, "notes": None},
+                {"timestamp": "t2", "task": "regression", "model_name": "m", "metrics": {"mode": "regression", "rmse": None}, "notes": "n"},
+                {"timestamp": "t3", "task": "classification", "model_name": None, "metrics": {"confusion_matrix": [[1, 2], [3, 4]]}},
+            ],
+            indent=2,
+        )
+    )
+    found = import_history(spark, str(tmp_path / "old.json")).orderBy("seq").collect()
+    assert [(r.timestamp, r.notes, r.seq) for r in found] == [("t1", None, 0), ("t2", "n", 1), ("t3", None, 2)]
+    assert found[0].metrics.rmse == 2.0 and found[0].extra == {"auc": 1.0} and found[1].extra is None
+    assert found[2].metrics.confusion_matrix == [[1, 2], [3, 4]]
+    (tmp_path / "epochs.json").write_text(json.dumps([{"train_loss": 3, "val_loss": 2.5}, {"train_loss": 1, "val_loss": None}]))
+    epochs = import_epochs(spark, str(tmp_path / "epochs.json"), "r").collect()
+    assert [(r.run_id, r.epoch, r.train_loss, r.val_loss) for r in epochs] == [("r", 1, 3.0, 2.5), ("r", 2, 1.0, None)]
+
+
+def test_values_that_are_no_number(spark):
+    nan = float("nan")
+    lines = [("regression", m, {"rmse": v}, "") for m, v in (("b", 1.0), ("n", 2.0), ("n", nan), ("n", 1.0))]
+    history = records(spark, *lines)
+    steps = [(r["value"], r["direction"]) for r in evolution(history, "regression", "n").collect()]
+    assert [d for _, d in steps] == [None, "flat", "flat"]
+    shown = [r["delta"] for r in evolution_text(evolution(history, "regression", "n"), "regression").collect()]
+    assert shown == ["-", "→ +nan", "→ +nan"]
+    diverged = records(spark, *lines[:3])
+    assert verdict(diverged, "regression", "b", "n").first()["verdict"] == "equal"
+
+
+def test_unnamed_runs_can_be_compared(spark):
+    history = records(spark, ("regression", None, {"rmse": 1.5}, ""))
+    assert comparison(history, "regression", [("Unnamed", "desconhecido")]).first()["rmse"] == 1.5
 
 
 def test_broken_records_are_left_out(spark, tmp_path):

@@ -99,3 +99,25 @@ def test_nan_and_repeated_values_have_a_slice(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "place int, v int")
     assert plan_slices(df, "place").single
+
+
+def test_null_partitions_in_one_slice_and_in_many(spark):
+    rows = [(None if g == "hot" else g, p, v) for g, p, v in sample(200, 3)]
+    df = spark.createDataFrame(rows, "g string, place int, v int")
+    sliced = assign_slices(df, "place", plan_slices(df, "place", rows_per_slice=20))
+    many = running(sliced, measures(), "place", ["g"]).collect()
+    one = running(df.withColumn("slice", F.lit(0)), measures(), "place", ["g"], single_slice=True).collect()
+
+    def values(found):
+        return {(r["g"], r["place"]): (r["total"], r["low"], r["high"], r["before"]) for r in found}
+
+    assert len(many) == len(one) == 200
+    assert values(many) == values(one) == brute(rows)
+
+
+def test_many_slices_are_cut_in_two_steps(spark, monkeypatch):
+    monkeypatch.setattr("tabweave.operators.ordered._FIRST_LOOK", 8)
+    df = spark.range(4_000).select((F.col("id") * 7 % 4_001).alias("place"))
+    slicing = plan_slices(df, "place", rows_per_slice=50)
+    sizes = [r["count"] for r in assign_slices(df, "place", slicing).groupBy("slice").count().collect()]
+    assert len(sizes) >= 70 and max(sizes) <= 100

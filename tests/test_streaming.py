@@ -4,7 +4,7 @@ from tabweave.operators.network import MLPSpec, init_params
 from tabweave.operators.scoring import score_mlp, with_predictions
 from tabweave.operators.encode import assemble
 from tabweave.plans.prepare import clean, prepare
-from tabweave.streaming.apply import score_stream
+from tabweave.streaming.apply import score_open, score_stream
 
 
 def test_fitted_steps_run_on_a_stream(spark, tmp_path):
@@ -31,3 +31,14 @@ def test_fitted_steps_run_on_a_stream(spark, tmp_path):
     expected = with_predictions(score_mlp(batch, params, spec)).select("k", "p1", "pred")
     assert sorted(map(tuple, spark.table("scored").collect())) == sorted(map(tuple, expected.collect()))
     assert spark.table("scored").count() == 100
+
+    # Rows without an outcome, and without the columns for one.
+    arriving = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")).drop("loan_status", "int_rate")
+    query = (
+        score_open(arriving, fitted, params, spec, "classification", ["k"]).select("k", "p1", "pred")
+        .writeStream.format("memory").queryName("scored_open").option("checkpointLocation", str(tmp_path / "cp2")).start()
+    )
+    query.processAllAvailable()
+    query.stop()
+    found = set(map(tuple, spark.table("scored_open").collect()))
+    assert len(found) == 120 and set(map(tuple, expected.collect())) <= found
