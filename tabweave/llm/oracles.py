@@ -34,3 +34,31 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(ending) FILTER (WHERE role = 'assistant' OR from_last = 1) AS BIGINT) AS formatted_chars
 FROM parts GROUP BY conv_id
 """
+
+# Texts as hexadecimal digits, two per byte, so that positions are those of bytes.
+SQL["op10_repeated_spans"] = """
+WITH given AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(length(hex(encode(coalesce(text, '')))) // 2 AS BIGINT) AS n FROM documents
+), strings AS (
+  SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 199, 0))) AS i FROM given)
+), repeated AS (
+  SELECT s FROM strings GROUP BY s HAVING count(*) > 1
+), places AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS previous FROM strings SEMI JOIN repeated USING (s)
+), numbered AS (
+  SELECT doc_id, i, sum(CASE WHEN previous IS NULL OR i > previous + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span
+  FROM places
+), spans AS (
+  SELECT doc_id, span, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY doc_id, span
+), pieces AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS previous FROM spans
+), cut AS (
+  SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * previous + 1, 2 * (a - previous)), '' ORDER BY a) AS head, max(b) AS ending
+  FROM pieces JOIN given USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN ending IS NULL THEN h ELSE head || substr(h, 2 * ending + 1) END)) AS kept_sha256
+FROM given LEFT JOIN cut USING (doc_id)
+"""
