@@ -27,7 +27,7 @@ CAPACITY = 4096
 END = 2
 PART = 512  # longest piece of what is left of a document behind its full sequences
 BLOCK_WINDOWS = 256  # expected windows per block
-CACHED = 300_000  # words whose ids a worker keeps
+CACHED = 400_000  # words whose ids a worker keeps, in each of two generations
 
 
 class WordTokens:
@@ -44,23 +44,42 @@ class WordTokens:
         self._tokenizer = Tokenizer.from_str(content)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
+        # Words seen lately, and words seen before those; words still in use move back to the first.
         self._known: dict[bytes, bytes] = {}
-
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of a UTF-8 text."""
-        if b"<|" not in text:  # else it may hold a special token, which is told apart by case
-            text = text.lower()
-        words = text.split()
-        found = list(map(self._known.get, words))
-        if None in found:
-            new = list({w for w, f in zip(words, found, strict=True) if f is None})
-            if len(self._known) + len(new) > CACHED:
-                self._known.clear()
-            encoded = self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            fresh = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(new, encoded, strict=True)}
-            self._known.update(fresh)
-            found = [fresh[w] if f is None else f for w, f in zip(words, found, strict=True)]
-        return b"".join(found)
+        self._older: dict[bytes, bytes] = {}
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each UTF-8 text."""
+        # A text with this mark may hold a special token, which is told apart by case.
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        distinct: set[bytes] = set()
+        for found in words:
+            distinct.update(found)
+        self._learn(distinct)
+        return [b"".join(map(self._known.__getitem__, found)) for found in words]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Have all of ``words`` at hand. Marks behind a letter or digit are tokens of their own, so a word that ends in
+        them is put together from two parts."""
+        missing = words - self._known.keys()
+        if len(self._known) + len(missing) > CACHED:
+            self._known, self._older = {}, self._known
+            missing = words
+        parts = {w: _parts(w) for w in missing if w not in self._older}
+        self._known |= {w: self._older[w] for w in missing if w not in parts}
+        needed = {p for found in parts.values() for p in found}
+        new = [p for p in needed if p not in self._known]
+        encoded = self._tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
+        self._known |= {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(new, encoded, strict=True)}
+        self._known |= {w: b"".join([self._known[p] for p in found]) for w, found in parts.items()}
+
+
+_MARKS = b".,;:!?"
+
+
+def _parts(word: bytes) -> tuple[bytes, ...]:
+    stem = word.rstrip(_MARKS)
+    return (stem, word[len(stem) :]) if stem != word and stem[-1:].isalnum() and b"<|" not in word else (word,)
 
 
 @lru_cache(maxsize=2)
@@ -92,8 +111,9 @@ def cut_pieces(
         for whole in batches:
             for batch in small_slices(whole, "text", 4 << 20):
                 rows = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
-                    ids = tokens.ids(text) + end
+                encoded = tokens.ids(byte_texts(batch.column(1)))
+                for doc_id, found in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                    ids = found + end
                     full = len(ids) // 4 // capacity * capacity
                     cuts = [*range(0, full, capacity), *range(full, len(ids) // 4, part)]
                     for start, stop in zip(cuts, [*cuts[1:], len(ids) // 4], strict=True):
