@@ -6,29 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabweave.catalog.evaluation import BEST_F1_SQL, CURVE_SQL
-from tabweave.catalog.preparation import prepared
+from tabweave.catalog.preparation import divided, prepared
 from tabweave.catalog.registry import query
 from tabweave.catalog.views import (
+    CLEAN_SQL,
     EPOCHS_SQL,
     LOANS_SQL,
     VECTORS_SQL,
     epochs,
     formula_params,
     loans,
+    split_sql,
     vectors,
 )
 from tabweave.functions.scores import regression_value
+from tabweave.operators.baselines import BASELINE_NAME, coefficient_table, fit_linear, fit_logistic, score_linear
 from tabweave.operators.batches import batches_by_size
-from tabweave.operators.baselines import coefficient_table, fit_linear, fit_logistic
 from tabweave.operators.classes import class_weights, weight_list
 from tabweave.operators.encode import assemble
 from tabweave.operators.losses import batch_cross_entropy, weighted_cross_entropy
 from tabweave.operators.network import INITIAL_SPREAD, MLPSpec, init_params
+from tabweave.operators.runs import comparison
 from tabweave.operators.scoring import score_mlp, validate_epoch, with_predictions
 from tabweave.operators.stopping import early_stop
 from tabweave.operators.training import parameter_table, place_rows, train_epoch
-from tabweave.plans.evaluate import evaluate_network, network_threshold
+from tabweave.plans.evaluate import evaluate, evaluate_network, metrics_record, network_threshold
 from tabweave.plans.fit import fit, load_best
+from tabweave.sources.history import load_history, log_run
 from tabweave.storage import scratch_path
 
 WIDTH = 64
@@ -579,3 +583,80 @@ def m14_logistic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = baseline_rows(spark, sf_dir).select(F.slice("features", 1, 1).alias("features"), label.alias("label"))
     coefficients = coefficient_table(fit_logistic(rows), ["amount"])
     return spark.createDataFrame(coefficients, "term string, value double").withColumn("value", F.round("value", 4))
+
+
+def split_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished loans with both features, both labels and their split."""
+    features = F.array(F.col("loan_amnt") / 100_000, F.coalesce("annual_inc", F.lit(0.0)) / 1_000)
+    return divided(spark, sf_dir).select(features.alias("features"), F.col("classification_target").alias("c"), "int_rate", "split")
+
+
+SPLIT_POINTS_SQL = f"""{CLEAN_SQL}, {split_sql("cleaned", "loan_id")}, points AS (
+  SELECT split, loan_amnt / 100000 AS a, coalesce(annual_inc, 0) / 1000 AS b, classification_target AS c, int_rate AS y FROM divided
+)"""
+
+
+@query(
+    "m14_weighted_logistic",
+    f"""WITH RECURSIVE {SPLIT_POINTS_SQL}, classes AS (
+  SELECT c, count(*) AS n FROM points WHERE split = 'train' GROUP BY c
+), weighted AS (
+  SELECT a, b, points.c, (SELECT sum(n) FROM classes) / (2 * n) AS w FROM points JOIN classes USING (c) WHERE split = 'train'
+), newton AS (
+  SELECT 0 AS step, CAST(0 AS DOUBLE) AS w0, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS w2
+  UNION ALL
+  SELECT step + 1,
+         w0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / d,
+         w1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / d,
+         w2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / d
+  FROM (
+    SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS d
+    FROM (
+      SELECT step, w0, w1, w2, sum(w * (c - p)) AS g0, sum(w * (c - p) * a) AS g1, sum(w * (c - p) * b) AS g2,
+             sum(w * p * (1 - p)) AS h00, sum(w * p * (1 - p) * a) AS h01, sum(w * p * (1 - p) * b) AS h02,
+             sum(w * p * (1 - p) * a * a) AS h11, sum(w * p * (1 - p) * a * b) AS h12, sum(w * p * (1 - p) * b * b) AS h22
+      FROM (SELECT step, w0, w1, w2, a, b, c, w, 1 / (1 + exp(-(w0 + w1 * a + w2 * b))) AS p FROM newton, weighted WHERE step < 10)
+      GROUP BY step, w0, w1, w2
+    )
+  )
+)
+SELECT 'intercept' AS term, round(w0, 4) AS value FROM newton WHERE step = 10
+UNION ALL SELECT 'amount', round(w1, 4) FROM newton WHERE step = 10
+UNION ALL SELECT 'income', round(w2, 4) FROM newton WHERE step = 10""",
+)
+def m14_weighted_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline as a comparison needs it: finished loans, training split, class weights, all features."""
+    train = split_points(spark, sf_dir).filter("split = 'train'").select("features", F.col("c").alias("label"))
+    weights = weight_list(class_weights(train, "label"))
+    rows = coefficient_table(fit_logistic(train, weights, tol=1e-12), ["amount", "income"])
+    return spark.createDataFrame(rows, "term string, value double").withColumn("value", F.round("value", 4))
+
+
+@query(
+    "baseline_run_record",
+    f"""WITH {SPLIT_POINTS_SQL}, m AS (
+  SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, covar_pop(a, a) AS aa, covar_pop(a, b) AS ab, covar_pop(b, b) AS bb,
+         covar_pop(a, y) AS ay, covar_pop(b, y) AS yb
+  FROM points WHERE split = 'train'
+), solved AS (
+  SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM m
+), tested AS (
+  SELECT y, y - (my + wa * (a - ma) + wb * (b - mb)) AS e FROM points, solved WHERE split = 'test'
+)
+SELECT 'Regressão Linear (Baseline)' AS display_name, 'baseline_linear_regression' AS model_name, true AS available,
+       round(avg(abs(e)), 5) AS mae, round(avg(e * e), 5) AS mse, round(sqrt(avg(e * e)), 5) AS rmse,
+       round(1 - sum(e * e) / (var_pop(y) * count(*)), 5) AS r2
+FROM tested
+UNION ALL SELECT 'MLP', 'mlp', false, NULL, NULL, NULL, NULL""",
+)
+def baseline_run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear baseline from training rows to the comparison table: fit, blind test, logged record, comparison."""
+    points = split_points(spark, sf_dir).withColumnRenamed("int_rate", "label")
+    model = fit_linear(points.filter("split = 'train'"))
+    record = metrics_record(evaluate(score_linear(points.filter("split = 'test'"), model), "label", "pred", "regression"))
+    path = scratch_path(spark, "history")
+    log_run(spark, "regression", BASELINE_NAME["regression"], record, path=path)
+    table = comparison(load_history(spark, path), "regression")
+    return table.select(
+        "display_name", "model_name", "available", *[F.round(m, 5).alias(m) for m in ("mae", "mse", "rmse", "r2")]
+    )
