@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-IN_MEMORY_ROWS = 100_000
-_SKETCH = 10_000
-_MARGIN = 2.0 / _SKETCH
+IN_MEMORY_ROWS = 100_000  # values picked directly, over all columns together
+_SKETCH = 8_000
+_MARGIN = 1e-3  # of the rank, on either side of what a sketch says
+_GROUPS = 1_024  # tasks are merged in so many groups before the groups are
+_SEPARATE = 32  # picks that share a pass
 
 
 @dataclass
@@ -50,14 +52,41 @@ class _Selection:
         raise AssertionError(f"rank outside column '{self.column}'; did the input change between passes?")
 
 
-def _sketches(selections: list[_Selection]) -> list[Column]:
-    """Values a little below and a little above the wanted rank of each selection."""
-    columns = []
-    for i, s in enumerate(selections):
-        at = (s.rank + 0.5) / s.inside
-        around = F.array(F.lit(max(at - _MARGIN, 0.0)), F.lit(min(at + _MARGIN, 1.0)))
-        columns.append(F.percentile_approx(s.values(), around, _SKETCH).alias(str(i)))
-    return columns
+def _around(df: DataFrame, wanted: Sequence[tuple[Column, float]]) -> list[tuple[int, float, float]]:
+    """Per (values, fraction) the number of values, and values a little below and above that fraction.
+
+    Tasks are merged group by group, then the groups column by column, so no task sees the sketches
+    of all tasks or of all columns. The driver gets one row per column. A sketch leaves NaN out; where there is
+    nothing else, both values are NaN.
+    """
+    group = (F.spark_partition_id() % _GROUPS).alias("g")
+    first = [
+        f for i, (v, _) in enumerate(wanted) for f in (F.count(v).alias(f"n{i}"), F.kll_sketch_agg_double(v, _SKETCH).alias(f"s{i}"))
+    ]
+    lines = F.explode(
+        F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("s")) for i in range(len(wanted))])
+    )
+    merged = (
+        df.groupBy(group)
+        .agg(*first)
+        .select(lines.alias("line"))
+        .groupBy("line.i")
+        .agg(F.sum("line.n").alias("n"), F.kll_merge_agg_double("line.s", _SKETCH).alias("s"))
+    )
+
+    def value(shift: float) -> Column:
+        """The rank must be a constant, so there is a case for each one that occurs."""
+        chosen = F.lit(float("nan"))
+        filled = F.kll_sketch_get_n_double("s") > 0
+        for fraction in sorted({f for _, f in wanted}):
+            of_fraction = F.col("i").isin([i for i, (_, f) in enumerate(wanted) if f == fraction])
+            rank = F.lit(min(max(fraction + shift, 0.0), 1.0))
+            chosen = F.when(filled & of_fraction, F.kll_sketch_get_quantile_double("s", rank)).otherwise(chosen)
+        return chosen
+
+    rows = merged.select("i", "n", value(-_MARGIN).alias("low"), value(_MARGIN).alias("high")).collect()
+    found = {r["i"]: (r["n"], r["low"], r["high"]) for r in rows}
+    return [found.get(i, (0, float("nan"), float("nan"))) for i in range(len(wanted))]
 
 
 def _count_zones(df: DataFrame, selections: list[_Selection], brackets: list[tuple[float, float]]) -> None:
@@ -86,44 +115,43 @@ def exact_medians(
     """Median of the non-null values of each column, and the ``also`` aggregates from the first pass.
 
     The first pass counts the values and sketches where the middle is. Then exact counts decide on
-    which side of the sketched values the median lies. What is left between them is about 4e-4 of
-    the values, and a value that repeats often is met as one of them, so even 10^12 rows need two
-    rounds. Once few values are left they are picked directly. Every pass returns one row.
+    which side of the sketched values the median lies. What is left between them is about 2e-3 of
+    the values, and a value that repeats often is met as one of them, so even 10^12 rows need three
+    rounds. Once few values are left they are picked directly, ``in_memory_rows`` at most over all
+    columns of a pass. Every pass returns one row per column at most.
     """
     also = dict(also or {})
-    middle = F.array(F.lit(0.5 - _MARGIN), F.lit(0.5 + _MARGIN))
-    first: list[Column] = [column.alias(f"also_{name}") for name, column in also.items()]
-    for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        first += [F.count(v).alias(f"n{i}"), F.percentile_approx(v, middle, _SKETCH).alias(f"q{i}")]
-    row = df.agg(*first).first().asDict()
+    row = df.agg(*[column.alias(f"also_{name}") for name, column in also.items()]).first().asDict() if also else {}
+    middles = _around(df, [(F.col(c).cast("double"), 0.5) for c in columns]) if columns else []
 
     selections: dict[str, list[_Selection]] = {}
     brackets: list[tuple[float, float]] = []
     for i, c in enumerate(columns):
-        n = row[f"n{i}"]
+        n = middles[i][0]
         ranks = sorted({(n - 1) // 2, n // 2}) if n else []
         selections[c] = [_Selection(c, rank, n) for rank in ranks]
-        brackets += [tuple(row[f"q{i}"] or ())] * len(ranks)
+        brackets += [middles[i][1:]] * len(ranks)
     every = [s for found in selections.values() for s in found]
 
+    picked_directly = max(1, in_memory_rows // max(1, min(len(every), _SEPARATE)))
+
     def wide(s: _Selection) -> bool:
-        return s.answer is None and s.inside > in_memory_rows
+        return s.answer is None and s.inside > picked_directly
 
     first_round = [(s, b) for s, b in zip(every, brackets) if wide(s)]
     if first_round:
         _count_zones(df, *map(list, zip(*first_round)))
     while left := [s for s in every if wide(s)]:
-        found = df.agg(*_sketches(left)).first()
-        _count_zones(df, left, [tuple(b) for b in found])
+        found = _around(df, [(s.values(), (s.rank + 0.5) / s.inside) for s in left])
+        _count_zones(df, left, [(low, high) for _, low, high in found])
     small = [s for s in every if s.answer is None]
-    if small:
-        # At most in_memory_rows values per selection.
+    for at in range(0, len(small), _SEPARATE):
+        together = small[at : at + _SEPARATE]
         picks = [
             F.element_at(F.sort_array(F.collect_list(s.values())), s.rank + 1).alias(str(i))
-            for i, s in enumerate(small)
+            for i, s in enumerate(together)
         ]
-        for s, value in zip(small, df.agg(*picks).first()):
+        for s, value in zip(together, df.agg(*picks).first(), strict=True):
             s.answer = value
     medians = {c: sum(s.answer for s in found) / len(found) if found else None for c, found in selections.items()}
     return medians, {name: row[f"also_{name}"] for name in also}

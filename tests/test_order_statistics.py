@@ -46,3 +46,18 @@ def test_fitted_statistics_of_hand_made_columns(spark):
     assert (s["constant"].median, s["constant"].std) == (5.0, 1.0)
     assert (s["nothing"].median, s["nothing"].mean, s["nothing"].std) == (None, None, 1.0)
     assert (s["one"].mean, s["one"].std) == (2.0, 1.0)
+
+
+def test_two_hundred_columns(spark):
+    """No pass gathers more than the given number of values, and sketches meet in stages."""
+    columns = [((F.col("id") * (i + 3)) % 997).cast("double").alias(f"c{i}") for i in range(200)]
+    df = spark.range(3_000).select(*columns).repartition(6)
+    medians, _ = exact_medians(df, df.columns, in_memory_rows=6_400)
+    values = {f"c{i}": sorted((n * (i + 3)) % 997 for n in range(3_000)) for i in range(200)}
+    assert medians == {c: (v[1_499] + v[1_500]) / 2 for c, v in values.items()}
+
+
+def test_mostly_nan_over_several_rounds(spark):
+    df = spark.range(2_000).select(F.when(F.col("id") % 3 == 0, F.col("id") * 1.0).otherwise(F.lit(float("nan"))).alias("v"))
+    medians, _ = exact_medians(df, ["v"], in_memory_rows=10)
+    assert medians["v"] != medians["v"]
