@@ -132,7 +132,7 @@ def s2_extra_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics under names of their own survive the history, null and NaN included."""
     path = scratch_path(spark, "history")
     records = runs(spark, sf_dir)
-    m = F.coalesce(F.col("metrics.accuracy"), F.col("metrics.mae")) * 50_000
+    m = F.coalesce(F.col("metrics.accuracy") * 50_003, F.col("metrics.mae") * 50_000)
     extra = F.map_from_arrays(F.array(F.lit("auc"), F.lit("depth")), F.array(m * 3, (F.col("seq") % 7).cast("double")))
     append_runs(records.withColumn("extra", extra), path)
     return load_history(spark, path).select(
@@ -387,7 +387,7 @@ def report_cells_sql() -> str:
                 ["model_name", "n", "logged_at", text_sql("value", digits), delta, "coalesce(nullif(notes, ''), '-')"],
             )
         )
-        values = [f"printf('%.6f', {v})" for v in ("baseline_value", "model_value", "difference")]
+        values = [text_sql(v, 6) for v in ("baseline_value", "model_value", "difference")]
         parts.append(
             cells_sql(f"{task}_verdict", verdict_sql(task, metric, baseline, "mlp", *rule), ["task", "verdict", "missing", *values])
         )
