@@ -25,7 +25,7 @@ from tabweave.storage import stage
 
 LENGTH = 200
 TRIGGER = 48
-CROWDED = 20_000  # phrases of one trigger beyond this are compared as single strings, spread over tasks
+CROWDED = 4_000  # phrases of one trigger beyond this are compared as single strings, spread over tasks
 _SEGMENT = 1 << 21
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -219,19 +219,22 @@ def _shared_strings(length: int):
     def settle(rows: list[dict]) -> list[tuple[int, int, int, int]]:
         if len(rows) < 2 or all(r["n"] > 1 for r in rows):
             return []
-        shapes = [(r["place"] >> 8 & 255, r["place"] & 255) for r in rows]
-        keys = np.concatenate([_string_keys(r["bytes"], c, o, length) for r, (c, o) in zip(rows, shapes, strict=True)])
-        order = np.argsort(keys, kind="stable")
-        equal = keys[order][1:] == keys[order][:-1]
-        same = np.zeros(len(keys), dtype=bool)
-        same[order[1:][equal]] = True
-        same[order[:-1][equal]] = True
-        out, at = [], 0
-        for row, (strings, _) in zip(rows, shapes, strict=True):
+        # The suffix array of the phrases: suffixes by the distance to the trigger, then by their bytes. Those that
+        # share a string are neighbours.
+        suffixes, shared = [], []
+        for i, row in enumerate(rows):
+            data, strings, offset = row["bytes"], row["place"] >> 8 & 255, row["place"] & 255
+            suffixes += [(offset - at, data[at : at + length], i, at) for at in range(strings)]
+            shared.append(np.zeros(strings, dtype=bool))
+        suffixes.sort()
+        for (near, string, i, at), (next_near, next_string, j, next_at) in zip(suffixes, suffixes[1:], strict=False):
+            if near == next_near and string == next_string:
+                shared[i][at] = shared[j][next_at] = True
+        out = []
+        for row, marked in zip(rows, shared, strict=True):
             if row["n"] == 1:
                 start = row["place"] >> 16
-                out += [(row["id_key"], row["text_key"], start + a, start + b) for a, b in _runs(same[at : at + strings])]
-            at += strings
+                out += [(row["id_key"], row["text_key"], start + a, start + b) for a, b in _runs(marked)]
         return out
 
     def single(row: dict) -> list[tuple[int, int, int, int]]:
