@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabweave.catalog.registry import query
-from tabweave.catalog.views import CATEGORICAL, CLEAN_SQL, LOANS_SQL, NUMERIC, loans, split_sql
+from tabweave.catalog.views import CATEGORICAL, CLEAN_SQL, LOANS_SQL, NUMERIC, loans, split_sql, table
 from tabweave.operators.classes import class_counts, class_weights
 from tabweave.operators.encode import (
     assemble,
@@ -15,7 +15,9 @@ from tabweave.operators.encode import (
     keep_members,
     label_rows,
     one_hot,
+    one_hot_positions,
     project,
+    vocabulary_table,
 )
 from tabweave.operators.order_statistics import exact_medians
 from tabweave.operators.ordered import Running, assign_slices, plan_slices, running
@@ -109,6 +111,32 @@ def p5_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_hot(rows, fit_vocabulary(rows, CATEGORICAL))
 
 
+@query(
+    "p5_one_hot_positions",
+    """WITH pairs AS (
+  SELECT l_orderkey * 10 + l_linenumber AS line_id, 0 AS place, CAST(l_partkey AS VARCHAR) AS value FROM lineitem
+  UNION ALL SELECT l_orderkey * 10 + l_linenumber, 1, CAST(l_suppkey AS VARCHAR) FROM lineitem
+  UNION ALL SELECT l_orderkey * 10 + l_linenumber, 2, nullif(l_returnflag, 'N') FROM lineitem
+), vocabulary AS (
+  SELECT place, value, row_number() OVER (ORDER BY place, value) - 1 AS position
+  FROM (SELECT DISTINCT place, value FROM pairs WHERE value IS NOT NULL)
+)
+SELECT line_id, array_to_string(list(position ORDER BY position) FILTER (WHERE position IS NOT NULL), ',') AS positions
+FROM pairs LEFT JOIN vocabulary USING (place, value) GROUP BY line_id""",
+)
+def p5_one_hot_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts and suppliers have too many values for columns; where their ones are is kept instead."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"),
+        "l_partkey",
+        "l_suppkey",
+        F.nullif("l_returnflag", F.lit("N")).alias("l_returnflag"),
+    )
+    columns = ["l_partkey", "l_suppkey", "l_returnflag"]
+    found = one_hot_positions(lines, vocabulary_table(lines, columns), columns, "line_id")
+    return found.select("line_id", F.array_join("positions", ",").alias("positions"))
+
+
 @query(
     "p6_assemble",
     f"""WITH {CLEAN_SQL}, encoded AS (

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabweave.operators.ordered import global_positions
+
 FILL_VALUE = "unknown"
 LABEL = "classification_target"
 MAX_ONE_HOT_COLUMNS = 10_000
@@ -51,6 +53,37 @@ def fit_vocabulary(
     return {c: sorted(values) for c, values in vocabulary.items()}
 
 
+def vocabulary_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``feature, value, position`` for every distinct value, however many there are; null is none.
+
+    Positions count from 0 over all columns, in the order of columns and values, as one-hot columns would.
+    """
+    pairs = df.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])
+        ).alias("p")
+    ).select("p.*")
+    distinct = pairs.filter(F.col("value").isNotNull()).distinct()
+    ranked = global_positions(distinct, ["place", "value"])
+    names = F.array(*[F.lit(c) for c in columns])
+    return ranked.select(F.element_at(names, F.col("place") + 1).alias("feature"), "value", "position")
+
+
+def one_hot_positions(df: DataFrame, vocabulary: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """``key, positions``: where the ones are, in the order of columns, for vocabularies too wide to be columns.
+
+    The vocabulary is a table and is joined; values that it does not have leave no position. ``key`` identifies a row.
+    """
+    pairs = df.select(
+        F.col(key),
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
+        ).alias("p"),
+    ).select(key, "p.feature", "p.value")
+    found = pairs.join(vocabulary, ["feature", "value"], "left")
+    return found.groupBy(key).agg(F.array_sort(F.collect_list("position")).alias("positions"))
+
+
 def one_hot_names(vocabulary: dict[str, list[str]]) -> list[str]:
     return [f"{c}_{v}" for c, values in vocabulary.items() for v in values]
 

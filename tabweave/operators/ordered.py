@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from tabweave.storage import stage
+
 ROWS_PER_SLICE = 200_000
 _FIRST_LOOK = 1_024
 _PARTITION = "__partition"
@@ -205,3 +207,20 @@ def running(
             for name, m in measures.items()
         ],
     )
+
+
+def global_positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """Add the place of every row, from 0, in the order of some columns.
+
+    Rows are dealt into ranges and sorted within them; the ranges are written to the shared folder with the place
+    of each row in its range, and one line per range says how many rows lie before it. Equal rows take
+    neighbouring places.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The id holds the range in its upper bits and counts rows below them.
+    held = stage(ranged.withColumn("__place", F.monotonically_increasing_id()), "positions")
+    held = held.withColumn("__range", F.shiftright("__place", 33))
+    counts = held.groupBy("__range").agg(F.count(F.lit(1)).alias("n"), F.min("__place").alias("first"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__range", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("__start"))
+    return held.join(starts, "__range").select(*df.columns, (F.col("__place") + F.col("__start")).alias(name))

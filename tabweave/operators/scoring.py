@@ -16,6 +16,14 @@ from tabweave.operators.metrics import hit_counts, r2_of_sums, rates_of_counts
 from tabweave.operators.network import MLPSpec, Parameters, forward
 
 MODES = ("classification", "regression")
+MAX_PARAMETERS = 50_000_000
+
+
+def check_size(params: Parameters) -> None:
+    """Weights are sent to every executor, so their number is bounded."""
+    count = sum(v.size for v in params.values())
+    if count > MAX_PARAMETERS:
+        raise ValueError(f"{count} parameters; weights travel with the tasks, at most {MAX_PARAMETERS}")
 
 
 def feature_matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -38,8 +46,10 @@ def score_mlp(
     """Add ``logits`` (array of num_classes doubles) for every row; dropout is off.
 
     Narrow: Arrow batches go through one matrix product per layer, no shuffle. The weights travel
-    once per executor. ``keep`` names the columns to carry along (default: all but the features).
+    once per executor, at most ``MAX_PARAMETERS`` of them. ``keep`` names the columns to carry along
+    (default: all but the features).
     """
+    check_size(params)
     kept = list(keep) if keep is not None else [c for c in df.columns if c != features]
     schema = T.StructType(
         [df.schema[c] for c in kept] + [T.StructField("logits", T.ArrayType(T.DoubleType(), False), False)]
@@ -68,6 +78,10 @@ def with_predictions(scored: DataFrame, mode: str = "classification", num_classe
     raise ValueError(f"mode '{mode}' is not one of {MODES}")
 
 
+def label_mean(df: DataFrame, label: str = "label") -> float | None:
+    return df.agg(F.avg(F.col(label).cast("double"))).first()[0]
+
+
 def validate_epoch(
     df: DataFrame,
     params: Parameters,
@@ -77,10 +91,11 @@ def validate_epoch(
     label: str = "label",
     features: str = "features",
     weights: Sequence[float] | None = None,
+    center: float | None = None,
 ) -> DataFrame:
     """One row: epoch loss and the metrics of the task, no parameter moves.
 
-    Rows are scored once. Each batch is reduced to its loss sums and its share of the metrics in one
+    ``center`` is the mean label of a regression if it is known already. Rows are scored once. Each batch is reduced to its loss sums and its share of the metrics in one
     grouped aggregate, and the batches are then added up.
     """
     predicted = with_predictions(score_mlp(df, params, spec, features, keep=[batch, label]), mode, spec.num_classes)
@@ -94,7 +109,7 @@ def validate_epoch(
         return per_batch.agg(F.avg("loss").alias("loss"), *[c.alias(n) for n, c in rates.items()])
 
     # The spread of the truth is taken around its mean; this pass reads the label column only.
-    center = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    center = label_mean(df, label) if center is None else center
     y = F.col(label).cast("double")
     error = y - F.col("pred")
     per_batch = predicted.groupBy(batch).agg(

@@ -9,10 +9,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tabweave.operators.network import MLPSpec, Parameters
-from tabweave.operators.scoring import validate_epoch
+from tabweave.operators.scoring import label_mean, validate_epoch
 from tabweave.operators.stopping import DEFAULT_MIN_DELTA, DEFAULT_PATIENCE
 from tabweave.operators.training import TrainingData, parameter_table, parameters_of, train_epoch
 from tabweave.sources.schemas import EPOCH_SCHEMA
+from tabweave.storage import staged
 
 
 class EarlyStop:
@@ -80,22 +81,25 @@ def fit(
     """Train until the validation loss stops improving; the parameters of the best epoch are returned.
 
     Two jobs per epoch, one to train and one to validate. The driver holds parameters and metrics.
-    ``validation`` has ``batch, features, label``.
+    ``validation`` has ``batch, features, label``; it is made once and kept in the shared folder while the
+    epochs run.
     """
     spark = validation.sparkSession
     rule = EarlyStop(patience, min_delta)
     result = FitResult(params, 0)
-    for epoch in range(1, epochs + 1):
-        params, trained = train_epoch(train, params, spec, mode, lr, batch_size, weights, epoch, seed)
-        checked = validate_epoch(validation, params, spec, mode, weights=weights).first().asDict()
-        line = {"epoch": epoch, "train_loss": trained.get("loss"), "val_loss": checked["loss"]}
-        line |= {f"train_{k}": v for k, v in trained.items() if k != "loss"}
-        line |= {f"val_{k}": v for k, v in checked.items() if k != "loss"}
-        result.history.append(line)
-        if rule.update(checked["loss"]):
-            result.params, result.best_epoch = params, epoch
-            if best_path:
-                save_best(spark, params, spec, epoch, best_path)
-        if rule.stopped:
-            break
+    with staged(validation.select("batch", "features", "label"), "validation") as held_out:
+        center = label_mean(held_out) if mode == "regression" else None
+        for epoch in range(1, epochs + 1):
+            params, trained = train_epoch(train, params, spec, mode, lr, batch_size, weights, epoch, seed)
+            checked = validate_epoch(held_out, params, spec, mode, weights=weights, center=center).first().asDict()
+            line = {"epoch": epoch, "train_loss": trained.get("loss"), "val_loss": checked["loss"]}
+            line |= {f"train_{k}": v for k, v in trained.items() if k != "loss"}
+            line |= {f"val_{k}": v for k, v in checked.items() if k != "loss"}
+            result.history.append(line)
+            if rule.update(checked["loss"]):
+                result.params, result.best_epoch = params, epoch
+                if best_path:
+                    save_best(spark, params, spec, epoch, best_path)
+            if rule.stopped:
+                break
     return result
