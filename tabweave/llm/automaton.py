@@ -31,6 +31,9 @@ class MergeAutomaton:
                 self._gadget(k, known[a], known[b], tokens[a + b], a + b)
                 known[a + b] = tokens[a + b]
         self.trie = _trie(self.label)
+        self.length = {t: len(label) for t, label in self.label.items()}
+        # The longest token that a token begins with, itself left out.
+        self.shorter = {t: self._longest(label[:-1], 0) for t, label in self.label.items()}
 
     def _gadget(self, k: int, a: int, b: int, c: int, label: bytes) -> None:
         self.removed.setdefault((a, b), k)
@@ -66,29 +69,50 @@ class MergeAutomaton:
                 now, token = entered, first
 
     def encode(self, word: bytes) -> list[int]:
-        """The tokens of one pre-split word: the one path through the automaton that spells it."""
-        n = len(word)
-        last, start, trie, arc = [-1] * (n + 1), [0] * (n + 1), self.trie, self.arc
-        for s in range(n):
-            state, node = last[s], trie
-            if s and state < 0:
-                continue
-            for e in range(s, n):
-                node = node.get(word[e])
-                if node is None:
-                    break
-                token = node.get(-1)
-                if token is not None and last[e + 1] < 0 and (not s or arc(state, token)):
-                    last[e + 1], start[e + 1] = token, s
-        out, at = [], n
-        while at:
-            if last[at] < 0:
+        """The tokens of one pre-split word: the one path through the automaton that spells it.
+
+        From each state the longest token that an arc allows is tried first. A position from which the end cannot be
+        reached is remembered: only one path leads to a position, so it stands for its state.
+        """
+        n, arcs, length, shorter = len(word), self._arcs, self.length, self.shorter
+        out: list[int] = []
+        at, blocked = 0, set()
+        token = self._longest(word, 0)
+        while at < n:
+            while token is not None:
+                if at + length[token] not in blocked:
+                    if not out:
+                        break
+                    key = out[-1] << 32 | token
+                    allowed = arcs.get(key)
+                    if allowed is None:
+                        allowed = arcs[key] = self._arc_at(out[-1], token, _NEVER)
+                    if allowed:
+                        break
+                token = shorter[token]
+            if token is not None:
+                out.append(token)
+                at += length[token]
+                token = self._longest(word, at) if at < n else None
+            elif out:
+                blocked.add(at)
+                token = out.pop()
+                at -= length[token]
+                token = shorter[token]
+            else:
                 raise ValueError("no path spells this word")
-            out.append(last[at])
-            at = start[at]
-        out.reverse()
         return out
 
+    def _longest(self, word: bytes, at: int) -> int | None:
+        """The longest token that begins at a position."""
+        node, found = self.trie, None
+        for byte in word[at:]:
+            node = node.get(byte)
+            if node is None:
+                break
+            found = node.get(-1, found)
+        return found
+
 
 def _trie(labels: dict[int, bytes]) -> dict:
     root: dict = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tabweave.llm.automaton import MergeAutomaton
-from tabweave.llm.common import small_slices
+from tabweave.llm.common import Recent, small_slices
 
-CACHED = 250_000  # pre-split words whose tokens a worker keeps
+CACHED = 300_000  # words whose tokens a worker keeps, in each of two generations
 
 # Fixed value: the pattern that splits text into words before the merges.
 _WORDS = regex.compile(
@@ -53,20 +54,24 @@ class ByteBpe:
             self.labels[added["id"]] = added["content"].encode()
         longest_first = sorted(self.special, key=len, reverse=True)
         self._split = regex.compile("|".join(map(regex.escape, longest_first))) if longest_first else None
-        self._inner: dict[str, bytes] = {}
-        self._first: dict[str, bytes] = {}
+        # Tokens of words, of parts behind a space, and of parts at the beginning of a line.
+        self._words, self._inner, self._first = Recent(CACHED), Recent(CACHED), Recent(CACHED // 4)
 
     def _word(self, word: str) -> bytes:
-        return np.array(self.automaton.encode(word.encode()), dtype="<u4").tobytes()
+        found = self._words.find(word)
+        if found is None:
+            found = array("I", self.automaton.encode(word.encode())).tobytes()
+            self._words.put(word, found)
+        return found
 
-    def _part(self, part: str, cache: dict[str, bytes], prefix: str) -> bytes:
+    def _part(self, part: str, memory: Recent, prefix: str) -> bytes:
         """Tokens of what stands between two separators, or an error if its ends are white space or nothing."""
-        if not part or part[0].isspace() or part[-1].isspace():
-            raise LookupError
-        found = b"".join(map(self._word, _WORDS.findall(prefix + part)))
-        if len(cache) >= CACHED:
-            cache.clear()
-        cache[part] = found
+        found = memory.find(part)
+        if found is None:
+            if not part or part[0].isspace() or part[-1].isspace():
+                raise LookupError
+            found = b"".join(map(self._word, _WORDS.findall(prefix + part)))
+            memory.put(part, found)
         return found
 
     def _plain(self, text: str) -> bytes:
@@ -75,15 +80,14 @@ class ByteBpe:
         A single space or line break between two other characters always separates words, so the parts
         between them are tokenized on their own and remembered.
         """
-        inner, first, out = self._inner, self._first, []
+        out: list[bytes] = []
         try:
             for line in text.split("\n"):
-                parts = line.split(" ")
-                head = first.get(parts[0])
-                out.append(self._part(parts[0], first, "") if head is None else head)
-                found = list(map(inner.get, parts[1:]))
+                first, *parts = line.split(" ")
+                out.append(self._part(first, self._first, ""))
+                found = list(map(self._inner.new.get, parts))
                 if None in found:
-                    found = [self._part(p, inner, " ") if f is None else f for p, f in zip(parts[1:], found, strict=True)]
+                    found = [self._part(p, self._inner, " ") if f is None else f for p, f in zip(parts, found, strict=True)]
                 out += found
                 out.append(self._newline)
             return b"".join(out[:-1])

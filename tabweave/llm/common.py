@@ -52,6 +52,27 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+class Recent:
+    """A bounded memory of two generations: entries used lately, and those used before them."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def find(self, key):
+        """The value, moved to the new entries, or null."""
+        value = self.new.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.limit:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+
 def small_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts have about ``limit`` bytes, at least one row each."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
