@@ -42,7 +42,8 @@ def _step(edges: DataFrame, larger: bool) -> DataFrame:
         )
     else:
         near = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    # Written, so that the join reads plain exchanges and a hub can be split.
+    least = stage(near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "components-least")
     linked = near.join(least, "u")
     moved = linked.where("v > u") if larger else linked.where("v != m")
     ends = moved.select(F.col("m").alias("a"), F.col("v").alias("b"))
