@@ -98,7 +98,10 @@ def _split(active: DataFrame, width: int, rest: Column, sha: Column, extra: list
 def _resolve(ended: DataFrame, extra: list[str]) -> DataFrame:
     """Members of equal groups with the row that stays and the size."""
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    leaders = ended.groupBy("grp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
+    # Written, so that the join reads plain exchanges and a group with most of the rows can be split.
+    leaders = stage(
+        ended.groupBy("grp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size")), "radix-leaders"
+    )
     return ended.join(leaders, "grp").select(
         "doc_id",
         F.col("first.id").alias("keep_id"),
