@@ -19,6 +19,8 @@ from tabweave.storage import stage
 
 ROWS_PER_SLICE = 200_000
 _FIRST_LOOK = 1_024
+_SKETCH = 8_000
+_GROUPS = 1_024  # groups of tasks whose sketches are merged on their own
 _PARTITION = "__partition"
 
 
@@ -37,14 +39,20 @@ class Slicing:
 def _even_percentiles(
     df: DataFrame, order: str, slices: int, also: dict[str, Column] | None = None
 ) -> tuple[int, list[float], dict]:
-    fractions = ", ".join(f"{i / slices!r}D" for i in range(1, slices))
-    value = f"CAST(`{order}` AS DOUBLE)"
-    row = df.agg(
-        F.count(F.col(order)).alias("n"),
-        F.expr(f"percentile_approx({value}, array({fractions}), {max(10_000, 10 * slices)})").alias("cuts"),
-        *[column.alias(f"also_{name}") for name, column in (also or {}).items()],
-    ).first()
-    return row["n"], row["cuts"] or [], {name: row[f"also_{name}"] for name in also or {}}
+    """Number of values, cuts between ``slices`` parts of about equal size, and the ``also`` aggregates.
+
+    Sketches of tasks meet group by group first, so no task reads those of all tasks.
+    """
+    value = F.col(order).cast("double")
+    parts = df.groupBy((F.spark_partition_id() % _GROUPS).alias("g")).agg(
+        F.count(value).alias("n"), F.kll_sketch_agg_double(value, _SKETCH).alias("s")
+    )
+    fractions = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    cuts = F.when(F.kll_sketch_get_n_double("s") > 0, F.kll_sketch_get_quantile_double("s", fractions))
+    merged = parts.agg(F.sum("n").alias("n"), F.kll_merge_agg_double("s", _SKETCH).alias("s"))
+    row = merged.select("n", cuts.alias("cuts")).first()
+    extra = df.agg(*[column.alias(name) for name, column in also.items()]).first().asDict() if also else {}
+    return row["n"] or 0, row["cuts"] or [], extra
 
 
 def _cuts_within(df: DataFrame, order: str, coarse: Slicing, parts: int) -> list[float]:
@@ -62,11 +70,11 @@ def plan_slices(
 ) -> Slicing:
     """Cut a numeric order column into slices of about ``rows_per_slice`` rows.
 
-    One pass that returns one row: the percentile sketches are combined on the map side. Beyond
+    One pass that returns one row: the percentile sketches are combined in stages. Beyond
     1,024 slices a second pass cuts each of them again, so slices keep their size. Equal
     values stay together, so callers with repeated values group by value first. The cut points only
-    balance the work; results do not depend on how good they are. ``also`` are aggregates the caller
-    wants from the same pass.
+    balance the work; results do not depend on how good they are. ``also`` are further aggregates the
+    caller wants.
     """
     n, cuts, extra = _even_percentiles(df, order, _FIRST_LOOK, also)
     wanted = -(-n // rows_per_slice)
