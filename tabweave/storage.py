@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_journal: list[str] = []
 _local_fallback: dict[str, str] = {}
 
 
@@ -66,5 +67,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     For frames that are read several times and slow to make; later reads skip unused columns.
     """
     path = scratch_path(df.sparkSession, name)
+    _journal.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """Collects the paths that :func:`stage` makes while the block runs, for a caller that removes them later."""
+    before, made = len(_journal), []
+    try:
+        yield made
+    finally:
+        made += _journal[before:]
+        del _journal[before:]
