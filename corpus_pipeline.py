@@ -1,10 +1,13 @@
 """The corpus pipeline: quality rules, exact dedup, near dedup, repeated passages, packing.
 
-Each stage works on all that the one before it kept. All but the last return the columns of ``documents``.
+Each stage works on all that the one before it kept. All but the last return the columns of ``documents``. The frame
+of a stage is to be written before the next stage is called, as ``run`` does.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,31 +16,58 @@ from tabweave.llm.packing import cut_pieces, pack
 from tabweave.llm.quality import load_labels, quality_rules
 from tabweave.llm.repeated_spans import cut_repeats
 from tabweave.llm.simhash import drop_near_duplicates
-from tabweave.storage import stage
+from tabweave.storage import remove, stage, staged_paths
+
+_left: list[str] = []
+
+
+def _clearing(function):
+    """Delete what the stage before left in the shared folder, and note what this one leaves there.
+
+    A stage's frame reads copies that its operator made. It is written before the next stage is called, so
+    the copies can go then.
+    """
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _left:
+            remove(spark, path)
+        _left.clear()
+        with staged_paths() as made:
+            result = function(spark, docs, sf_dir)
+        _left.extend(made)
+        return result
+
+    return run_stage
 
 
+@_clearing
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie below the quality threshold go."""
     judged = quality_rules(docs, load_labels(spark, sf_dir), carry=docs.columns)
     return judged.where("kept").select("carried.*")
 
 
+@_clearing
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return drop_copies(docs)
 
 
+@_clearing
 def keep_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return drop_near_duplicates(docs)
 
 
+@_clearing
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that repeat are cut out; the number of characters follows the text."""
     cut = cut_repeats(docs)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+@_clearing
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, each with its sequence and its place there."""
     import public_tokenizers
