@@ -50,8 +50,7 @@ class WordTokens:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
-        # A text with this mark may hold a special token, which is told apart by case.
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        words = [_words(t) for t in texts]
         distinct: set[bytes] = set()
         for found in words:
             distinct.update(found)
@@ -74,6 +73,19 @@ class WordTokens:
         self._known |= {w: b"".join([self._known[p] for p in found]) for w, found in parts.items()}
 
 
+def _words(text: bytes) -> list[bytes]:
+    """The words, in lower case where that cannot change ids.
+
+    A text with ``<|`` may hold a special token, which is told apart by case. The vocabulary composes letters before it
+    lowers them, and some decomposed letters have a composed form in lower case only, so words beyond ASCII stay as they are.
+    """
+    if b"<|" in text:
+        return text.split()
+    if text.isascii():
+        return text.lower().split()
+    return [w.lower() if w.isascii() else w for w in text.split()]
+
+
 _MARKS = b".,;:!?"
 
 

@@ -22,7 +22,7 @@ from tabweave.llm.bpe import ByteBpe, decode, encode
 from tabweave.llm.common import fold
 from tabweave.llm.langid import fit_languages, predict_languages
 from tabweave.llm.ngram_lm import score_corpus
-from tabweave.llm.packing import cut_pieces, differencing, pack, pack_block
+from tabweave.llm.packing import cut_pieces, differencing, load, pack, pack_block
 from tabweave.llm.quality import base_measures, quality_rules
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -249,6 +249,15 @@ def test_bpe_of_a_table(spark, library):
     assert result(encode(spark.createDataFrame([], SCHEMA), BYTE_BPE)) == []
 
 
+@pytest.mark.parametrize("letter", ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a"])
+def test_letters_composed_in_lower_case_only(letter):
+    """The vocabulary composes before it lowers, so these capitals keep their mark apart."""
+    tokens = load(Path(WORD_BPE).read_text(encoding="utf-8"))
+    texts = [f"{letter}amor", f"Plain WORDS, {letter} {letter.lower()}x{letter}! Ä É"]
+    encoded = Tokenizer.from_file(WORD_BPE).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(i, dtype="<u4").tolist() for i in tokens.ids([t.encode() for t in texts])] == [e.ids for e in encoded]
+
+
 def test_packing(spark):
     rows = corpus()
     pieces = cut_pieces(frame(spark, rows, clashing=True), WORD_BPE, with_ids=True)
