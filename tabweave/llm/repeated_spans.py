@@ -101,20 +101,27 @@ def _parse(docs: list[int], held: list[bytes], starts: list[int], length: int, t
     data = np.frombuffer(b"".join(held), dtype=np.uint8)
     n, width = len(data), length - trigger + 1
     rolling = _Rolling(data)
-    at = np.arange(n - trigger + 1)
-    marks = rolling.of(at, at + trigger)
+    # Few arrays of this size are held at once: two workers of an executor do this side by side.
+    marks = _mix((rolling.sums[trigger:] - rolling.sums[:-trigger]) * rolling.back[: n - trigger + 1])
     # The place in the lower bits makes the leftmost of equal hashes the smallest.
     place_bits = np.uint64((1 << 22) - 1)
-    keyed = (marks & ~place_bits) | at.astype(np.uint64)
-    padded = np.concatenate([keyed, np.full(-len(keyed) % width, np.iinfo(np.uint64).max, dtype=np.uint64)]).reshape(-1, width)
-    ahead = np.minimum.accumulate(padded, axis=1).ravel()
-    behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
+    padded = np.full(-(-len(marks) // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
+    np.bitwise_and(marks, ~place_bits, out=padded[: len(marks)])
+    padded[: len(marks)] |= np.arange(len(marks), dtype=np.uint64)
+    padded = padded.reshape(-1, width)
     strings = n - length + 1
-    owner = (np.minimum(behind[:strings], ahead[width - 1 : width - 1 + strings]) & place_bits).astype(np.int64)
+    owner = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()[:strings]
+    np.minimum.accumulate(padded, axis=1, out=padded)
+    np.minimum(owner, padded.ravel()[width - 1 : width - 1 + strings], out=owner)
+    del padded
+    owner &= place_bits
+    owner = owner.view(np.int64)
     sizes = np.array([len(h) for h in held], dtype=np.int64)
     ends = np.cumsum(sizes)
-    piece = np.repeat(np.arange(len(held)), sizes)[:strings]
-    inside = np.arange(strings) + length <= ends[piece]
+    piece = np.repeat(np.arange(len(held), dtype=np.int32), sizes)[:strings]
+    inside = np.ones(strings, dtype=bool)
+    for end in ends.tolist():
+        inside[end - length + 1 : end] = False
     new = np.ones(strings, dtype=bool)
     new[1:] = (owner[1:] != owner[:-1]) | (piece[1:] != piece[:-1]) | (inside[1:] != inside[:-1])
     first = np.flatnonzero(new)
@@ -152,13 +159,12 @@ def _parse_rows(length: int):
                     rows = pa.array(found["doc"])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column("id_key").take(rows),
-                            batch.column("text_key").take(rows),
+                            batch.column("row").take(rows),
                             pa.array(found["mark"].view(np.int64)),
                             pa.array(found["phrase"].view(np.int64)),
                             pa.array(_place(found["start"], found["strings"], found["offset"])),
                         ],
-                        ["id_key", "text_key", "mark", "phrase", "place"],
+                        ["row", "mark", "phrase", "place"],
                     )
 
     return run
@@ -176,7 +182,7 @@ def _string_keys(phrase: bytes, strings: int, offset: int, length: int) -> np.nd
     return _mix(_strings_of(phrase, strings, length) + distance * np.uint64(_BASE))
 
 
-_ENTRY = "mark long, key long, phrase long, n long, id_key long, text_key int, place long, bytes binary"
+_ENTRY = "mark long, key long, phrase long, n long, row long, place long, bytes binary"
 
 
 def _dictionary_rows(length: int):
@@ -186,13 +192,13 @@ def _dictionary_rows(length: int):
         for whole in batches:
             for batch in small_slices(whole, "text", 4 << 20):
                 texts = byte_texts(batch.column("text"))
-                ids, keys = batch.column("id_key").to_pylist(), batch.column("text_key").to_pylist()
+                numbers = batch.column("row").to_pylist()
                 rows = []
                 for i, entries in enumerate(batch.column("entries").to_pylist()):
                     for e in entries:
                         start, strings, offset = e["place"] >> 16, e["place"] >> 8 & 255, e["place"] & 255
                         data = texts[i][start : start + strings - 1 + length]
-                        owner = (e["phrase"], e["n"], ids[i], keys[i])
+                        owner = (e["phrase"], e["n"], numbers[i])
                         if not e["crowded"]:
                             rows.append((e["mark"], 0, *owner, e["place"], data))
                             continue
@@ -200,11 +206,9 @@ def _dictionary_rows(length: int):
                         for at, key in enumerate(found):
                             rows.append((e["mark"], key, *owner, (start + at) << 16 | 1 << 8, None))
                 if rows:
-                    types = (*[pa.int64()] * 5, pa.int32(), pa.int64(), pa.binary())
+                    types = (*[pa.int64()] * 6, pa.binary())
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        columns, ["mark", "key", "phrase", "n", "id_key", "text_key", "place", "bytes"]
-                    )
+                    yield pa.RecordBatch.from_arrays(columns, ["mark", "key", "phrase", "n", "row", "place", "bytes"])
 
     return run
 
@@ -216,7 +220,7 @@ def _shared_strings(length: int):
     Phrases that occur twice take part but are settled already, so nothing is said of them.
     """
 
-    def settle(rows: list[dict]) -> list[tuple[int, int, int, int]]:
+    def settle(rows: list[dict]) -> list[tuple[int, int, int]]:
         if len(rows) < 2 or all(r["n"] > 1 for r in rows):
             return []
         # The suffix array of the phrases: suffixes by the distance to the trigger, then by their bytes. Those that
@@ -234,18 +238,18 @@ def _shared_strings(length: int):
         for row, marked in zip(rows, shared, strict=True):
             if row["n"] == 1:
                 start = row["place"] >> 16
-                out += [(row["id_key"], row["text_key"], start + a, start + b) for a, b in _runs(marked)]
+                out += [(row["row"], start + a, start + b) for a, b in _runs(marked)]
         return out
 
-    def single(row: dict) -> list[tuple[int, int, int, int]]:
+    def single(row: dict) -> list[tuple[int, int, int]]:
         start = row["place"] >> 16
-        return [(row["id_key"], row["text_key"], start, start + 1)] if row["n"] == 1 else []
+        return [(row["row"], start, start + 1)] if row["n"] == 1 else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         told = False
         for batch in batches:
-            out: list[tuple[int, int, int, int]] = []
+            out: list[tuple[int, int, int]] = []
             for row in batch.to_pylist():
                 if held and (held[0]["mark"], held[0]["key"]) != (row["mark"], row["key"]):
                     out += settle(held) if held[0]["bytes"] is not None else []
@@ -270,12 +274,9 @@ def _runs(marked: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
-def _range_rows(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
-    columns = list(zip(*rows, strict=True)) or [()] * 4
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["id_key", "text_key", "from", "to"]
-    )
+def _range_rows(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["row", "from", "to"])
 
 
 def _cut(length: int, extra: list[str]):
@@ -300,8 +301,7 @@ def _cut(length: int, extra: list[str]):
                         pa.array(spans, span_type),
                         pa.array(kept, pa.binary()),
                         *[batch.column(c) for c in extra],
-                        # Bytes of characters that a span cuts through are no text.
-                        *([pa.array([k.decode("utf-8", errors="ignore") for k in kept], pa.string())] if extra else []),
+                        *([_left(batch.column("text"), kept, spans)] if extra else []),
                     ],
                     ["doc_id", "n_bytes", "spans", "kept", *extra, *(["left"] if extra else [])],
                 )
@@ -309,6 +309,13 @@ def _cut(length: int, extra: list[str]):
     return run
 
 
+def _left(texts: pa.Array, kept: list[bytes], spans: list[list[dict]]) -> pa.Array:
+    """The kept bytes as text; texts without spans stay as they are. Bytes of characters that a span cuts through are no text."""
+    whole = texts.cast(pa.binary()).to_pylist()
+    out = [k.decode("utf-8", errors="ignore").encode() if s else w for w, k, s in zip(whole, kept, spans, strict=True)]
+    return pa.array(out, pa.binary()).view(pa.string())
+
+
 def _spans(ranges: pa.StructArray, length: int) -> list[tuple[int, int]]:
     """Byte spans of ranges of strings, in order, those that touch or overlap as one."""
     start = ranges.field("from").to_numpy(zero_copy_only=False)
@@ -331,25 +338,24 @@ def repeated_spans(
     another; spans are (from, to) in bytes, in order, and do not touch. All is judged on the input. A null text is
     empty. Repeated rows are texts like any other, so all of their strings repeat; null ids are no different.
     Texts shorter than ``length`` have no spans; an empty table gives no rows. Other columns are not read, except those
-    named in ``carry``, which are returned in a struct ``carried`` next to ``left``, the kept bytes as text.
-
-    Phrases move as numbers, about one per 64 bytes. What belongs to a trigger is counted with hash aggregates, combined
-    on the map side; only triggers with different phrases have phrases moved with their bytes, each distinct one
-    once. Texts move once: both joins with them read the same exchange.
+    named in ``carry``, which are returned in a struct ``carried`` next to ``left``, the kept bytes as text, which is
+    the text itself, null included, where nothing repeats.
+
+    The rows are written to the shared folder first and numbered there; everything is placed by that number, so
+    neither ids nor texts can make two rows meet. Phrases move as numbers, about one per 64 bytes. What belongs to a
+    trigger is counted with hash aggregates, combined on the map side; only triggers with different phrases have
+    phrases moved with their bytes, each distinct one once. Texts move once: both joins with them read the same
+    exchange.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     extra = ["carried"] if carry else []
-    given = docs.select(
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id_key"),
-        # Tells rows that share an id apart; rows that share both are equal, and so are their spans.
-        F.shiftright(F.xxhash64(text), 32).cast("int").alias("text_key"),
-        text.alias("text"),
+        F.col(text_col).cast("string").alias("text"),
         *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []),
     )
-    parsed = given.select("id_key", "text_key", "text").mapInArrow(
-        _parse_rows(length), "id_key long, text_key int, mark long, phrase long, place long"
-    )
+    given = stage(rows, "numbered-texts")
+    parsed = given.select("row", "text").mapInArrow(_parse_rows(length), "row long, mark long, phrase long, place long")
     # Written, so that the join reads plain exchanges and a frequent trigger can be split over tasks.
     triggers = stage(
         parsed.groupBy("mark")
@@ -362,7 +368,7 @@ def repeated_spans(
     differing = repeated.where("differs")
     dictionary = stage(
         differing.groupBy("mark", "phrase").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("id_key", "text_key", "place")).alias("one")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "place")).alias("one")
         ),
         "phrase-dictionary",
     )
@@ -370,29 +376,25 @@ def repeated_spans(
     settled = repeated.where("NOT differs").unionByName(differing.join(twice, ["mark", "phrase"]))
     start = F.shiftright("place", 16)
     strings = F.shiftright("place", 8).bitwiseAND(F.lit(255).cast("long"))
-    known = settled.select("id_key", "text_key", start.alias("from"), (start + strings).alias("to"))
+    known = settled.select("row", start.alias("from"), (start + strings).alias("to"))
 
     crowded = dictionary.groupBy("mark").agg((F.count(F.lit(1)) > CROWDED).alias("crowded"))
     entries = (
         dictionary.join(crowded, "mark")
-        .select("one.id_key", "one.text_key", F.struct("one.place", "mark", "phrase", "n", "crowded").alias("entry"))
-        .groupBy("id_key", "text_key")
+        .select("one.row", F.struct("one.place", "mark", "phrase", "n", "crowded").alias("entry"))
+        .groupBy("row")
         .agg(F.collect_list("entry").alias("entries"))
     )
     order = ["mark", "key"]
     found = (
-        given.join(entries, ["id_key", "text_key"])
+        given.join(entries, "row")
         .mapInArrow(_dictionary_rows(length), _ENTRY)
         .repartition(*order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_shared_strings(length), "id_key long, text_key int, from long, to long")
-    )
-    ranges = (
-        known.unionByName(found)
-        .groupBy("id_key", "text_key")
-        .agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
+        .mapInArrow(_shared_strings(length), "row long, from long, to long")
     )
-    joined = given.join(ranges, ["id_key", "text_key"], "left")
+    ranges = known.unionByName(found).groupBy("row").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
+    joined = given.join(ranges, "row", "left")
     carried = f", carried {given.schema['carried'].dataType.simpleString()}, left string" if carry else ""
     return joined.mapInArrow(
         _cut(length, extra),
@@ -405,6 +407,5 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Bytes of characters that a span cuts through go as well. A text without spans, null included, stays as it is.
     """
-    found = repeated_spans(docs, id_col, text_col, length, carry=docs.columns)
-    left = F.when(F.size("spans") == 0, F.col(f"carried.`{text_col}`")).otherwise(F.col("left"))
-    return found.select(*[left.alias(c) if c == text_col else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
+    found = repeated_spans(docs, id_col, text_col, length, carry=[c for c in docs.columns if c != text_col])
+    return found.select(*[F.col("left" if c == text_col else f"carried.`{c}`").alias(c) for c in docs.columns])

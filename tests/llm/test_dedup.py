@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 from helpers import SCHEMA, corpus, frame, prose, result
+from pyspark.sql import functions as F
 
 from tabweave.llm import repeated_spans as spans_module
 from tabweave.llm.components import connected_components
@@ -176,6 +177,21 @@ def test_repeated_spans(spark, monkeypatch, clashing, crowded):
     assert sum(bool(k[2]) for k in expected) > 8
 
 
+def test_texts_of_null_ids_whose_hashes_meet(spark):
+    """Two texts without id that share 32 bits of their hash keep their own spans."""
+    rng = random.Random(4)
+    passage, alone = prose(rng, 60, 5_000), prose(rng, 60, 5_000)
+    seen = {xxhash.xxh64_intdigest(f"{passage} {i}", 42) >> 32: i for i in range(1 << 17)}
+    met = ((seen.get(xxhash.xxh64_intdigest(f"{alone} {i}", 42) >> 32), i) for i in range(1 << 18))
+    i, j = next((i, j) for i, j in met if i is not None)
+    rows = [(None, f"{passage} {i}", "", "", 0), (None, f"{alone} {j}", "", "", 0), (7, passage, "", "", 0)]
+    texts = [r[1].encode() for r in rows]
+    expected = {t: s for t, s in zip(texts, plain_spans(texts, 200), strict=True)}
+    found = repeated_spans(frame(spark, rows), carry=["text"]).collect()
+    assert {r.carried.text.encode(): list(map(tuple, r.spans)) for r in found} == expected
+    assert [] in expected.values() and cut_repeats(frame(spark, rows)).where(F.col("text") == f"{alone} {j}").count() == 1
+
+
 def test_spans_of_other_lengths_and_edits(spark):
     rng = random.Random(3)
     base = [prose(rng, 200, 5_000) for _ in range(4)]
