@@ -24,6 +24,7 @@ from tabweave.llm.common import byte_texts, small_slices
 from tabweave.storage import stage
 
 LENGTH = 200
+LONGEST = 0xFFFF  # places keep the strings of a phrase in 16 bits
 TRIGGER = 48
 CROWDED = 4_000  # phrases of one trigger beyond this are compared as single strings, spread over tasks
 _SEGMENT = 1 << 21
@@ -132,7 +133,7 @@ def _parse(docs: list[int], held: list[bytes], starts: list[int], length: int, t
         return None
     place, piece = owner[first], piece[first]
     offset, count = place - first, last - first + 1
-    shape = (offset * 4096 + count).astype(np.uint64)
+    shape = (offset << 16 | count).astype(np.uint64)
     return {
         "doc": np.array(docs, dtype=np.int64)[piece],
         "start": first - (ends - sizes)[piece] + np.array(starts, dtype=np.int64)[piece],
@@ -144,8 +145,13 @@ def _parse(docs: list[int], held: list[bytes], starts: list[int], length: int, t
 
 
 def _place(start, strings, offset):
-    """Start, number of strings and trigger offset in one long."""
-    return start << 16 | strings << 8 | offset
+    """Start, number of strings and trigger offset in one long, 16 bits each for the last two."""
+    return start << 32 | strings << 16 | offset
+
+
+def _placed(place: int) -> tuple[int, int, int]:
+    """What :func:`_place` put together."""
+    return place >> 32, place >> 16 & 0xFFFF, place & 0xFFFF
 
 
 def _parse_rows(length: int):
@@ -196,7 +202,7 @@ def _dictionary_rows(length: int):
                 rows = []
                 for i, entries in enumerate(batch.column("entries").to_pylist()):
                     for e in entries:
-                        start, strings, offset = e["place"] >> 16, e["place"] >> 8 & 255, e["place"] & 255
+                        start, strings, offset = _placed(e["place"])
                         data = texts[i][start : start + strings - 1 + length]
                         owner = (e["phrase"], e["n"], numbers[i])
                         if not e["crowded"]:
@@ -204,7 +210,7 @@ def _dictionary_rows(length: int):
                             continue
                         found = _string_keys(data, strings, offset, length).view(np.int64).tolist()
                         for at, key in enumerate(found):
-                            rows.append((e["mark"], key, *owner, (start + at) << 16 | 1 << 8, None))
+                            rows.append((e["mark"], key, *owner, _place(start + at, 1, 0), None))
                 if rows:
                     types = (*[pa.int64()] * 6, pa.binary())
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
@@ -227,7 +233,7 @@ def _shared_strings(length: int):
         # share a string are neighbours.
         suffixes, shared = [], []
         for i, row in enumerate(rows):
-            data, strings, offset = row["bytes"], row["place"] >> 8 & 255, row["place"] & 255
+            data, (_, strings, offset) = row["bytes"], _placed(row["place"])
             suffixes += [(offset - at, data[at : at + length], i, at) for at in range(strings)]
             shared.append(np.zeros(strings, dtype=bool))
         suffixes.sort()
@@ -237,12 +243,12 @@ def _shared_strings(length: int):
         out = []
         for row, marked in zip(rows, shared, strict=True):
             if row["n"] == 1:
-                start = row["place"] >> 16
+                start = _placed(row["place"])[0]
                 out += [(row["row"], start + a, start + b) for a, b in _runs(marked)]
         return out
 
     def single(row: dict) -> list[tuple[int, int, int]]:
-        start = row["place"] >> 16
+        start = _placed(row["place"])[0]
         return [(row["row"], start, start + 1)] if row["n"] == 1 else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +345,7 @@ def repeated_spans(
     empty. Repeated rows are texts like any other, so all of their strings repeat; null ids are no different.
     Texts shorter than ``length`` have no spans; an empty table gives no rows. Other columns are not read, except those
     named in ``carry``, which are returned in a struct ``carried`` next to ``left``, the kept bytes as text, which is
-    the text itself, null included, where nothing repeats.
+    the text itself, null included, where nothing repeats. ``length`` is at least that of a trigger and at most ``LONGEST``.
 
     The rows are written to the shared folder first and numbered there; everything is placed by that number, so
     neither ids nor texts can make two rows meet. Phrases move as numbers, about one per 64 bytes. What belongs to a
@@ -347,6 +353,8 @@ def repeated_spans(
     phrases moved with their bytes, each distinct one once. Texts move once: both joins with them read the same
     exchange.
     """
+    if not TRIGGER <= length <= LONGEST:
+        raise ValueError(f"length must be between {TRIGGER} and {LONGEST}, not {length}")
     extra = ["carried"] if carry else []
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -374,8 +382,8 @@ def repeated_spans(
     )
     twice = dictionary.where("n > 1").select("mark", "phrase")
     settled = repeated.where("NOT differs").unionByName(differing.join(twice, ["mark", "phrase"]))
-    start = F.shiftright("place", 16)
-    strings = F.shiftright("place", 8).bitwiseAND(F.lit(255).cast("long"))
+    start = F.shiftright("place", 32)
+    strings = F.shiftright("place", 16).bitwiseAND(F.lit(0xFFFF).cast("long"))
     known = settled.select("row", start.alias("from"), (start + strings).alias("to"))
 
     crowded = dictionary.groupBy("mark").agg((F.count(F.lit(1)) > CROWDED).alias("crowded"))

@@ -207,6 +207,21 @@ def test_spans_of_other_lengths_and_edits(spark):
     assert found == dict(enumerate(plain_spans(texts, 200)))
 
 
+@pytest.mark.parametrize("length", [48, 700])
+def test_spans_of_short_and_long_strings(spark, length):
+    rng = random.Random(6)
+    passage = prose(rng, 400, 5_000)
+    rows = [(i, f"{prose(rng, 80, 5_000)} {passage[40 * i :]}", "", "", 0) for i in range(5)]
+    found = {r.doc_id: list(map(tuple, r.spans)) for r in repeated_spans(frame(spark, rows), length=length).collect()}
+    assert found == dict(enumerate(plain_spans([r[1].encode() for r in rows], length)))
+
+
+@pytest.mark.parametrize("length", [0, 47, 65_536])
+def test_lengths_that_have_no_place_are_refused(spark, length):
+    with pytest.raises(ValueError, match="length"):
+        repeated_spans(frame(spark, corpus()), length=length)
+
+
 def test_long_texts_are_parsed_in_pieces(monkeypatch):
     """Every 200-byte string belongs to exactly one phrase, also across pieces."""
     rng = random.Random(1)
