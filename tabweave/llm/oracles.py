@@ -62,3 +62,96 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spa
        sha256(unhex(CASE WHEN ending IS NULL THEN h ELSE head || substr(h, 2 * ending + 1) END)) AS kept_sha256
 FROM given LEFT JOIN cut USING (doc_id)
 """
+
+
+def _codebook_round(n: int) -> str:
+    """Assign every part to its nearest entry of ``book{n}``, and move the entries to ``book{n + 1}``."""
+    return f"""
+near{n} AS MATERIALIZED (
+  SELECT vec_id, part, min(square * 64 + entry) % 64 AS entry, min(square * 64 + entry) // 64 AS square
+  FROM (SELECT c.vec_id, c.part, b.entry,
+               CAST(list_sum(list_transform(list_zip(c.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS square
+        FROM cut c JOIN book{n} b USING (part))
+  GROUP BY vec_id, part
+), moved{n} AS (
+  SELECT part, entry, list(mean ORDER BY place) AS v
+  FROM (SELECT part, entry, place, CAST(floor(sum(x) / count(*)) AS BIGINT) AS mean
+        FROM (SELECT c.part, a.entry, unnest(c.v) AS x, generate_subscripts(c.v, 1) AS place
+              FROM cut c JOIN near{n} a USING (vec_id, part))
+        GROUP BY part, entry, place)
+  GROUP BY part, entry
+), book{n + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.v, b.v) AS v FROM book{n} b LEFT JOIN moved{n} m USING (part, entry)
+)"""
+
+
+SQL["op12_vector_codes"] = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT vec_id, label, part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] AS v FROM kept, range(16) t(part)
+), book0 AS MATERIALIZED (
+  SELECT part, entry, v
+  FROM (SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM cut) WHERE entry < 64
+), {_codebook_round(0)}, {_codebook_round(1)}, {_codebook_round(2)}, coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, CAST(sum(square) AS BIGINT) AS error
+  FROM near2 GROUP BY vec_id
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+
+# The CRC-32 of a word byte by byte, from its hexadecimal digits and the table of its polynomial.
+SQL["op13_resampling"] = """
+WITH crc_table AS (
+  SELECT list(c ORDER BY b) AS crcs
+  FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i:
+                 CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) t(b))
+), words AS (
+  SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM documents
+), target_words AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark
+), features AS (
+  SELECT doc_id, unnest(w) AS word FROM words
+), counted AS (
+  SELECT word, sum(s) AS s, sum(t) AS t
+  FROM (SELECT word, count(*) AS s, 0 AS t FROM features GROUP BY word
+        UNION ALL SELECT word, 0, count(*) FROM target_words GROUP BY word)
+  GROUP BY word
+), hexed AS (
+  SELECT word, s, t, hex(encode(word)) AS h FROM counted
+), hashed AS MATERIALIZED (
+  SELECT word, s, t, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+           list_transform(range(length(h) // 2), lambda i:
+             (instr('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(h, 2 * i + 2, 1)) - 1)),
+           lambda c, b: xor(crcs[xor(c & 255, b) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM hexed, crc_table
+), buckets AS (
+  SELECT bucket, sum(s) AS s, sum(t) AS t FROM hashed GROUP BY bucket
+), totals AS (
+  SELECT sum(s) AS s_all, sum(t) AS t_all FROM buckets
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * (s_all + 10000) / (CAST(s + 1 AS DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM buckets, totals
+), weights AS (
+  SELECT doc_id, sum(gain) AS weight FROM features JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (doc_id)
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""

@@ -152,3 +152,19 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@_query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabweave.llm.vector_codes import compress_vectors, with_label_error
+
+    codes, books = compress_vectors(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    found = with_label_error(codes).withColumnRenamed("id", "vec_id")
+    return found.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+@_query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabweave.llm.resampling import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
