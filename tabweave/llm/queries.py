@@ -168,3 +168,18 @@ def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabweave.llm.resampling import resample
 
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabweave.llm.common import fold
+    from tabweave.llm.quality_classifier import classify_quality, trusted_ids
+
+    trusted = trusted_ids(table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0))
+    scored, _ = classify_quality(table(spark, sf_dir, "documents"), trusted)
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
