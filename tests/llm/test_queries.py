@@ -49,10 +49,10 @@ def test_against_sql(spark, tables, name):
     assert sorted(tuple(map(str, r)) for r in result.select(*columns).collect()) == expected
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_all_queries_and_the_pipeline_are_registered():
     names = entry_module.queries()
     assert "pipeline" in names
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "repeated_passages", "packing"]
 
 
@@ -92,6 +92,18 @@ def test_language_of_held_out_documents(spark, documents):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held_out) >= 0.97 * len(held_out)
 
 
+def test_quality_of_held_out_documents(spark, documents, tables):
+    found = {r.doc_id: r for r in queries()["op11_quality_classifier"](spark, SF_DIR).collect()}
+    assert set(found) == {r[0] for r in documents}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in found.items())
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in found.values())
+    labels = dict(tables.execute("SELECT doc_id, quality FROM labels").fetchall())
+    known = [(found[i].score, q) for i, q in labels.items() if i in found]
+    good, bad = ([s for s, q in known if q == label] for label in (1, 0))
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) >= 0.95 * len(good) * len(bad)
+    assert sum((s >= 0.3) == (q == 1) for s, q in known) >= 0.9 * len(known)
+
+
 def check_sequences(rows):
     sequences = defaultdict(list)
     for r in rows:
