@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from tabweave.catalog import evaluation, history, network, preparation  # noqa: F401
+    from tabweave.catalog import evaluation, history, network, preparation, sparse  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from tabweave.operators.sparse_rows import ColumnGradient, SparseRows
+
 # Slope of the leaky activation, norm epsilon, weight of a batch in running statistics.
 LEAKY_SLOPE = 0.01
 NORM_EPSILON = 1e-5
@@ -115,7 +117,11 @@ def _activation_slope(z: np.ndarray, kind: str) -> np.ndarray:
     return np.where(z > 0, 1.0, LEAKY_SLOPE if kind == "leaky_relu" else 0.0)
 
 
-def forward(params: Parameters, x: np.ndarray, spec: MLPSpec, rng: np.random.Generator | None = None):
+def _times(x: np.ndarray | SparseRows, weights: np.ndarray) -> np.ndarray:
+    return x.times(weights) if isinstance(x, SparseRows) else x @ weights.T
+
+
+def forward(params: Parameters, x: np.ndarray | SparseRows, spec: MLPSpec, rng: np.random.Generator | None = None):
     """Outputs of a batch and what the backward step needs.
 
     With ``rng`` the batch is a training batch: dropout is on, batch norm uses the statistics of
@@ -124,7 +130,7 @@ def forward(params: Parameters, x: np.ndarray, spec: MLPSpec, rng: np.random.Gen
     training, tape, out = rng is not None, [], x
     for i in range(len(spec.hidden_sizes)):
         step = {"input": out}
-        z = out @ params[f"{i}.weight"].T
+        z = _times(out, params[f"{i}.weight"])
         z += params[f"{i}.bias"]
         if spec.norm:
             axis = 0 if spec.norm == "batch" else 1
@@ -150,11 +156,14 @@ def forward(params: Parameters, x: np.ndarray, spec: MLPSpec, rng: np.random.Gen
         tape.append(step)
     last = len(spec.hidden_sizes)
     tape.append({"input": out})
-    return out @ params[f"{last}.weight"].T + params[f"{last}.bias"], tape
+    return _times(out, params[f"{last}.weight"]) + params[f"{last}.bias"], tape
 
 
 def backward(params: Parameters, tape: list, d_out: np.ndarray, spec: MLPSpec) -> Parameters:
-    """Gradient of every trained parameter, given the gradient at the outputs."""
+    """Gradient of every trained parameter, given the gradient at the outputs.
+
+    That of the first layer has only the columns that occur if the batch came as sparse rows.
+    """
     grads: Parameters = {}
     last = len(spec.hidden_sizes)
     for i in range(last, -1, -1):
@@ -170,7 +179,9 @@ def backward(params: Parameters, tape: list, d_out: np.ndarray, spec: MLPSpec) -
                 d_c = d_out * params[f"{i}.gain"]
                 drift = d_c.mean(axis=axis, keepdims=True) + c * (d_c * c).mean(axis=axis, keepdims=True)
                 d_out = step["inverse"] * (d_c - drift)
-        grads[f"{i}.weight"], grads[f"{i}.bias"] = d_out.T @ step["input"], d_out.sum(axis=0)
+        given = step["input"]
+        grads[f"{i}.weight"] = given.gradient(d_out) if isinstance(given, SparseRows) else d_out.T @ given
+        grads[f"{i}.bias"] = d_out.sum(axis=0)
         if i:
             d_out = d_out @ params[f"{i}.weight"]
     return grads
@@ -196,4 +207,14 @@ def loss_and_gradient(outputs: np.ndarray, labels: np.ndarray, mode: str, weight
 
 
 def gradient_norm(grads: Parameters) -> float:
-    return float(np.sqrt(sum(float((g * g).sum()) for g in grads.values())))
+    values = (g.values if isinstance(g, ColumnGradient) else g for g in grads.values())
+    return float(np.sqrt(sum(float((g * g).sum()) for g in values)))
+
+
+def descend(params: Parameters, grads: Parameters, lr: float) -> None:
+    """One step against the gradient, in place."""
+    for name, g in grads.items():
+        if isinstance(g, ColumnGradient):
+            params[name][:, g.columns] -= lr * g.values
+        else:
+            params[name] -= lr * g

@@ -14,6 +14,7 @@ from tabweave.functions.scores import argmax_class, positive_probability, regres
 from tabweave.operators.losses import weighted_cross_entropy
 from tabweave.operators.metrics import hit_counts, r2_of_sums, rates_of_counts
 from tabweave.operators.network import MLPSpec, Parameters, forward
+from tabweave.operators.sparse_rows import Features, feature_names, read_features
 
 MODES = ("classification", "regression")
 MAX_PARAMETERS = 50_000_000
@@ -26,14 +27,6 @@ def check_size(params: Parameters) -> None:
         raise ValueError(f"{count} parameters; weights travel with the tasks, at most {MAX_PARAMETERS}")
 
 
-def feature_matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of an Arrow list column as a matrix, without a Python object per row."""
-    values = column.flatten()
-    if column.null_count or len(values) != len(column) * width or values.null_count:
-        raise ValueError(f"features must be arrays of {width} numbers without nulls")
-    return values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
-
-
 def list_column(matrix: np.ndarray) -> pa.Array:
     rows, width = matrix.shape
     offsets = pa.array(np.arange(0, (rows + 1) * width, width, dtype=np.int32))
@@ -41,16 +34,22 @@ def list_column(matrix: np.ndarray) -> pa.Array:
 
 
 def score_mlp(
-    df: DataFrame, params: Parameters, spec: MLPSpec, features: str = "features", keep: Sequence[str] | None = None
+    df: DataFrame,
+    params: Parameters,
+    spec: MLPSpec,
+    features: Features = "features",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``logits`` (array of num_classes doubles) for every row; dropout is off.
 
     Narrow: Arrow batches go through one matrix product per layer, no shuffle. The weights travel
     once per executor, at most ``MAX_PARAMETERS`` of them. ``keep`` names the columns to carry along
-    (default: all but the features).
+    (default: all but the features). ``features`` is one array column, or the two columns ``(positions, values)`` of
+    sparse rows, whose first layer adds up the weights of the positions that a row has.
     """
     check_size(params)
-    kept = list(keep) if keep is not None else [c for c in df.columns if c != features]
+    names = feature_names(features)
+    kept = list(keep) if keep is not None else [c for c in df.columns if c not in names]
     schema = T.StructType(
         [df.schema[c] for c in kept] + [T.StructField("logits", T.ArrayType(T.DoubleType(), False), False)]
     )
@@ -60,12 +59,11 @@ def score_mlp(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shipped.value
         for batch in batches:
-            x = feature_matrix(batch.column(batch.schema.get_field_index(features)), width)
-            outputs, _ = forward(weights, x, spec)
+            outputs, _ = forward(weights, read_features(batch, features, width), spec)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, list_column(outputs)], names=[*kept, "logits"])
 
-    return df.select(*kept, features).mapInArrow(score, schema)
+    return df.select(*kept, *names).mapInArrow(score, schema)
 
 
 def with_predictions(scored: DataFrame, mode: str = "classification", num_classes: int = 2) -> DataFrame:
@@ -89,7 +87,7 @@ def validate_epoch(
     mode: str = "classification",
     batch: str = "batch",
     label: str = "label",
-    features: str = "features",
+    features: Features = "features",
     weights: Sequence[float] | None = None,
     center: float | None = None,
 ) -> DataFrame:

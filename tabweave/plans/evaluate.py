@@ -10,6 +10,7 @@ from tabweave.operators.curve import DEFAULT_MIN_RECALL, best_threshold
 from tabweave.operators.metrics import DEFAULT_CUTOFF, rates_of_counts, regression_metrics
 from tabweave.operators.network import MLPSpec, Parameters
 from tabweave.operators.scoring import score_mlp, with_predictions
+from tabweave.operators.sparse_rows import Features
 from tabweave.storage import stage
 
 
@@ -52,8 +53,10 @@ def metrics_record(result: DataFrame) -> dict:
     return {k: [list(r) for r in v] if k == "confusion_matrix" else v for k, v in row.items()}
 
 
-def _predicted(df: DataFrame, params: Parameters, spec: MLPSpec, mode: str, label: str) -> DataFrame:
-    return with_predictions(score_mlp(df, params, spec, keep=[label]), mode, spec.num_classes)
+def _predicted(
+    df: DataFrame, params: Parameters, spec: MLPSpec, mode: str, label: str, features: Features
+) -> DataFrame:
+    return with_predictions(score_mlp(df, params, spec, features, keep=[label]), mode, spec.num_classes)
 
 
 def evaluate_network(
@@ -63,9 +66,10 @@ def evaluate_network(
     mode: str = "classification",
     threshold: float | None = None,
     label: str = "label",
+    features: Features = "features",
 ) -> DataFrame:
     """Score ``features, label`` rows and evaluate them; each row is scored once and then reduced."""
-    predicted = _predicted(df, params, spec, mode, label)
+    predicted = _predicted(df, params, spec, mode, label, features)
     return evaluate(predicted, label, "p1" if mode == "classification" else "pred", mode, threshold)
 
 
@@ -76,10 +80,11 @@ def network_threshold(
     strategy: str = "f1",
     min_recall: float = DEFAULT_MIN_RECALL,
     label: str = "label",
+    features: Features = "features",
 ) -> DataFrame:
     """The best decision threshold of a network on validation rows.
 
     The search reads the scores more than once, so labels and probabilities are stored first.
     """
-    scores = stage(_predicted(df, params, spec, "classification", label).select(label, "p1"), "scores")
+    scores = stage(_predicted(df, params, spec, "classification", label, features).select(label, "p1"), "scores")
     return best_threshold(scores, label, "p1", strategy, min_recall)
