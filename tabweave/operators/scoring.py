@@ -93,21 +93,39 @@ def validate_epoch(
 ) -> DataFrame:
     """One row: epoch loss and the metrics of the task, no parameter moves.
 
-    ``center`` is the mean label of a regression if it is known already. Rows are scored once. Each batch is reduced to its loss sums and its share of the metrics in one
-    grouped aggregate, and the batches are then added up.
+    ``center`` is the mean label of a regression if it is known already. Rows are scored once.
     """
-    predicted = with_predictions(score_mlp(df, params, spec, features, keep=[batch, label]), mode, spec.num_classes)
+    if mode == "regression" and center is None:
+        # The spread of the truth is taken around its mean; this pass reads the label column only.
+        center = label_mean(df, label)
+    scored = score_mlp(df, params, spec, features, keep=[batch, label])
+    return validation_metrics(scored, mode, spec.num_classes, batch, label, weights, center)
+
+
+def validation_metrics(
+    scored: DataFrame,
+    mode: str,
+    num_classes: int,
+    batch: str,
+    label: str,
+    weights: Sequence[float] | None,
+    center: float | None,
+) -> DataFrame:
+    """One row of epoch loss and metrics from scored rows.
+
+    Each batch is reduced to its loss sums and its share of the metrics in one grouped aggregate, and the batches
+    are then added up.
+    """
+    predicted = with_predictions(scored, mode, num_classes)
     if mode == "classification":
         counts = hit_counts(F.col(label).cast("int"), F.col("pred"))
         per_batch = predicted.groupBy(batch).agg(
-            weighted_cross_entropy("logits", label, weights, spec.num_classes).alias("loss"),
+            weighted_cross_entropy("logits", label, weights, num_classes).alias("loss"),
             *[c.alias(n) for n, c in counts.items()],
         )
         rates = rates_of_counts(*[F.sum(n) for n in counts])
         return per_batch.agg(F.avg("loss").alias("loss"), *[c.alias(n) for n, c in rates.items()])
 
-    # The spread of the truth is taken around its mean; this pass reads the label column only.
-    center = label_mean(df, label) if center is None else center
     y = F.col(label).cast("double")
     error = y - F.col("pred")
     per_batch = predicted.groupBy(batch).agg(
