@@ -6,7 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +28,12 @@ def check_size(params: Parameters) -> None:
         raise ValueError(f"{count} parameters; weights travel with the tasks, at most {MAX_PARAMETERS}")
 
 
+def ship(spark: SparkSession, params: Parameters) -> Broadcast[Parameters]:
+    """Send weights to the executors, once their size is checked."""
+    check_size(params)
+    return spark.sparkContext.broadcast(params)
+
+
 def list_column(matrix: np.ndarray) -> pa.Array:
     rows, width = matrix.shape
     offsets = pa.array(np.arange(0, (rows + 1) * width, width, dtype=np.int32))
@@ -35,7 +42,7 @@ def list_column(matrix: np.ndarray) -> pa.Array:
 
 def score_mlp(
     df: DataFrame,
-    params: Parameters,
+    params: Parameters | Broadcast[Parameters],
     spec: MLPSpec,
     features: Features = "features",
     keep: Sequence[str] | None = None,
@@ -45,15 +52,15 @@ def score_mlp(
     Narrow: Arrow batches go through one matrix product per layer, no shuffle. The weights travel
     once per executor, at most ``MAX_PARAMETERS`` of them. ``keep`` names the columns to carry along
     (default: all but the features). ``features`` is one array column, or the two columns ``(positions, values)`` of
-    sparse rows, whose first layer adds up the weights of the positions that a row has.
+    sparse rows, whose first layer adds up the weights of the positions that a row has. Callers that score
+    often pass a broadcast of their own and release it.
     """
-    check_size(params)
+    shipped = params if isinstance(params, Broadcast) else ship(df.sparkSession, params)
     names = feature_names(features)
     kept = list(keep) if keep is not None else [c for c in df.columns if c not in names]
     schema = T.StructType(
         [df.schema[c] for c in kept] + [T.StructField("logits", T.ArrayType(T.DoubleType(), False), False)]
     )
-    shipped = df.sparkSession.sparkContext.broadcast(params)
     width = spec.input_size
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +89,7 @@ def label_mean(df: DataFrame, label: str = "label") -> float | None:
 
 def validate_epoch(
     df: DataFrame,
-    params: Parameters,
+    params: Parameters | Broadcast[Parameters],
     spec: MLPSpec,
     mode: str = "classification",
     batch: str = "batch",

@@ -44,10 +44,45 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _filesystem(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete what was staged under ``path``; nothing happens if it is not there."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, files = _filesystem(spark, path)
+    files.delete(place, True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it is there as a whole or not at all; a file of that name must not exist."""
+    place, files = _filesystem(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    stream = files.create(beside, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if files.exists(place) or not files.rename(beside, place):
+        files.delete(beside, False)
+        raise FileExistsError(path)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    place, files = _filesystem(spark, path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, sorted; none if it is not there."""
+    place, files = _filesystem(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
 
 
 @contextmanager

@@ -1,0 +1,149 @@
+"""A fit whose driver is lost goes on to the same result."""
+
+import os
+import subprocess
+import sys
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_chunked import as_stored, whole
+
+from tabweave.operators.chunked import place_chunked
+from tabweave.operators.network import MLPSpec, init_params
+from tabweave.operators.training import place_rows
+from tabweave.plans import fit as fit_module
+from tabweave.plans.fit import fit
+from tabweave.plans.journal import FitState, Journal
+from tabweave.storage import get_text, names_in, put_text
+
+SPEC = MLPSpec(3, [6], 2, dropout_rate=0.2, norm="batch")
+OPTIONS = {"lr": 0.3, "batch_size": 16, "weights": [0.5, 1.5], "patience": 3, "epochs": 5}
+
+
+def rows(spark):
+    feature = [(F.hash(F.col("id"), F.lit(k)) % 1000 / 500).cast("float") for k in range(3)]
+    df = spark.range(240).select(F.col("id").cast("string").alias("order_key"), F.array(*feature).alias("features"))
+    return df.withColumn("label", (F.aggregate("features", F.lit(0.0), lambda a, x: a + x) > 0).cast("bigint"))
+
+
+def run(spark, path, **options):
+    df = rows(spark)
+    validation = df.where("order_key < '3'").withColumn("batch", F.lit(0))
+    train = place_rows(df.where("order_key >= '3'"), 3)
+    return fit(train, validation, init_params(SPEC), SPEC, resume_path=path, **(OPTIONS | options))
+
+
+def equal(a, b):
+    return set(a) == set(b) and all((a[n] == b[n]).all() for n in a)
+
+
+# Runs a fit in a process of its own that ends without warning in its third epoch.
+KILLED = """
+import os, sys
+sys.path[:0] = [{root!r}, {tests!r}]
+from pyspark.sql import SparkSession
+from tabweave.plans import fit as fit_module, journal
+import test_resume
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.checkpoint.dir", {shared!r}).getOrCreate())
+owner, name = {{"training": (fit_module, "train_epoch"), "commit": (journal, "put_text")}}[{where!r}]
+plain, calls = getattr(owner, name), []
+def until_the_third(*args):
+    calls.append(1)
+    if len(calls) == 3:
+        os._exit(9)
+    return plain(*args)
+setattr(owner, name, until_the_third)
+test_resume.run(spark, {path!r})
+"""
+
+
+@pytest.mark.parametrize("where", ["training", "commit"])
+def test_a_killed_fit_goes_on(spark, tmp_path, where):
+    path, here = str(tmp_path / "fit"), os.path.dirname(os.path.abspath(__file__))
+    script = KILLED.format(root=os.path.dirname(here), tests=here, shared=str(tmp_path / "shared"), where=where, path=path)
+    ended = subprocess.run([sys.executable, "-c", script], capture_output=True, timeout=300, check=False)
+    assert ended.returncode == 9, ended.stderr[-2_000:]
+    before = names_in(spark, path)
+    assert [n for n in before if n.startswith("committed")] == ["committed-00000001.json", "committed-00000002.json"]
+    assert ("epoch=3" in before) == (where == "commit")  # parameters of an epoch that does not count
+    uninterrupted = run(spark, None)
+    found = run(spark, path)
+    assert equal(found.params, uninterrupted.params) and found.best_epoch == uninterrupted.best_epoch
+    assert [h["epoch"] for h in found.history] == [h["epoch"] for h in uninterrupted.history]
+    for a, b in zip(found.history, uninterrupted.history, strict=True):
+        assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_going_on_with_more_epochs_and_a_finished_fit(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fit")
+    run(spark, path, epochs=2)
+    longer = run(spark, path)
+    assert equal(longer.params, run(spark, None).params) and len(longer.history) == 5
+    folders = {n for n in names_in(spark, path) if n.startswith("epoch")}
+    assert folders == {f"epoch={len(longer.history)}", f"epoch={longer.best_epoch}"}
+    monkeypatch.setattr(fit_module, "train_epoch", lambda *a: pytest.fail("nothing is left to train"))
+    again = run(spark, path)
+    assert equal(again.params, longer.params) and again.history == longer.history
+
+
+def test_stopping_is_part_of_the_state(spark, tmp_path):
+    path = str(tmp_path / "fit")
+    first = run(spark, path, lr=-0.5, patience=2, epochs=2)
+    assert first.best_epoch == 1
+    stopped = run(spark, path, lr=-0.5, patience=2, epochs=9)
+    assert len(stopped.history) == 3 and stopped.best_epoch == 1
+    assert len(run(spark, path, lr=-0.5, patience=2, epochs=9).history) == 3
+
+
+def test_other_settings_are_refused(spark, tmp_path):
+    path = str(tmp_path / "fit")
+    run(spark, path, epochs=1)
+    with pytest.raises(ValueError, match="other settings: lr"):
+        run(spark, path, lr=0.1)
+
+
+def test_stored_parameters_go_on_too(spark, tmp_path):
+    spec = MLPSpec(3, [4], 2, dropout_rate=0.2, norm="layer")
+    sparse = rows(spark).select("order_key", F.array(*[F.lit(i).cast("long") for i in range(3)]).alias("positions"), F.col("features").alias("values"), "label")
+    train = place_chunked(sparse.where("order_key >= '3'"), spec, 3, per_chunk=2)
+    validation = place_chunked(sparse.where("order_key < '3'").withColumn("batch", F.lit(0)), spec, 2, keep=["batch"], per_chunk=2)
+    start = init_params(spec)
+
+    def go(path, epochs):
+        options = OPTIONS | {"epochs": epochs}
+        return fit(train, validation, as_stored(spark, start, spec, 2), spec, resume_path=path, **options)
+
+    path = str(tmp_path / "fit")
+    go(path, 2)
+    (tmp_path / "fit" / "epoch=3").mkdir()  # an attempt that did not get far
+    found, uninterrupted = go(path, 4), go(None, 4)
+    assert equal(whole(found.params), whole(uninterrupted.params)) and found.best_epoch == uninterrupted.best_epoch
+    dense = rows(spark)
+    plain = fit(
+        place_rows(dense.where("order_key >= '3'"), 3), dense.where("order_key < '3'").withColumn("batch", F.lit(0)), start, spec,
+        **(OPTIONS | {"epochs": 4}),
+    )
+    assert plain.best_epoch == found.best_epoch
+    assert all(np.allclose(plain.params[n], whole(found.params)[n]) for n in start)
+    assert found.history[-1] == pytest.approx(plain.history[-1])
+
+
+def test_small_files_are_there_as_a_whole_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "folder" / "note")
+    put_text(spark, path, "é")
+    assert get_text(spark, path) == "é" and names_in(spark, str(tmp_path / "folder")) == ["note"]
+    with pytest.raises(FileExistsError):
+        put_text(spark, path, "other")
+    assert get_text(spark, path) == "é" and names_in(spark, str(tmp_path / "folder")) == ["note"]
+    assert names_in(spark, str(tmp_path / "nothing")) == []
+
+
+def test_a_journal_takes_an_epoch_once(spark, tmp_path):
+    journal = Journal(spark, str(tmp_path), {"a": (1, 2)})
+    assert journal.load() == FitState()
+    journal.commit(FitState(1, 1, 0.5, history=[{"epoch": 1, "val_loss": float("nan")}]))
+    assert journal.load().best_loss == 0.5
+    with pytest.raises(FileExistsError):
+        journal.commit(FitState(1))
