@@ -408,60 +408,97 @@ def m12_early_stop_margin_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return early_stop(epochs(spark, sf_dir), patience=12, min_delta=2.5, epochs_per_slice=9)
 
 
-# The same network trained for some epochs in one bucket, with a step so large that the losses go up and down
-# and an epoch in the middle is the best one. The walk goes on from epoch to epoch.
-FIT_EPOCHS, FIT_STEP_SIZE = 5, 2.0
-FIT_SQL = f"""WITH RECURSIVE {VECTORS_SQL}, sizes AS (
-  SELECT CAST(ceil(count(*) / {BATCH_SIZE}.0) AS BIGINT) AS per_epoch FROM vectors
+# The same network trained for some epochs in parallel buckets, on four fifths of the rows; the others check it. The step
+# is so large that the losses go up and down and an epoch in the middle is the best one. The walk has one line per
+# step, with a list of the buckets' weights; the first step of an epoch starts from their average by rows.
+FIT_EPOCHS, FIT_STEP_SIZE, HELD_OUT = 5, 6.0, 5
+
+
+def _mean_of_buckets(name: str, width: int) -> str:
+    share = f"list_sum(list_transform(range(1, {BUCKETS + 1}), lambda j: {name}[j][k + 1] * rows[j]))"
+    return f"list_transform(range(0, {width}), lambda k: {share} / list_sum(rows))"
+
+
+FIT_SQL = f"""WITH RECURSIVE {VECTORS_SQL}, dealt AS (
+  SELECT *, CAST('0x' || substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 15) AS BIGINT) % {BUCKETS} AS bucket
+  FROM vectors WHERE vec_id % {HELD_OUT} <> 0
+), counted AS (
+  SELECT bucket, count(*) AS n FROM dealt GROUP BY bucket
+), sizes AS (
+  SELECT list(n ORDER BY bucket) AS rows, CAST(ceil(max(n) / {BATCH_SIZE}.0) AS BIGINT) AS per_epoch FROM counted
 ), turns AS (
-  SELECT vectors.*, e, row_number() OVER (PARTITION BY e ORDER BY md5('42:' || e || ':' || CAST(vec_id AS VARCHAR))) - 1 AS place
-  FROM vectors, range(1, {FIT_EPOCHS + 1}) AS s(e)
+  SELECT dealt.*, e, row_number() OVER (PARTITION BY e, bucket ORDER BY md5('42:' || e || ':' || CAST(vec_id AS VARCHAR))) - 1 AS place
+  FROM dealt, range(1, {FIT_EPOCHS + 1}) AS s(e)
 ), batches AS (
-  SELECT (e - 1) * per_epoch + place // {BATCH_SIZE} AS step, list(features ORDER BY place) AS xs, list(label ORDER BY place) AS ys,
+  SELECT (e - 1) * per_epoch + place // {BATCH_SIZE} AS step, bucket, list(features ORDER BY place) AS xs, list(label ORDER BY place) AS ys,
          list(CASE WHEN label = 1 THEN {WEIGHTS[1]}::DOUBLE ELSE {WEIGHTS[0]}::DOUBLE END ORDER BY place) AS ws, count(*) AS n
-  FROM turns, sizes GROUP BY 1
+  FROM turns, sizes GROUP BY 1, 2
+), slots AS (
+  SELECT step, bucket, rows, step % per_epoch = 0 AS opens, coalesce(n, 0) AS n, coalesce(xs, []) AS xs, coalesce(ys, []) AS ys, coalesce(ws, []) AS ws
+  FROM (SELECT step, bucket, rows, per_epoch FROM sizes, counted, (SELECT unnest(range(0, {FIT_EPOCHS} * per_epoch)) AS step FROM sizes))
+  LEFT JOIN batches USING (step, bucket)
 ), start AS (
   SELECT list_transform(range(0, {2 * WIDTH}), lambda k: CAST((((k // {WIDTH}) * 31 + (k % {WIDTH}) * 17) % 11 - 5) / 10 AS DOUBLE)) AS w,
          list_transform(range(0, 2), lambda i: CAST((i % 3 - 1) / 10 AS DOUBLE)) AS b
 ), walk AS (
-  SELECT CAST(-1 AS BIGINT) AS step, w, b, CAST(0 AS DOUBLE) AS loss FROM start
+  SELECT CAST(-1 AS BIGINT) AS step, list_transform(range(0, {BUCKETS}), lambda j: w) AS all_w, list_transform(range(0, {BUCKETS}), lambda j: b) AS all_b,
+         [CAST(NULL AS DOUBLE)] AS losses
+  FROM start
   UNION ALL
-  SELECT step,
-         list_transform(range(0, {2 * WIDTH}), lambda k: w[k + 1] - {FIT_STEP_SIZE} * (2 * (k // {WIDTH}) - 1) * gw[k % {WIDTH} + 1]) AS w,
-         list_transform(range(0, 2), lambda i: b[i + 1] - {FIT_STEP_SIZE} * (2 * i - 1) * gb) AS b, loss
+  SELECT step, list(w ORDER BY bucket) AS all_w, list(b ORDER BY bucket) AS all_b, list(loss ORDER BY bucket) FILTER (WHERE n > 0) AS losses
   FROM (
-    SELECT step, w, b, list_sum(ds) AS gb,
-           list_transform(range(1, {WIDTH + 1}), lambda m: list_sum(list_transform(range(1, n + 1), lambda r: ds[r] * xs[r][m]))) AS gw,
-           list_sum(list_transform(range(1, n + 1), lambda r: ws[r] * -ln(CASE WHEN ys[r] = 1 THEN ps[r] ELSE 1 - ps[r] END))) / list_sum(ws) AS loss
+    SELECT step, bucket, n,
+           list_transform(range(0, {2 * WIDTH}), lambda k: w[k + 1] - {FIT_STEP_SIZE} * (2 * (k // {WIDTH}) - 1) * coalesce(gw[k % {WIDTH} + 1], 0)) AS w,
+           list_transform(range(0, 2), lambda i: b[i + 1] - {FIT_STEP_SIZE} * (2 * i - 1) * coalesce(gb, 0)) AS b, loss
     FROM (
-      SELECT *, list_transform(range(1, n + 1), lambda r: ws[r] * (ps[r] - ys[r]) / list_sum(ws)) AS ds
+      SELECT step, bucket, n, w, b, list_sum(ds) AS gb,
+             list_transform(range(1, {WIDTH + 1}), lambda m: list_sum(list_transform(range(1, n + 1), lambda r: ds[r] * xs[r][m]))) AS gw,
+             list_sum(list_transform(range(1, n + 1), lambda r: ws[r] * -ln(CASE WHEN ys[r] = 1 THEN ps[r] ELSE 1 - ps[r] END))) / list_sum(ws) AS loss
       FROM (
-        SELECT batches.*, walk.w, walk.b, list_transform(xs, lambda x: 1 / (1 + exp(
-                 walk.b[1] - walk.b[2] + list_sum(list_transform(range(1, {WIDTH + 1}), lambda m: (walk.w[m] - walk.w[m + {WIDTH}]) * x[m])))) ) AS ps
-        FROM walk JOIN batches ON batches.step = walk.step + 1
+        SELECT *, list_transform(range(1, n + 1), lambda r: ws[r] * (ps[r] - ys[r]) / list_sum(ws)) AS ds
+        FROM (
+          SELECT *, list_transform(xs, lambda x: 1 / (1 + exp(
+                   b[1] - b[2] + list_sum(list_transform(range(1, {WIDTH + 1}), lambda m: (w[m] - w[m + {WIDTH}]) * x[m])))) ) AS ps
+          FROM (
+            SELECT slots.*, CASE WHEN opens THEN {_mean_of_buckets("all_w", 2 * WIDTH)} ELSE all_w[bucket + 1] END AS w,
+                   CASE WHEN opens THEN {_mean_of_buckets("all_b", 2)} ELSE all_b[bucket + 1] END AS b
+            FROM walk JOIN slots ON slots.step = walk.step + 1
+          )
+        )
       )
     )
   )
+  GROUP BY step
 ), ended AS (
-  SELECT CAST((step + 1) // per_epoch AS INT) AS epoch, w, b FROM walk, sizes WHERE step >= 0 AND (step + 1) % per_epoch = 0
+  SELECT CAST((step + 1) // per_epoch AS INT) AS epoch, {_mean_of_buckets("all_w", 2 * WIDTH)} AS w, {_mean_of_buckets("all_b", 2)} AS b
+  FROM walk, sizes WHERE step >= 0 AND (step + 1) % per_epoch = 0
 ), trained AS (
-  SELECT CAST(step // per_epoch + 1 AS INT) AS epoch, avg(loss) AS train_loss FROM walk, sizes WHERE step >= 0 GROUP BY 1
+  SELECT epoch, avg(loss) AS train_loss
+  FROM (SELECT CAST(step // per_epoch + 1 AS INT) AS epoch, unnest(losses) AS loss FROM walk, sizes WHERE step >= 0) GROUP BY epoch
 ), pair AS (
   SELECT epoch, batch, label, b[1] + list_sum(list_transform(range(1, {WIDTH + 1}), lambda m: w[m] * features[m])) AS l0,
          b[2] + list_sum(list_transform(range(1, {WIDTH + 1}), lambda m: w[m + {WIDTH}] * features[m])) AS l1
-  FROM ended, vectors
+  FROM ended, vectors WHERE vec_id % {HELD_OUT} = 0
 ), checked AS (
   SELECT epoch, avg(loss) AS val_loss
   FROM (SELECT epoch, batch, sum({WEIGHT_SQL} * ({NLL})) / sum({WEIGHT_SQL}) AS loss FROM pair GROUP BY epoch, batch)
   GROUP BY epoch
 ), best AS (SELECT epoch FROM checked ORDER BY val_loss, epoch DESC LIMIT 1)"""
+BEST_SQL = f"""{FIT_SQL}
+SELECT 'weight' AS kind, CAST(k AS INT) AS position, round(w[k + 1], 4) + 0.0 AS value FROM ended JOIN best USING (epoch), range(0, {2 * WIDTH}) AS s(k)
+UNION ALL
+SELECT 'bias', CAST(k AS INT), round(b[k + 1], 4) + 0.0 FROM ended JOIN best USING (epoch), range(0, 2) AS s(k)
+UNION ALL
+SELECT 'best_epoch', 0, CAST(epoch AS DOUBLE) FROM best"""
 
 
-def fitted_logistic(spark: SparkSession, sf_dir: str, path: str | None = None):
-    data = vectors(spark, sf_dir)
+def fitted_logistic(spark: SparkSession, sf_dir: str, **options):
+    """A whole fit in parallel buckets; its validation rows play no part in training."""
+    rows = vectors(spark, sf_dir)
+    held_out = F.col("vec_id") % HELD_OUT == 0
     return fit(
-        place_rows(data, 1, key="vec_id"), data, formula_params(LOGISTIC), LOGISTIC, epochs=FIT_EPOCHS, lr=FIT_STEP_SIZE,
-        batch_size=BATCH_SIZE, weights=WEIGHTS, patience=FIT_EPOCHS, best_path=path,
+        place_rows(rows.where(~held_out), BUCKETS, key="vec_id"), rows.where(held_out), formula_params(LOGISTIC), LOGISTIC,
+        **({"epochs": FIT_EPOCHS} | options), lr=FIT_STEP_SIZE, batch_size=BATCH_SIZE, weights=WEIGHTS, patience=FIT_EPOCHS,
     )
 
 
@@ -476,23 +513,27 @@ def m9_fit_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return losses.select("run_id", "epoch", *[F.round(c, 5).alias(c) for c in ("train_loss", "val_loss")])
 
 
-@query(
-    "m13_best_weights",
-    f"""{FIT_SQL}
-SELECT 'weight' AS kind, CAST(k AS INT) AS position, round(w[k + 1], 4) + 0.0 AS value FROM ended JOIN best USING (epoch), range(0, {2 * WIDTH}) AS s(k)
-UNION ALL
-SELECT 'bias', CAST(k AS INT), round(b[k + 1], 4) + 0.0 FROM ended JOIN best USING (epoch), range(0, 2) AS s(k)
-UNION ALL
-SELECT 'best_epoch', 0, CAST(epoch AS DOUBLE) FROM best""",
-)
+def best_rows(spark: SparkSession, params, epoch: int) -> DataFrame:
+    values = parameter_table(spark, params, LOGISTIC).select("kind", F.posexplode("values").alias("position", "value"))
+    last = spark.createDataFrame([("best_epoch", 0, float(epoch))], "kind string, position int, value double")
+    return values.withColumn("value", F.round("value", 4) + 0.0).unionByName(last)
+
+
+@query("m13_best_weights", BEST_SQL)
 def m13_best_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train with validation, keep the best epoch's parameters, read them back."""
     path = scratch_path(spark, "best-weights")
-    result = fitted_logistic(spark, sf_dir, path)
-    kept = parameter_table(spark, load_best(spark, path, result.best_epoch), LOGISTIC)
-    values = kept.select("kind", F.posexplode("values").alias("position", "value"))
-    epoch = spark.createDataFrame([("best_epoch", 0, float(result.best_epoch))], "kind string, position int, value double")
-    return values.withColumn("value", F.round("value", 4) + 0.0).unionByName(epoch)
+    result = fitted_logistic(spark, sf_dir, best_path=path)
+    return best_rows(spark, load_best(spark, path, result.best_epoch), result.best_epoch)
+
+
+@query("m13_resumed_fit", BEST_SQL)
+def m13_resumed_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fit in two calls: the second one goes on behind the epochs that the first one committed."""
+    path = scratch_path(spark, "resumed-fit")
+    fitted_logistic(spark, sf_dir, resume_path=path, epochs=2)
+    result = fitted_logistic(spark, sf_dir, resume_path=path)
+    return best_rows(spark, result.params, result.best_epoch)
 
 
 JUDGED_SQL = f"""{mlp_sql(PLAIN)}, scores AS (
