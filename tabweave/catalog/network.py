@@ -411,7 +411,7 @@ def m12_early_stop_margin_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same network trained for some epochs in parallel buckets, on four fifths of the rows; the others check it. The step
 # is so large that the losses go up and down and an epoch in the middle is the best one. The walk has one line per
 # step, with a list of the buckets' weights; the first step of an epoch starts from their average by rows.
-FIT_EPOCHS, FIT_STEP_SIZE, HELD_OUT = 5, 6.0, 5
+FIT_EPOCHS, FIT_STEP_SIZE, HELD_OUT = 5, 2.0, 5
 
 
 def _mean_of_buckets(name: str, width: int) -> str:
