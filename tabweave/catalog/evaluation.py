@@ -18,7 +18,7 @@ from tabweave.catalog.views import (
     toxic_scores,
 )
 from tabweave.functions.scores import decide
-from tabweave.operators.curve import best_threshold, precision_recall_curve
+from tabweave.operators.curve import precision_recall_curve
 from tabweave.operators.losses import batch_squared_error, epoch_loss
 from tabweave.operators.metrics import (
     binary_metrics,
@@ -27,6 +27,7 @@ from tabweave.operators.metrics import (
     confusion_array,
     regression_metrics,
 )
+from tabweave.operators.threshold import best_threshold
 from tabweave.plans.evaluate import evaluate
 
 CUTOFF = 0.45

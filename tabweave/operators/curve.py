@@ -44,22 +44,6 @@ def precision_recall_curve(
     )
 
 
-def best_threshold(
-    df: DataFrame,
-    actual: str,
-    score: str,
-    strategy: str = "f1",
-    min_recall: float = DEFAULT_MIN_RECALL,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """One row ``threshold, precision, recall``. Use validation rows, never test rows.
-
-    "f1" takes the highest F1; "min_recall" the highest precision among points that reach the
-    minimum recall, or the highest recall if none does. The lowest threshold wins ties.
-    """
-    return pick_threshold(precision_recall_curve(df, actual, score, rows_per_slice), strategy, min_recall)
-
-
 def pick_threshold(curve: DataFrame, strategy: str = "f1", min_recall: float = DEFAULT_MIN_RECALL) -> DataFrame:
     """The best point of a curve: one aggregate, so the curve is neither sorted nor collected."""
     precision, recall = F.col("precision"), F.col("recall")

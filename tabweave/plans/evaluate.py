@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.functions.scores import decide
-from tabweave.operators.curve import DEFAULT_MIN_RECALL, best_threshold
+from tabweave.operators.curve import DEFAULT_MIN_RECALL
 from tabweave.operators.metrics import DEFAULT_CUTOFF, rates_of_counts, regression_metrics
 from tabweave.operators.network import MLPSpec, Parameters
 from tabweave.operators.scoring import score_mlp, with_predictions
 from tabweave.operators.sparse_rows import Features
+from tabweave.operators.threshold import best_threshold
 from tabweave.storage import stage
 
 
@@ -84,7 +85,7 @@ def network_threshold(
 ) -> DataFrame:
     """The best decision threshold of a network on validation rows.
 
-    The search reads the scores more than once, so labels and probabilities are stored first.
+    The search reads the scores several times, so labels and probabilities are stored first.
     """
     scores = stage(_predicted(df, params, spec, "classification", label, features).select(label, "p1"), "scores")
     return best_threshold(scores, label, "p1", strategy, min_recall)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabweave.functions.scores import argmax_class, decide, negative_log_likelihood, positive_probability
-from tabweave.operators.curve import best_threshold, precision_recall_curve
+from tabweave.operators.curve import pick_threshold, precision_recall_curve
 from tabweave.operators.losses import batch_cross_entropy, batch_squared_error, epoch_loss
 from tabweave.operators.metrics import (
     binary_metrics,
@@ -15,6 +15,7 @@ from tabweave.operators.metrics import (
     confusion_array,
     regression_metrics,
 )
+from tabweave.operators.threshold import best_threshold
 from tabweave.plans.evaluate import evaluate, metrics_record
 
 
@@ -90,8 +91,57 @@ def test_curve_and_thresholds_against_brute_force(spark, seed, rows_per_slice):
     got = sorted((r["threshold"], r["precision"], r["recall"]) for r in precision_recall_curve(df, "y", "p", rows_per_slice).collect())
     assert got == expected
     for strategy, least in (("f1", 0), ("min_recall", 0.5), ("min_recall", 0.95), ("min_recall", 2.0)):
-        best = best_threshold(df, "y", "p", strategy, least, rows_per_slice).first()
-        assert tuple(best) == brute_best(expected, strategy, least)
+        chosen = brute_best(expected, strategy, least)
+        assert tuple(best_threshold(df, "y", "p", strategy, least, intervals=rows_per_slice).first()) == chosen
+        assert tuple(pick_threshold(precision_recall_curve(df, "y", "p", rows_per_slice), strategy, least).first()) == chosen
+
+
+STRANGE = [0.0, -0.0, float("nan"), float("inf"), float("-inf"), -1e-300, 5e-324, 0.5, 0.25, -3.0, 1e300]
+
+
+@pytest.mark.parametrize("made", ["any number", "all positive", "no positive", "flat", "perfect", "few values", "close together"])
+def test_thresholds_by_branch_and_bound(spark, made):
+    """Against every threshold, with few intervals so that there are many passes."""
+    rng = random.Random(made)
+    label = {"all positive": lambda i: 1, "no positive": lambda i: 0}.get(made, lambda i: int(rng.random() < 0.4))
+    score = {
+        "any number": lambda i, y: rng.choice(STRANGE) if rng.random() < 0.4 else rng.gauss(0, 10.0 ** rng.randrange(-9, 9)),
+        "perfect": lambda i, y: y + rng.random() / 2,
+        "few values": lambda i, y: rng.randrange(3) / 7,
+        "close together": lambda i, y: 1 + rng.randrange(40) * 2.0**-52,
+    }.get(made, lambda i, y: rng.random())
+    rows = [(y, score(i, y)) for i in range(250) for y in [label(i)]] + [(None, 0.3), (1, None)]
+    known = [(y or 0, p + 0.0) for y, p in rows if p is not None]
+    def above(a, t):
+        return a != a or (t == t and a >= t)
+    points = []
+    for t in sorted({repr(p): p for _, p in known}.values(), key=lambda p: (p != p, p)):
+        hit = [y for y, p in known if above(p, t)]
+        positives = sum(y for y, _ in known)
+        points.append((t, sum(hit) / len(hit), sum(hit) / positives if positives else 1.0))
+    df = spark.createDataFrame(rows, "y int, p double").repartition(3)
+    for strategy, least in (("f1", 0), ("min_recall", 0.6), ("min_recall", 2.0)):
+        for intervals in (2, 7, 4_096):
+            found = tuple(best_threshold(df, "y", "p", strategy, least, intervals=intervals).first())
+            assert repr(found) == repr(brute_best(points, strategy, least)), (strategy, intervals)
+
+
+def test_a_pass_returns_bounded_rows_and_moves_no_scores(spark, monkeypatch):
+    from tabweave.operators import threshold
+
+    df = spark.range(20_000).select((F.hash("id") % 5 == 0).cast("int").alias("y"), F.rand(1).alias("p"))
+    passes, plain = [], threshold._count
+
+    def counted(scored, starts, ends):
+        found = plain(scored, starts, ends)
+        passes.append((len(starts), len(found)))
+        return found
+
+    monkeypatch.setattr(threshold, "_count", counted)
+    best = best_threshold(df, "y", "p", intervals=64).first()
+    expected = pick_threshold(precision_recall_curve(df, "y", "p")).first()
+    assert tuple(best) == tuple(expected)
+    assert max(n for n, _ in passes) <= 64 and len(passes) < 40
 
 
 def test_threshold_corner_cases(spark):
