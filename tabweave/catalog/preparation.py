@@ -19,7 +19,7 @@ from tabweave.operators.encode import (
     project,
     vocabulary_table,
 )
-from tabweave.operators.order_statistics import exact_medians
+from tabweave.operators.group_statistics import group_medians
 from tabweave.operators.ordered import Running, assign_slices, plan_slices, running
 from tabweave.operators.scaling import fit_scaling, impute, scaling_table, standardize
 from tabweave.operators.shuffle_split import seeded_shuffle, three_way_split
@@ -260,22 +260,33 @@ def a1_fit_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM lineitem GROUP BY l_returnflag""",
 )
 def a1_exact_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact medians over the line items by narrowing brackets, one set per return flag."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_returnflag", "l_extendedprice", "l_quantity", "l_discount"
+    """Exact medians over the line items by narrowing ranges, one set per return flag."""
+    items = table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "flag")
+    medians = group_medians(items, ["flag"], ["l_extendedprice", "l_quantity", "l_discount"])
+    return medians.toDF("flag", "price_median", "quantity_median", "discount_median")
+
+
+@query(
+    "a1_group_medians",
+    """WITH items AS (
+  SELECT CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_orderkey END AS order_id, l_extendedprice, l_quantity,
+         nullif(l_discount, 0.05) AS l_discount
+  FROM lineitem
+)
+SELECT order_id, median(l_extendedprice) AS price_median, median(l_quantity) AS quantity_median,
+       round(median(l_discount), 6) AS discount_median
+FROM items GROUP BY order_id""",
+)
+def a1_group_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians per order with a returned or accepted line; all other lines are one group without an order."""
+    order = F.when(F.col("l_returnflag") != "N", F.col("l_orderkey")).alias("order_id")
+    items = table(spark, sf_dir, "lineitem").select(
+        order, "l_extendedprice", "l_quantity", F.nullif("l_discount", F.lit(0.05)).alias("l_discount")
     )
-    measures = {"price_median": "l_extendedprice", "quantity_median": "l_quantity", "discount_median": "l_discount"}
-    flags = [r[0] for r in items.select("l_returnflag").distinct().collect()]
-    wide = items.select(
-        *[
-            F.when(F.col("l_returnflag") == flag, F.col(c)).alias(f"{flag}_{name}")
-            for flag in flags
-            for name, c in measures.items()
-        ]
+    medians = group_medians(items, ["order_id"], ["l_extendedprice", "l_quantity", "l_discount"], in_memory_rows=1_000)
+    return medians.toDF("order_id", "price_median", "quantity_median", "discount_median").withColumn(
+        "discount_median", F.round("discount_median", 6)
     )
-    medians, _ = exact_medians(wide, wide.columns, in_memory_rows=1_000)
-    rows = [(flag, *[medians[f"{flag}_{name}"] for name in measures]) for flag in flags]
-    return spark.createDataFrame(rows, "flag string, " + ", ".join(f"{name} double" for name in measures))
 
 
 @query(
