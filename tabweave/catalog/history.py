@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,17 +94,23 @@ def s5_epoch_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_epochs(spark, path).drop("metrics").withColumn("train_loss", F.round("train_loss", 6))
 
 
-def written_array(records: DataFrame, order: str, path: str) -> None:
-    """One file that holds all rows as a JSON array in order, the form of histories kept elsewhere.
+def written_arrays(records: DataFrame, order: str, path: str) -> None:
+    """Rows as JSON arrays in order, one per range of them, in files whose names have the order of the ranges.
 
-    One task writes it, as it is one file; its rows pass through sorted and are never held together.
+    This is the form of histories kept elsewhere, in parts.
     """
-    ends = records.agg(F.min(order).alias("first"), F.max(order).alias("last")).first()
-    text = F.to_json(F.struct(*[F.col(c) for c in records.columns if c != order]))
-    line = F.concat(
-        F.when(F.col(order) == ends["first"], "[").otherwise(","), text, F.when(F.col(order) == ends["last"], "]").otherwise("")
-    )
-    records.repartition(1).sortWithinPartitions(order).select(line.alias("value")).write.text(path)
+    text = F.to_json(F.struct(*[F.col(c) for c in records.columns if c != order])).alias("value")
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            lines = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([(before if i == 0 else ",") + t for i, t in enumerate(lines)])], ["value"])
+            before = "," if lines else before
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"])], ["value"])
+
+    ranged = records.repartitionByRange(order).sortWithinPartitions(order)
+    ranged.select(text).mapInArrow(bracketed, "value string").write.text(path)
 
 
 @query(
@@ -111,11 +120,11 @@ SELECT timestamp, task, model_name, notes, {METRIC_LIST}, row_number() OVER (ORD
        CASE WHEN seq % 3 = 0 THEN seq / 4 END AS latency FROM runs""",
 )
 def s3_array_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A history kept as one array, with a metric that records do not know, through import and append."""
+    """A history kept as arrays, with a metric that records do not know, through import and append."""
     source, path = scratch_path(spark, "array-history"), scratch_path(spark, "history")
     latency = F.when(F.col("seq") % 3 == 0, F.col("seq") / 4)
     metrics = F.struct("metrics.*", latency.alias("latency"), F.lit("fast").alias("remark"))
-    written_array(
+    written_arrays(
         runs(spark, sf_dir).select("timestamp", "task", "model_name", metrics.alias("metrics"), "notes", "seq"), "seq", source
     )
     append_runs(import_history(spark, source), path)

@@ -77,6 +77,21 @@ def s1_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, path, types).select("loan_id", "loan_amnt", "annual_inc", "purpose", "int_rate")
 
 
+@query(
+    "s1_quoted_breaks",
+    f"""WITH {LOANS_SQL}
+SELECT loan_id, loan_amnt, grade || ', "' || coalesce(purpose, '') || '"' || chr(10) || CAST(int_rate AS VARCHAR) AS note FROM loans""",
+)
+def s1_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with quotes, commas and line breaks; the files are split all the same."""
+    path = scratch_path(spark, "notes-csv")
+    quote = F.lit('"')
+    note = F.concat(F.col("grade"), F.lit(", "), quote, F.coalesce("purpose", F.lit("")), quote, F.lit("\n"), F.col("int_rate"))
+    loans(spark, sf_dir).select("loan_id", note.alias("note"), "loan_amnt").write.csv(path, header=True, escape='"')
+    found = scan_csv(spark, path, {"loan_id": "bigint", "loan_amnt": "double"}, multi_line=True)
+    return found.select("loan_id", "loan_amnt", "note")
+
+
 @query("p1_projection", f"WITH {LOANS_SQL} SELECT loan_id, loan_amnt, grade, int_rate FROM loans")
 def p1_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(loans(spark, sf_dir), ["loan_id", "loan_amnt", "grade", "int_rate"])

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabweave.sources.records import JSON_ARRAY, read_records
 from tabweave.sources.schemas import EPOCH_SCHEMA, STORED_RUN_SCHEMA
 
 TASKS = ("classification", "regression")
@@ -86,19 +87,28 @@ def load_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _array_file(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Elements of a file that is one JSON array, with their position; the file is read as a stream by one task."""
-    elements = spark.read.schema(schema).option("multiLine", True).json(path)
-    return elements.withColumn("position", F.monotonically_increasing_id())
+    """Objects of a file that is one JSON array, with their place in it; several files go on from one another.
+
+    The file is read by as many tasks as Spark splits it into. Objects that do not parse are left out.
+    """
+    elements = read_records(spark, path, JSON_ARRAY).withColumn("text", F.regexp_extract("text", r"(?s)\{.*", 0))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    record = F.from_json("text", f"{schema}, {_BROKEN} string", options).alias("record")
+    parsed = elements.where("text != ''").select(record, "position").where(f"record.{_BROKEN} IS NULL")
+    return parsed.select(*[f"record.{n}" for n in T._parse_datatype_string(schema).fieldNames()], "position")
 
 
-def import_history(spark: SparkSession, path: str) -> DataFrame:
+def import_history(spark: SparkSession, path: str, after: DataFrame | None = None) -> DataFrame:
     """Run records from a file that holds them as one JSON array, oldest first.
 
-    Their place in the array becomes ``seq``. Metrics under unknown names go to ``extra`` as far as they are
+    Their place in the array becomes ``seq``, counted on from the highest one in the history ``after`` if it is given, so
+    that what is imported later comes later. Metrics under unknown names go to ``extra`` as far as they are
     numbers. The result has the columns of :func:`load_history` and can be appended to a history.
     """
     record = T._parse_datatype_string(STORED_RUN_SCHEMA)
     known = record["metrics"].dataType.fieldNames()
+    highest = after.agg(F.max("seq")).first()[0] if after is not None else None
+    first = 0 if highest is None else highest + 1
     given = _array_file(spark, path, "timestamp string, task string, model_name string, notes string, metrics string")
     numbers = F.transform_values(F.from_json("metrics", "map<string,string>"), lambda _, v: v.try_cast("double"))
     extra = F.map_filter(numbers, lambda k, v: ~k.isin(known) & v.isNotNull())
@@ -108,7 +118,7 @@ def import_history(spark: SparkSession, path: str) -> DataFrame:
         "model_name",
         "notes",
         F.from_json("metrics", record["metrics"].dataType).alias("metrics"),
-        F.col("position").alias("seq"),
+        (F.col("position") + first).alias("seq"),
         F.lit("").alias("writer"),
         F.when(F.size(extra) > 0, extra).alias("extra"),
     )
