@@ -26,6 +26,7 @@ from tabweave.plans.report import comparison_text, evolution_text, report
 from tabweave.sources.history import (
     append_epochs,
     append_runs,
+    fold_history,
     import_history,
     load_epochs,
     load_history,
@@ -57,6 +58,18 @@ def s2_s3_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(stored(spark, sf_dir))
 
 
+@query("s3_folded_history", f"WITH {RUNS_SQL} SELECT timestamp, task, model_name, notes, {METRIC_LIST}, seq FROM runs")
+def s3_folded_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history folded twice into sorted tables, with appends before, between and after."""
+    path = scratch_path(spark, "history")
+    records = runs(spark, sf_dir)
+    for part in range(3):
+        append_runs(records.filter(F.col("seq") % 3 == part), path)
+        if part < 2:
+            fold_history(spark, path)
+    return flat(load_history(spark, path))
+
+
 @query(
     "s3_broken_records",
     f"WITH {RUNS_SQL} SELECT timestamp, task, model_name, notes, {METRIC_LIST}, seq FROM runs WHERE model_name IS DISTINCT FROM 'm4'",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabweave.sources.compaction import appended_files, fold, read_manifest, table_paths
 from tabweave.sources.records import JSON_ARRAY, read_records
 from tabweave.sources.schemas import EPOCH_SCHEMA, STORED_RUN_SCHEMA
 
@@ -55,7 +56,7 @@ def log_run(
         "writer": uuid.uuid4().hex,
         "extra": extra or None,
     }
-    append_runs(spark.createDataFrame([entry], schema), path)
+    append_runs(spark.createDataFrame([entry], schema).coalesce(1), path)
     return {**entry, "metrics": metrics}
 
 
@@ -63,7 +64,7 @@ def _number(value: Any) -> Any:
     return float(value) if isinstance(value, int) and not isinstance(value, bool) else value
 
 
-def _load(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _load(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Records of a JSON folder; a missing folder is empty and broken records are left out.
 
     Lines are parsed after reading, so that a record is judged as a whole even where a query needs
@@ -83,7 +84,28 @@ def _load(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def load_history(spark: SparkSession, path: str) -> DataFrame:
-    return _load(spark, path, STORED_RUN_SCHEMA)
+    """All records of a history: those in sorted tables, if it was folded, and those appended since."""
+    path = path.rstrip("/")
+    manifest = read_manifest(spark, path)
+    if not manifest.number:
+        return _load(spark, path, STORED_RUN_SCHEMA)
+    files = [f"{path}/{n}" for n in appended_files(spark, path, manifest)]
+    return _records(spark, files, table_paths(path, manifest))
+
+
+def _records(spark: SparkSession, files: list[str], tables: list[str]) -> DataFrame:
+    appended = _load(spark, files, STORED_RUN_SCHEMA) if files else spark.createDataFrame([], STORED_RUN_SCHEMA)
+    if not tables:
+        return appended
+    return spark.read.schema(STORED_RUN_SCHEMA).parquet(*tables).unionByName(appended)
+
+
+def fold_history(spark: SparkSession, path: str) -> bool:
+    """Fold the files appended so far into a table sorted by ``seq``; false if there was nothing to do or another call did it.
+
+    Appending and loading go on meanwhile. Broken records are left out for good.
+    """
+    return fold(spark, path.rstrip("/"), lambda files, tables: _records(spark, files, tables), ["seq", "writer"])
 
 
 def _array_file(spark: SparkSession, path: str, schema: str) -> DataFrame:
