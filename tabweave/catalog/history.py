@@ -32,6 +32,7 @@ from tabweave.sources.history import (
     load_history,
     write_json,
 )
+from tabweave.sources.latest import maintained_latest
 from tabweave.storage import scratch_path
 
 METRICS = ("accuracy", "precision", "recall", "f1", "mae", "mse", "rmse", "r2")
@@ -197,6 +198,22 @@ def h1_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(latest_run_per_model(runs(spark, sf_dir), "classification"))
 
 
+@query(
+    "h1_maintained_latest",
+    f"""WITH {LATEST_SQL} SELECT timestamp, task, model_name, notes, {METRIC_LIST}, seq FROM latest""",
+)
+def h1_maintained_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest runs brought up to date after every append, with the history folded in between."""
+    path = scratch_path(spark, "history")
+    records = runs(spark, sf_dir)
+    for part in range(3):
+        append_runs(records.filter(F.col("seq") % 3 == part), path)
+        latest = maintained_latest(spark, path)
+        if part == 1:
+            fold_history(spark, path)
+    return flat(latest)
+
+
 @query(
     "h2_runs_of_model",
     f"""WITH {RUNS_SQL} SELECT timestamp, task, model_name, notes, {METRIC_LIST}, seq FROM runs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,14 +83,19 @@ def report_tables(
     return tables
 
 
-def report(history: DataFrame, epochs: Mapping[str, DataFrame], out_dir: str) -> list[str]:
+def report(
+    history: DataFrame, epochs: Mapping[str, DataFrame], out_dir: str, latest: DataFrame | None = None
+) -> list[str]:
     """Write every table under ``out_dir`` and return the names written.
 
     The history is read once, as JSON; the tables work on a columnar copy, and comparisons and verdicts on one
-    table of latest runs. Both copies are deleted at the end.
+    table of latest runs, which is made here unless ``latest`` is that of
+    :func:`tabweave.sources.latest.maintained_latest`. Copies are deleted at the end.
     """
-    with staged(history, "history") as records, staged(latest_runs(records), "latest-runs") as latest:
-        tables = report_tables(records, epochs, latest)
+    with staged(history, "history") as records, (
+        nullcontext(latest) if latest is not None else staged(latest_runs(records), "latest-runs")
+    ) as newest:
+        tables = report_tables(records, epochs, newest)
         for name, table in tables.items():
             table.write.mode("overwrite").json(f"{out_dir}/{name}")
     return list(tables)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabweave.sources.compaction import appended_files, fold, read_manifest, table_paths
+from tabweave.sources.compaction import Manifest, appended_files, fold, read_manifest, table_paths
 from tabweave.sources.records import JSON_ARRAY, read_records
 from tabweave.sources.schemas import EPOCH_SCHEMA, STORED_RUN_SCHEMA
 
@@ -93,6 +93,11 @@ def load_history(spark: SparkSession, path: str) -> DataFrame:
     return _records(spark, files, table_paths(path, manifest))
 
 
+def load_records(spark: SparkSession, path: str, files: list[str], tables: list[str]) -> DataFrame:
+    """The records of some appended files and sorted tables of a history, by their names."""
+    return _records(spark, [f"{path}/{n}" for n in files], table_paths(path, Manifest(tables=tables)))
+
+
 def _records(spark: SparkSession, files: list[str], tables: list[str]) -> DataFrame:
     appended = _load(spark, files, STORED_RUN_SCHEMA) if files else spark.createDataFrame([], STORED_RUN_SCHEMA)
     if not tables:
