@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # White space as every contract here means it.
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
+_ENTRY = 150  # bytes of a remembered word besides its letters and ids
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,25 +39,54 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-class Recent:
-    """A bounded memory of two generations: entries used lately, and those used before them."""
-
-    def __init__(self, limit: int):
-        self.limit = limit
-        self.new: dict = {}
-        self.old: dict = {}
-
-    def find(self, key):
-        """The value, moved to the new entries, or null."""
-        value = self.new.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self.new) >= self.limit:
-            self.new, self.old = {}, self.new
-        self.new[key] = value
+class Slots:
+    """Ids of words, one behind the other in one array, and the slot (start, length) of each word."""
+
+    def __init__(self):
+        self.slot: dict[bytes, int] = {}
+        self.used = self.held = self.bytes = 0
+        self.start, self.length = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
+        self.ids = np.zeros(1 << 14, dtype="<u4")
+
+    def add(self, words: list[bytes], ids: list[np.ndarray]) -> None:
+        """Have ``ids`` under ``words``, none of which is known yet."""
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        total, first = int(lengths.sum()), self.used
+        self.start = room(self.start, self.used + len(ids))
+        self.length = room(self.length, self.used + len(ids))
+        self.ids = room(self.ids, self.held + total)
+        self.start[first : first + len(ids)] = self.held + np.cumsum(lengths) - lengths
+        self.length[first : first + len(ids)] = lengths
+        if total:
+            self.ids[self.held : self.held + total] = np.concatenate(ids)
+        self.slot.update(zip(words, range(first, first + len(ids)), strict=True))
+        self.used, self.held = first + len(ids), self.held + total
+        self.bytes += sum(map(len, words)) + _ENTRY * len(words) + 4 * total
+
+    def ids_of(self, word: bytes) -> np.ndarray:
+        at = self.slot[word]
+        return self.ids[self.start[at] : self.start[at] + self.length[at]]
+
+
+def room(values: np.ndarray, n: int) -> np.ndarray:
+    """The array, or a copy of twice the size and more where ``n`` elements do not fit."""
+    if n <= len(values):
+        return values
+    out = np.zeros(max(n, 2 * len(values)), dtype=values.dtype)
+    out[: len(values)] = values
+    return out
+
+
+def gathered(ids: np.ndarray, start: np.ndarray, length: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a row of words, and how many belong to each text; ``counts`` says how many words a text has."""
+    at = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length - start, length)
+    ends = np.concatenate([[0], np.cumsum(length)])[np.cumsum(counts)]
+    return ids[at], np.diff(np.concatenate([[0], ends]))
+
+
+def give_back() -> None:
+    """Return the memory that Arrow holds for later use; workers live on between tasks, next to those of other stages."""
+    pa.default_memory_pool().release_unused()
 
 
 def small_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:

@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import byte_texts, small_slices
+from tabweave.llm.common import byte_texts, give_back, small_slices
 from tabweave.storage import stage
 
 LENGTH = 200
 LONGEST = 0xFFFF  # places keep the strings of a phrase in 16 bits
 TRIGGER = 48
 CROWDED = 4_000  # phrases of one trigger beyond this are compared as single strings, spread over tasks
-_SEGMENT = 1 << 21
+_SEGMENT = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.array([(pow(0xD1342543DE82EF95, i + 1, 1 << 64) ^ (i * 0x2545F4914F6CDD1D % (1 << 64))) | 1 for i in range(256)], dtype=np.uint64)
@@ -80,7 +80,7 @@ def phrases(texts: list[bytes], length: int = LENGTH, trigger: int = TRIGGER) ->
 
 
 def _segments(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[bytes], list[int]]]:
-    """Runs of about two MB; a longer text comes in pieces that share all but one byte of a string."""
+    """Runs of about one MB; a longer text comes in pieces that share all but one byte of a string."""
     docs, held, starts, size = [], [], [], 0
     for i, text in enumerate(texts):
         at = 0
@@ -172,6 +172,8 @@ def _parse_rows(length: int):
                         ],
                         ["row", "mark", "phrase", "place"],
                     )
+        _made.clear()  # workers live on between tasks
+        give_back()
 
     return run
 
@@ -362,7 +364,8 @@ def repeated_spans(
         F.col(text_col).cast("string").alias("text"),
         *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []),
     )
-    given = stage(rows, "numbered-texts")
+    # Never null, so that no join adds a filter of its own and both read the same exchange.
+    given = stage(rows, "numbered-texts").withColumn("row", F.coalesce("row", F.lit(0).cast("long")))
     parsed = given.select("row", "text").mapInArrow(_parse_rows(length), "row long, mark long, phrase long, place long")
     # Written, so that the join reads plain exchanges and a frequent trigger can be split over tasks.
     triggers = stage(

@@ -248,3 +248,18 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     for operator in (exact_groups, drop_copies, near_duplicates, drop_near_duplicates, fingerprints, repeated_spans, cut_repeats):
         assert result(operator(empty)) == []
+
+
+def test_texts_are_exchanged_once(spark):
+    """Both joins with the texts read the same exchange: one scan of them feeds it, besides the one that parses."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        plan = repeated_spans(frame(spark, corpus()))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "numbered-texts" in line and "text#" in line]
+    assert len(scans) == 1 and "ReusedExchange" in plan
