@@ -128,11 +128,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from tabweave.llm.bpe import decode, encode
+    from tabweave.llm.bpe import encode
 
-    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = decode(encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
-    return decoded.select(
+    encoded = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_text=True)
+    return encoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
