@@ -13,6 +13,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -20,21 +21,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import byte_texts, small_slices
+from tabweave.llm.common import Slots, gathered, give_back, room, small_slices
 from tabweave.storage import stage
 
 CAPACITY = 4096
 END = 2
 PART = 512  # longest piece of what is left of a document behind its full sequences
 BLOCK_WINDOWS = 256  # expected windows per block
-CACHED = 400_000  # words whose ids a worker keeps, in each of two generations
+CACHED = 36 << 20  # bytes of words and ids that a worker keeps, in each of two generations
+_TOGETHER = 500  # new words that are encoded as one text
 
 
 class WordTokens:
     """Ids by the ``tokenizers`` library, remembered per word.
 
     White space ends words in this vocabulary and leaves no token, and its normalisation does not look
-    across white space, so a text's ids are the ids of its words one behind the other.
+    across white space, so a text's ids are the ids of its words one behind the other. Words seen lately are
+    remembered, up to ``CACHED`` bytes, and those seen before them up to as many.
     """
 
     def __init__(self, content: str):
@@ -44,54 +47,88 @@ class WordTokens:
         self._tokenizer = Tokenizer.from_str(content)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        # Words seen lately, and words seen before those; words still in use move back to the first.
-        self._known: dict[bytes, bytes] = {}
-        self._older: dict[bytes, bytes] = {}
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each UTF-8 text."""
-        words = [_words(t) for t in texts]
-        distinct: set[bytes] = set()
-        for found in words:
-            distinct.update(found)
-        self._learn(distinct)
-        return [b"".join(map(self._known.__getitem__, found)) for found in words]
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Have all of ``words`` at hand. Marks behind a letter or digit are tokens of their own, so a word that ends in
-        them is put together from two parts."""
-        missing = words - self._known.keys()
-        if len(self._known) + len(missing) > CACHED:
-            self._known, self._older = {}, self._known
-            missing = words
-        parts = {w: _parts(w) for w in missing if w not in self._older}
-        self._known |= {w: self._older[w] for w in missing if w not in parts}
-        needed = {p for found in parts.values() for p in found}
-        new = [p for p in needed if p not in self._known]
-        encoded = self._tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-        self._known |= {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(new, encoded, strict=True)}
-        self._known |= {w: b"".join([self._known[p] for p in found]) for w, found in parts.items()}
-
-
-def _words(text: bytes) -> list[bytes]:
-    """The words, in lower case where that cannot change ids.
+        (self._zero,) = self._tokenizer.encode("0", add_special_tokens=False).ids
+        self._known, self._older = Slots(), Slots()
+
+    def ids(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null is empty), one text behind the other, and their number per text.
+
+        With ``end`` every text has this id behind its own.
+        """
+        split = pa.compute.ascii_split_whitespace(_folded(pa.compute.fill_null(texts.cast(pa.string()), "")))
+        words = split.flatten().cast(pa.binary()).dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        slots = self._slots_of(distinct)[words.indices.to_numpy(zero_copy_only=False)]
+        counts = pa.compute.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        known = self._known
+        starts, lengths, ids = known.start, known.length, known.ids
+        if end is not None:
+            slots = np.insert(slots, np.cumsum(counts), known.used)
+            counts = counts + 1
+            starts, lengths = room(starts, known.used + 1).copy(), room(lengths, known.used + 1).copy()
+            ids = room(ids, known.held + 1)
+            starts[known.used], lengths[known.used], ids[known.held] = known.held, 1, end
+        return gathered(ids, starts[slots], lengths[slots], counts)
+
+    def _slots_of(self, words: list[bytes]) -> np.ndarray:
+        """The slots of some distinct words, learned where they are new."""
+        if self._known.bytes > CACHED:
+            self._known, self._older = Slots(), self._known
+        known = self._known
+        found = np.fromiter(map(known.slot.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            new = [words[i] for i in missing]
+            self._learn(new)
+            found[missing] = list(map(known.slot.__getitem__, new))
+        return found
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, older = self._known, self._older
+        again = [w for w in words if w in older.slot]
+        known.add(again, [older.ids_of(w) for w in again])
+        new = [w for w in words if w not in older.slot]
+        known.add(new, self._encoded(new))
+
+    def _encoded(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of some words by the library; many at a time in one text, told apart by a zero between them.
+
+        A digit is always a token of its own, so words without a zero cannot be mistaken for the mark between them.
+        """
+        alone = [i for i, w in enumerate(words) if b"0" in w or b"<|" in w]
+        rest = [i for i, w in enumerate(words) if not (b"0" in w or b"<|" in w)]
+        out: list[np.ndarray] = [np.zeros(0, dtype="<u4")] * len(words)
+        texts = [words[i].decode() for i in alone]
+        for at in range(0, len(rest), _TOGETHER):
+            texts.append("".join([words[i].decode() + " 0 " for i in rest[at : at + _TOGETHER]]))
+        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for i, e in zip(alone, encoded, strict=False):
+            out[i] = np.array(e.ids, dtype="<u4")
+        if rest:
+            ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in encoded[len(alone) :]])
+            ends = np.flatnonzero(ids == self._zero)
+            for i, a, b in zip(rest, [0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True):
+                out[i] = ids[a:b]
+        return out
+
+
+# Marks that end a word, behind a letter or digit: always tokens of their own.
+_ENDING = r"([0-9a-z])([.,;:!?]+)([\x09-\x0D ]|$)"
+
+
+def _folded(texts: pa.Array) -> pa.Array:
+    """The texts with the same ids in fewer words: in lower case, and the marks that end a word set apart.
 
     A text with ``<|`` may hold a special token, which is told apart by case. The vocabulary composes letters before it
-    lowers them, and some decomposed letters have a composed form in lower case only, so words beyond ASCII stay as they are.
+    lowers them, and some decomposed letters have a composed form in lower case only; the marks that letters from A to Z
+    are composed with begin with one of two bytes in UTF-8. Texts with any of these stay as they are.
     """
-    if b"<|" in text:
-        return text.split()
-    if text.isascii():
-        return text.lower().split()
-    return [w.lower() if w.isascii() else w for w in text.split()]
-
-
-_MARKS = b".,;:!?"
-
-
-def _parts(word: bytes) -> tuple[bytes, ...]:
-    stem = word.rstrip(_MARKS)
-    return (stem, word[len(stem) :]) if stem != word and stem[-1:].isalnum() and b"<|" not in word else (word,)
+    raw = texts.cast(pa.binary())
+    kept = pa.compute.match_substring(raw, b"<|")
+    for byte in (b"\xcc", b"\xcd"):
+        kept = pa.compute.or_(kept, pa.compute.match_substring(raw, byte))
+    folded = pa.compute.replace_substring_regex(pa.compute.ascii_lower(texts), _ENDING, r"\1 \2\3")
+    return pa.compute.if_else(kept, texts, folded)
 
 
 @lru_cache(maxsize=2)
@@ -115,32 +152,40 @@ def cut_pieces(
     which leaves little padding.
     """
     content = Path(vocabulary).read_text(encoding="utf-8")
-    end = np.array([END], dtype="<u4").tobytes()
     fields = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = load(content)
         for whole in batches:
             for batch in small_slices(whole, "text", 4 << 20):
-                rows = []
-                encoded = tokens.ids(byte_texts(batch.column(1)))
-                for doc_id, found in zip(batch.column(0).to_pylist(), encoded, strict=True):
-                    ids = found + end
-                    full = len(ids) // 4 // capacity * capacity
-                    cuts = [*range(0, full, capacity), *range(full, len(ids) // 4, part)]
-                    for start, stop in zip(cuts, [*cuts[1:], len(ids) // 4], strict=True):
-                        at, piece = 4 * start, ids[4 * start : 4 * stop]
-                        row = (doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4)
-                        rows.append((*row, piece) if with_ids else row)
-                columns = list(zip(*rows, strict=True))
-                arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(c, pa.binary()) for c in columns[5:]]
+                ids, counts = tokens.ids(batch.column(1), END)
+                doc, start, length = _cuts(counts, capacity, part)
+                first = (np.cumsum(counts) - counts)[doc] + start
+                raw = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
+                bounds = list(zip((4 * first).tolist(), (4 * (first + length)).tolist(), strict=True))
+                crc = np.fromiter((zlib.crc32(raw[a:b]) for a, b in bounds), dtype=np.int64, count=len(bounds))
+                arrays = [batch.column(0).take(pa.array(doc)), *map(pa.array, (start, length, crc, counts[doc]))]
+                if with_ids:
+                    arrays.append(pa.array([bytes(raw[a:b]) for a, b in bounds], pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, fields)
+        give_back()
 
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     return given.mapInArrow(run, schema)
 
 
+def _cuts(counts: np.ndarray, capacity: int, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and length of the pieces: full sequences first, then parts of what is left."""
+    full = counts // capacity
+    pieces = full + -(-(counts % capacity) // part)
+    doc = np.repeat(np.arange(len(counts)), pieces)
+    number = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    behind = number - full[doc]
+    start = np.where(behind < 0, number * capacity, full[doc] * capacity + behind * part)
+    return doc, start, np.minimum(counts[doc] - start, np.where(behind < 0, capacity, part))
+
+
 def differencing(sizes: list[int], windows: int) -> list[tuple[int, list[int]]]:
     """Karmarkar-Karp: (sum, items) of each non-empty window, largest sum first.
 

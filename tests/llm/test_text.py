@@ -3,12 +3,15 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, corpus, frame, prose, result
 from hypothesis import given, settings
@@ -16,9 +19,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabweave.llm import langid, ngram_lm, quality
+from tabweave.llm import automaton, bpe, langid, ngram_lm, packing, quality
 from tabweave.llm.automaton import MergeAutomaton
-from tabweave.llm.bpe import ByteBpe, decode, encode
+from tabweave.llm.bpe import ByteBpe, decode, encode, load_labels
+from tabweave.llm.bpe import load as load_bytes
 from tabweave.llm.common import fold
 from tabweave.llm.langid import fit_languages, predict_languages
 from tabweave.llm.ngram_lm import score_corpus
@@ -210,7 +214,7 @@ def library():
 def test_encoding_equals_the_library(codec, library, text):
     ids = library.encode(text, add_special_tokens=False).ids
     assert codec.encode(text).tolist() == ids
-    assert codec.decode(np.array(ids, dtype="<u4")) == library.decode(ids, skip_special_tokens=False)
+    assert load_labels(Path(BYTE_BPE).read_text(encoding="utf-8")).decode(np.array(ids, dtype="<u4")) == library.decode(ids, skip_special_tokens=False)
 
 
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=12), st.text(alphabet="abc", max_size=40))
@@ -246,7 +250,8 @@ def test_bpe_of_a_table(spark, library):
     texts = [r[1] or "" for r in rows]
     ids = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert found == Counter((r[0], np.array(i, dtype="<u4").tobytes(), t) for r, i, t in zip(rows, ids, texts, strict=True))
-    assert result(encode(spark.createDataFrame([], SCHEMA), BYTE_BPE)) == []
+    assert Counter((r.doc_id, bytes(r.ids), r.text) for r in encode(frame(spark, rows), BYTE_BPE, with_text=True).collect()) == found
+    assert result(encode(spark.createDataFrame([], SCHEMA), BYTE_BPE, with_text=True)) == []
 
 
 @pytest.mark.parametrize("letter", ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a"])
@@ -255,7 +260,73 @@ def test_letters_composed_in_lower_case_only(letter):
     tokens = load(Path(WORD_BPE).read_text(encoding="utf-8"))
     texts = [f"{letter}amor", f"Plain WORDS, {letter} {letter.lower()}x{letter}! Ä É"]
     encoded = Tokenizer.from_file(WORD_BPE).encode_batch(texts, add_special_tokens=False)
-    assert [np.frombuffer(i, dtype="<u4").tolist() for i in tokens.ids([t.encode() for t in texts])] == [e.ids for e in encoded]
+    ids, counts = tokens.ids(pa.array(texts))
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == [e.ids for e in encoded]
+
+
+TEXTS = st.lists(
+    st.one_of(
+        st.none(),
+        st.text(alphabet=list("abcXYZ 012,.;!?'<|>-\n\t\u00e9\u0301\u03a3\u00df\u00a0\u4e2d\x0b\x1c"), max_size=40),
+        st.lists(st.sampled_from(["the", " ", "  ", "\n", "ing.", "0", "<|endoftext|>", "<|", "'S", "H\u0331", "x" * 70, "\u0391\u03a3.", "9 0"]), max_size=9).map("".join),
+    ),
+    min_size=1,
+    max_size=8,
+)
+
+
+@given(TEXTS)
+@settings(max_examples=300, deadline=None)
+def test_columns_of_texts_equal_the_library(texts):
+    """Both vocabularies, with words remembered from earlier examples."""
+    for path, codec in ((WORD_BPE, load), (BYTE_BPE, load_bytes)):
+        ids, counts = codec(Path(path).read_text(encoding="utf-8")).ids(pa.array(texts, pa.string()))
+        expected = [e.ids for e in plain_library(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == expected
+
+
+@lru_cache
+def plain_library(path):
+    return Tokenizer.from_file(path)
+
+
+def test_memories_are_bounded_by_bytes(monkeypatch):
+    """Whatever is forgotten is learned again."""
+    monkeypatch.setattr(packing, "CACHED", 3_000)
+    monkeypatch.setattr(bpe, "CACHED", 3_000)
+    monkeypatch.setattr(automaton, "ARCS", 50)
+    rng = random.Random(1)
+    texts = [prose(rng, 60, 900) + " \u00e9. " + "z" * 80 for _ in range(40)]
+    for path, codec in ((WORD_BPE, packing.WordTokens), (BYTE_BPE, bpe.ByteBpe)):
+        made = codec(Path(path).read_text(encoding="utf-8"))
+        expected = [e.ids for e in plain_library(path).encode_batch(texts, add_special_tokens=False)]
+        for _ in range(2):
+            for text, ids in zip(texts, expected, strict=True):
+                assert made.ids(pa.array([text]))[0].tolist() == ids
+        held = made._known if path == WORD_BPE else made._parts
+        assert held.bytes < 3_000 + 60 * 200
+
+
+@pytest.mark.parametrize("pattern", ["x", "ab", "abcdefghij\u00e9"])
+def test_long_words_take_time_in_proportion(pattern):
+    """A megabyte without a space, read byte by byte and never backwards."""
+    codec = load_bytes(Path(BYTE_BPE).read_text(encoding="utf-8"))
+    seconds = []
+    for size in (100_000, 1_000_000):
+        word = (pattern * size)[:size].encode()
+        begun = time.process_time()
+        found = codec.automaton.encode(word)
+        seconds.append(time.process_time() - begun)
+        assert sum(codec.automaton.length[t] for t in found) == len(word)
+    assert seconds[1] < 25 * seconds[0] + 1
+
+
+def test_words_side_by_side_equal_words_alone():
+    codec = load_bytes(Path(BYTE_BPE).read_text(encoding="utf-8"))
+    rng = random.Random(3)
+    words = ["".join(rng.choice(" abcdetheing\u00e9\u4e2d.,09") for _ in range(rng.randrange(1, 90))).encode() for _ in range(2_000)]
+    found = codec.automaton.encode_many([b"", *words])
+    assert [f.tolist() for f in found] == [[], *map(codec.automaton.encode, words)]
 
 
 def test_packing(spark):
