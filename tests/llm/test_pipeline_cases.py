@@ -1,5 +1,6 @@
 """Pipeline stages on awkward rows: nulls, empty and long texts, repeated rows, empty tables, clashing columns."""
 
+import os
 import random
 from collections import Counter
 
@@ -7,6 +8,8 @@ import corpus_pipeline
 import pytest
 from helpers import SCHEMA, corpus, frame, prose
 
+from tabweave.storage import shared_dir
+
 STAGES = dict(corpus_pipeline.STAGES)
 
 
@@ -46,6 +49,26 @@ def test_run_is_all_stages(spark, sf_dir, tmp_path):
     assert {r.doc_id for r in found} == set(range(30))
 
 
+def test_runs_side_by_side_and_their_release(spark):
+    """A later run leaves the result of an earlier one readable, and nothing stays behind two released runs."""
+    sf_dir, shared = "/root/testdata/sf0.001", shared_dir(spark)
+    before = set(os.listdir(shared))
+    first = corpus_pipeline.start(spark, sf_dir)
+    rows = first.frame.count()
+    second = corpus_pipeline.start(spark, sf_dir)
+    assert first.frame.count() == rows == second.frame.count() > 0
+    first.release()
+    assert second.frame.count() == rows
+    second.release()
+    assert set(os.listdir(shared)) == before
+
+
+def test_stage_names_that_clash_in_packing(spark, sf_dir):
+    docs = frame(spark, corpus(), clashing=True).selectExpr("*", "1 AS start", "2 AS length", "3 AS block", "4 AS sequence_id", "5 AS __piece")
+    found = STAGES["packing"](spark, docs, sf_dir).collect()
+    assert {r.doc_id for r in found} == {r[0] for r in corpus()}
+
+
 def test_a_stage_judges_rows_not_ids(spark, sf_dir):
     """Rows that share an id have texts of their own; a row that repeats both stays once."""
     rng = random.Random(1)
