@@ -6,11 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_journal: list[str] = []
+_collected: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 _local_fallback: dict[str, str] = {}
 
 
@@ -102,7 +103,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     For frames that are read several times and slow to make; later reads skip unused columns.
     """
     path = scratch_path(df.sparkSession, name)
-    _journal.append(path)
+    if (made := _collected.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -110,9 +112,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 @contextmanager
 def staged_paths() -> Iterator[list[str]]:
     """Collects the paths that :func:`stage` makes while the block runs, for a caller that removes them later."""
-    before, made = len(_journal), []
+    made: list[str] = []
+    token = _collected.set(made)
     try:
         yield made
     finally:
-        made += _journal[before:]
-        del _journal[before:]
+        _collected.reset(token)
