@@ -23,7 +23,7 @@ from tabweave.functions.scores import regression_value
 from tabweave.operators.baselines import BASELINE_NAME, coefficient_table, fit_linear, fit_logistic, score_linear
 from tabweave.operators.batches import batches_by_size
 from tabweave.operators.classes import class_weights, weight_list
-from tabweave.operators.encode import assemble
+from tabweave.operators.encode import assemble, keep_members, label_rows
 from tabweave.operators.losses import batch_cross_entropy, weighted_cross_entropy
 from tabweave.operators.network import INITIAL_SPREAD, MLPSpec, init_params
 from tabweave.operators.runs import comparison
@@ -33,6 +33,7 @@ from tabweave.operators.training import parameter_table, place_rows, train_epoch
 from tabweave.plans.evaluate import evaluate, evaluate_network, metrics_record, network_threshold
 from tabweave.plans.fit import fit, load_best
 from tabweave.sources.history import load_history, log_run
+from tabweave.sources.schemas import LOAN_KEPT_STATUS
 from tabweave.storage import scratch_path
 
 WIDTH = 64
@@ -603,26 +604,43 @@ def m14_linear_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "term string, value double").withColumn("value", F.round("value", 5))
 
 
-@query(
-    "m14_logistic_baseline",
-    f"""WITH RECURSIVE {BASELINE_SQL}, newton AS (
-  SELECT 0 AS step, CAST(0 AS DOUBLE) AS w0, CAST(0 AS DOUBLE) AS w1
+# Newton steps of a logistic regression over ``weighted`` rows with two features.
+NEWTON_SQL = """newton AS (
+  SELECT 0 AS step, CAST(0 AS DOUBLE) AS w0, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS w2
   UNION ALL
-  SELECT step + 1, w0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), w1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  SELECT step + 1,
+         w0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / d,
+         w1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / d,
+         w2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / d
   FROM (
-    SELECT step, w0, w1, sum(c - p) AS g0, sum((c - p) * a) AS g1, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * a) AS h01,
-           sum(p * (1 - p) * a * a) AS h11
-    FROM (SELECT step, w0, w1, a, c, 1 / (1 + exp(-(w0 + w1 * a))) AS p FROM newton, points WHERE step < 8)
-    GROUP BY step, w0, w1
+    SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS d
+    FROM (
+      SELECT step, w0, w1, w2, sum(w * (c - p)) AS g0, sum(w * (c - p) * a) AS g1, sum(w * (c - p) * b) AS g2,
+             sum(w * p * (1 - p)) AS h00, sum(w * p * (1 - p) * a) AS h01, sum(w * p * (1 - p) * b) AS h02,
+             sum(w * p * (1 - p) * a * a) AS h11, sum(w * p * (1 - p) * a * b) AS h12, sum(w * p * (1 - p) * b * b) AS h22
+      FROM (SELECT step, w0, w1, w2, a, b, c, w, 1 / (1 + exp(-(w0 + w1 * a + w2 * b))) AS p FROM newton, weighted WHERE step < 10)
+      GROUP BY step, w0, w1, w2
+    )
   )
 )
-SELECT 'intercept' AS term, round(w0, 4) AS value FROM newton WHERE step = 8
-UNION ALL SELECT 'amount', round(w1, 4) FROM newton WHERE step = 8""",
+SELECT 'intercept' AS term, round(w0, 4) AS value FROM newton WHERE step = 10
+UNION ALL SELECT 'amount', round(w1, 4) FROM newton WHERE step = 10
+UNION ALL SELECT 'income', round(w2, 4) FROM newton WHERE step = 10"""
+
+
+@query(
+    "m14_logistic_baseline",
+    f"""WITH RECURSIVE {LOANS_SQL}, weighted AS (
+  SELECT loan_amnt / 100000 AS a, coalesce(annual_inc, 0) / 1000 AS b, CASE WHEN loan_status = 'Fully Paid' THEN 0 ELSE 1 END AS c,
+         CAST(1 AS DOUBLE) AS w
+  FROM loans WHERE loan_status IN ('Fully Paid', 'Charged Off')
+), {NEWTON_SQL}""",
 )
 def m14_logistic_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    label = F.when(F.col("loan_status") == "Fully Paid", 0).otherwise(1)
-    rows = baseline_rows(spark, sf_dir).select(F.slice("features", 1, 1).alias("features"), label.alias("label"))
-    coefficients = coefficient_table(fit_logistic(rows), ["amount"])
+    """The plain baseline: all finished loans, both features, no weights."""
+    rows = keep_members(baseline_rows(spark, sf_dir), "loan_status", LOAN_KEPT_STATUS)
+    labelled = label_rows(rows, "loan_status", "Fully Paid", "label").select("features", "label")
+    coefficients = coefficient_table(fit_logistic(labelled, tol=1e-12), ["amount", "income"])
     return spark.createDataFrame(coefficients, "term string, value double").withColumn("value", F.round("value", 4))
 
 
@@ -643,27 +661,7 @@ SPLIT_POINTS_SQL = f"""{CLEAN_SQL}, {split_sql("cleaned", "loan_id")}, points AS
   SELECT c, count(*) AS n FROM points WHERE split = 'train' GROUP BY c
 ), weighted AS (
   SELECT a, b, points.c, (SELECT sum(n) FROM classes) / (2 * n) AS w FROM points JOIN classes USING (c) WHERE split = 'train'
-), newton AS (
-  SELECT 0 AS step, CAST(0 AS DOUBLE) AS w0, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS w2
-  UNION ALL
-  SELECT step + 1,
-         w0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / d,
-         w1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / d,
-         w2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / d
-  FROM (
-    SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS d
-    FROM (
-      SELECT step, w0, w1, w2, sum(w * (c - p)) AS g0, sum(w * (c - p) * a) AS g1, sum(w * (c - p) * b) AS g2,
-             sum(w * p * (1 - p)) AS h00, sum(w * p * (1 - p) * a) AS h01, sum(w * p * (1 - p) * b) AS h02,
-             sum(w * p * (1 - p) * a * a) AS h11, sum(w * p * (1 - p) * a * b) AS h12, sum(w * p * (1 - p) * b * b) AS h22
-      FROM (SELECT step, w0, w1, w2, a, b, c, w, 1 / (1 + exp(-(w0 + w1 * a + w2 * b))) AS p FROM newton, weighted WHERE step < 10)
-      GROUP BY step, w0, w1, w2
-    )
-  )
-)
-SELECT 'intercept' AS term, round(w0, 4) AS value FROM newton WHERE step = 10
-UNION ALL SELECT 'amount', round(w1, 4) FROM newton WHERE step = 10
-UNION ALL SELECT 'income', round(w2, 4) FROM newton WHERE step = 10""",
+), {NEWTON_SQL}""",
 )
 def m14_weighted_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The baseline as a comparison needs it: finished loans, training split, class weights, all features."""
