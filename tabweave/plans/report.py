@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
@@ -28,6 +29,8 @@ EVOLUTION_DIGITS = {"classification": 4, "regression": 6}
 NO_RUN = "sem execução registrada"
 NO_NOTES = "-"
 
+TABLES_AT_ONCE = 4  # tables that are written side by side
+
 
 def comparison_text(table: DataFrame, task: str) -> DataFrame:
     """A comparison table as it is shown."""
@@ -96,6 +99,11 @@ def report(
         nullcontext(latest) if latest is not None else staged(latest_runs(records), "latest-runs")
     ) as newest:
         tables = report_tables(records, epochs, newest)
-        for name, table in tables.items():
-            table.write.mode("overwrite").json(f"{out_dir}/{name}")
+
+        def write(name: str) -> None:
+            tables[name].write.mode("overwrite").json(f"{out_dir}/{name}")
+
+        # Small tables, most of whose time is that of starting jobs.
+        with ThreadPoolExecutor(TABLES_AT_ONCE) as writers:
+            list(writers.map(write, tables))
     return list(tables)
