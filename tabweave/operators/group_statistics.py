@@ -1,8 +1,9 @@
 """Exact medians per group, for any number of groups and any size of one.
 
-The search is a table with one row per group, column and middle rank: the range of values that still holds the
-rank, how many values are in it and which of them it is. A round sketches the values in each range, counts them between
-the sketched cuts and keeps the part with the rank. Ranges of few values are sorted and picked from directly.
+Groups of few rows are sorted and picked from directly. For the others the search is a table with one row per group,
+column and middle rank: the range of values that still holds the rank, how many values are in it and which of them it
+is. A round sketches the values in each range, counts them between the sketched cuts and keeps the part with the rank.
+Ranges of few values are picked from directly.
 """
 
 from __future__ import annotations
@@ -14,24 +15,23 @@ from pyspark.sql import functions as F
 
 from tabweave.storage import stage
 
-IN_MEMORY_ROWS = 10_000  # values of a range that are sorted in one place
+IN_MEMORY_ROWS = 10_000  # rows of a group, or values of a range, that are sorted in one place
 _CUTS = 64  # parts that a round cuts a range into
 _SKETCH = 2_000
 _PARTS = 1_024  # groups of tasks whose sketches of one range are merged on their own
+_SENT = 100_000  # ranges or large groups that are sent to the tasks instead of moving the values to them
 _KEY = ("g", "i", "which")
+_SPAN = ("g", "i", "low", "high")
 
 
-def _values(df: DataFrame, groups: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """``g, i, v``: every value that is not null, with its group and the number of its column."""
-    values = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)])
-    # A struct of nulls equals another one, so null is a group like any other.
-    group = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(groups)])
-    return df.select(group.alias("g"), F.explode(values).alias("x")).select("g", "x.i", "x.v").where("v IS NOT NULL")
+def _sent(lines: DataFrame, n: int) -> DataFrame:
+    """Few lines go to every task: values of one group never meet in one then. Spark expects far more of joined tables."""
+    return F.broadcast(lines) if n <= _SENT else lines
 
 
-def _inside(values: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The values that lie in the ranges of their group and column, once per range."""
-    found = values.join(ranges, ["g", "i"])
+def _inside(values: DataFrame, ranges: DataFrame, n: int) -> DataFrame:
+    """The values that lie in the ``n`` ranges of their group and column, once per range."""
+    found = values.join(_sent(ranges, n), ["g", "i"])
     open_ended = F.col("low").isNull()
     return found.where(open_ended | ((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high"))))
 
@@ -39,48 +39,67 @@ def _inside(values: DataFrame, ranges: DataFrame) -> DataFrame:
 def _cuts(inside: DataFrame) -> DataFrame:
     """Values that cut each range into parts of about equal size, none where a range holds nothing but NaN."""
     part = (F.spark_partition_id() % _PARTS).alias("part")
-    sketches = inside.groupBy(*_KEY, part).agg(F.kll_sketch_agg_double("v", _SKETCH).alias("s"))
-    merged = sketches.groupBy(*_KEY).agg(F.kll_merge_agg_double("s", _SKETCH).alias("s"))
+    sketches = inside.groupBy(*_SPAN, part).agg(F.kll_sketch_agg_double("v", _SKETCH).alias("s"))
+    merged = sketches.groupBy(*_SPAN).agg(F.kll_merge_agg_double("s", _SKETCH).alias("s"))
     fractions = F.array(*[F.lit(k / _CUTS) for k in range(_CUTS + 1)])
     cuts = F.when(F.kll_sketch_get_n_double("s") > 0, F.kll_sketch_get_quantile_double("s", fractions))
-    return merged.select(*_KEY, F.coalesce(cuts, F.array().cast("array<double>")).alias("cuts"))
+    return merged.select(*_SPAN, F.coalesce(cuts, F.array().cast("array<double>")).alias("cuts"))
+
+
+def _with_part(values: DataFrame) -> DataFrame:
+    """``part``: twice the number of ``cuts`` below ``v``, found by halving, and one more where ``v`` is a cut."""
+    found, step = values.withColumn("below", F.lit(0)), 1 << (_CUTS + 1).bit_length() - 1
+    while step:
+        higher = F.get("cuts", F.col("below") + (step - 1)) < F.col("v")
+        found, step = found.withColumn("below", F.col("below") + F.when(higher, step).otherwise(0)), step >> 1
+    on_cut = F.coalesce(F.get("cuts", F.col("below")) == F.col("v"), F.lit(False))
+    return found.withColumn("part", 2 * F.col("below") + on_cut.cast("int"))
 
 
-def _narrowed(values: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The part of every range that holds its rank. A value that is a cut has a part of its own."""
-    cuts = stage(_cuts(_inside(values, ranges)), "median-cuts")
+def _narrowed(values: DataFrame, ranges: DataFrame, n: int) -> DataFrame:
+    """The part of every range that holds its rank. A value that is a cut has a part of its own.
+
+    Ranks that share a range share its counts.
+    """
+    cuts = stage(_cuts(_inside(values, ranges.select(*_SPAN).distinct(), n)), "median-cuts")
     v = F.col("v")
-    part = 2 * F.size(F.filter("cuts", lambda c: c < v)) + F.array_contains("cuts", v).cast("int")
     counted = (
-        _inside(values, ranges.join(cuts, list(_KEY)))
-        .groupBy(*_KEY, "rank", part.alias("part"))
-        .agg(F.count(v).alias("inside"), F.min(v).alias("low"), F.max(v).alias("high"))
+        _with_part(_inside(values, cuts, n))
+        .groupBy(*_SPAN, "part")
+        .agg(F.count(v).alias("n"), F.min(v).alias("first"), F.max(v).alias("last"))
     )
     # At most as many lines per range as there are parts.
-    before = F.sum("inside").over(Window.partitionBy(*_KEY).orderBy("part")) - F.col("inside")
-    placed = counted.withColumn("before", before)
-    holds = (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("inside"))
-    return placed.where(holds).select(*_KEY, (F.col("rank") - F.col("before")).alias("rank"), "inside", "low", "high")
+    before = F.sum("n").over(Window.partitionBy(*_SPAN).orderBy("part")) - F.col("n")
+    placed = counted.withColumn("before", before).alias("p")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"r.{c}")) for c in _SPAN]
+    holds = (F.col("p.before") <= F.col("r.rank")) & (F.col("r.rank") < F.col("p.before") + F.col("p.n"))
+    return placed.join(_sent(ranges, n).alias("r"), [*same, holds]).select(
+        *[f"r.{c}" for c in _KEY],
+        (F.col("r.rank") - F.col("p.before")).alias("rank"),
+        F.col("p.n").alias("inside"),
+        F.col("p.first").alias("low"),
+        F.col("p.last").alias("high"),
+    )
 
 
-def group_medians(
-    df: DataFrame, groups: Sequence[str], columns: Sequence[str], in_memory_rows: int = IN_MEMORY_ROWS
-) -> DataFrame:
-    """The ``groups`` columns and the exact median of each of ``columns``, one row per group.
+def _small_medians(rows: DataFrame, keys: Sequence[str], columns: int) -> DataFrame:
+    """Medians of groups that fit a task, by sorting each."""
+    lists = rows.groupBy(*keys).agg(*[F.sort_array(F.collect_list(f"v{i}")).alias(f"s{i}") for i in range(columns)])
 
-    Null values are left out, and a column without any other value in a group has a null median. NaN is the highest
-    value. Null is a group like any other. An even number of values gives the mean of the two in the middle.
+    def median(i: int) -> Column:
+        n = F.size(f"s{i}")
+        low, high = (F.get(f"s{i}", F.floor((n - 1 + k) / 2).cast("int")) for k in (0, 1))
+        return F.when(n > 0, (low + high) / 2).alias(f"m{i}")
 
-    One pass counts, one picks; between them a round of two passes per factor 64 that the largest group has
-    more than ``in_memory_rows`` values, over the values of such groups only. Ranges are joined to the values by Spark's
-    own choice of join. The driver gets the number of ranges that are left, never a group.
-    """
-    clash = {"g", "i", "v", "x"} & {*groups}
-    if clash or not groups:
-        raise ValueError("medians per group need groups" if not groups else f"columns {sorted(clash)} are used inside")
-    values = _values(df, groups, columns)
-    n = F.count("v")
-    counts = values.groupBy("g", "i").agg(n.alias("inside"))
+    return lists.select(*keys, *[median(i) for i in range(columns)])
+
+
+def _large_medians(rows: DataFrame, large: DataFrame, n: int, columns: int, in_memory_rows: int) -> DataFrame:
+    """``g`` and medians of the ``n`` groups of ``large``, by narrowing ranges."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(columns)])
+    mine = rows.join(_sent(large, n), "g", "left_semi")
+    values = mine.select("g", F.explode(pairs).alias("x")).select("g", "x.i", "x.v").where("v IS NOT NULL")
+    counts = values.groupBy("g", "i").agg(F.count("v").alias("inside"))
     middle = F.array(*[F.struct(F.lit(k).alias("which"), F.floor((F.col("inside") - 1 + k) / 2).alias("rank")) for k in (0, 1)])
     none = F.lit(None).cast("double")
     ranges = stage(
@@ -91,8 +110,8 @@ def group_medians(
     )
     known = [ranges.where(F.col("inside") <= in_memory_rows)]
     left = ranges.where(F.col("inside") > in_memory_rows)
-    while not left.isEmpty():
-        narrowed = stage(_narrowed(values, left), "median-ranges")
+    while (wide := left.count()) > 0:
+        narrowed = stage(_narrowed(values, left, wide), "median-ranges")
         done = (F.col("inside") <= in_memory_rows) | F.col("low").eqNullSafe(F.col("high"))
         known.append(narrowed.where(done))
         left = narrowed.where(~done)
@@ -102,7 +121,7 @@ def group_medians(
     # A range of one value needs no look at the rows, however many there are.
     single = F.col("low").isNotNull() & F.col("low").eqNullSafe(F.col("high"))
     picked = (
-        _inside(values, small.where(~single))
+        _inside(values, small.where(~single), 2 * columns * n)
         .groupBy(*_KEY, "rank")
         .agg(F.sort_array(F.collect_list("v")).alias("sorted"))
         .select(*_KEY, F.element_at("sorted", (F.col("rank") + 1).cast("int")).alias("value"))
@@ -112,8 +131,43 @@ def group_medians(
     def median(i: int) -> Column:
         return F.avg(F.when(F.col("i") == i, F.col("value")))
 
-    medians = middles.groupBy("g").agg(*[median(i).alias(f"m{i}") for i in range(len(columns))])
-    everyone = df.select(F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(groups)]).alias("g")).distinct()
-    return everyone.join(medians, "g", "left").select(
-        *[F.col(f"g.k{i}").alias(c) for i, c in enumerate(groups)], *[F.col(f"m{i}").alias(c) for i, c in enumerate(columns)]
+    medians = middles.groupBy("g").agg(*[median(i).alias(f"m{i}") for i in range(columns)])
+    return large.join(medians, "g", "left")
+
+
+def group_medians(
+    df: DataFrame, groups: Sequence[str], columns: Sequence[str], in_memory_rows: int = IN_MEMORY_ROWS
+) -> DataFrame:
+    """The ``groups`` columns and the exact median of each of ``columns``, one row per group.
+
+    Null values are left out, and a column without any other value in a group has a null median. NaN is the highest
+    value. Null is a group like any other. An even number of values gives the mean of the two in the middle.
+
+    One pass counts the rows of the groups. Groups of at most ``in_memory_rows`` rows are sorted in one more. Only the rows
+    of larger groups go on: one pass counts, one picks, and between them a round of two passes per factor 64 that the
+    largest group has more than ``in_memory_rows`` values. There are few such groups, so their ranges are sent to the
+    values, which stay where they are; beyond ``_SENT`` ranges Spark chooses the join. The driver gets the
+    number of large groups and of ranges that are left, never a group.
+    """
+    clash = {"g", "i", "v", "x"} & {*groups}
+    if clash or not groups:
+        raise ValueError("medians per group need groups" if not groups else f"columns {sorted(clash)} are used inside")
+    keys = [f"k{i}" for i in range(len(groups))]
+    rows = df.select(
+        *[F.col(f"`{c}`").alias(k) for k, c in zip(keys, groups, strict=True)],
+        *[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)],
+    )
+    # A struct of nulls equals another one, so null is a group like any other.
+    marked = rows.withColumn("g", F.struct(*keys))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > in_memory_rows)
+    large = stage(sizes.select(F.struct(*keys).alias("g")), "median-large")
+    n, given = large.count(), len(columns)
+    fitting = marked.join(_sent(large, n), "g", "left_anti") if n else rows
+    medians = _small_medians(fitting, keys, given)
+    if n:
+        found = _large_medians(marked, large, n, given, in_memory_rows)
+        medians = medians.unionByName(found.select("g.*", *[f"m{i}" for i in range(given)]))
+    return medians.select(
+        *[F.col(k).alias(c) for k, c in zip(keys, groups, strict=True)],
+        *[F.col(f"m{i}").alias(c) for i, c in enumerate(columns)],
     )

@@ -65,3 +65,21 @@ def test_no_rows_and_wrong_names(spark):
         group_medians(df, [], ["a"])
     with pytest.raises(ValueError, match="used inside"):
         group_medians(df.withColumnRenamed("city", "g"), ["g"], ["a"])
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_of_large_groups_stay_where_they_are(spark, monkeypatch):
+    """Ranges go to the values, so those of one group never meet in one task, whatever sizes Spark expects."""
+    plans, keep = [], group_statistics.stage
+    monkeypatch.setattr(group_statistics, "stage", lambda df, name: plans.append(plan_of(df)) or keep(df, name))
+    rows = [("hot", None, float(i % 211), float(i)) for i in range(900)] + [("b", 1, 2.0, None)] * 3
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        check(spark, rows, 10)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) > 3 and not any("SortMergeJoin" in p for p in plans)
