@@ -71,6 +71,12 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_small_groups_are_sorted_without_ranges(spark):
+    rows = [("a", i % 40, float(i), None, 1) for i in range(200)]
+    found = group_medians(spark.createDataFrame(rows, SCHEMA), ["year"], ["a", "b"])
+    assert "Join" not in plan_of(found) and found.count() == 40
+
+
 def test_values_of_large_groups_stay_where_they_are(spark, monkeypatch):
     """Ranges go to the values, so those of one group never meet in one task, whatever sizes Spark expects."""
     plans, keep = [], group_statistics.stage
