@@ -9,10 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.operators.ordered import global_positions
+from tabweave.storage import stage
 
 FILL_VALUE = "unknown"
 LABEL = "classification_target"
 MAX_ONE_HOT_COLUMNS = 10_000
+_SENT_VALUES = 100_000  # of a column's vocabulary, that are sent to the rows
+_DEALT = 4_096  # parts that rows without a value are dealt into
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -72,16 +75,25 @@ def vocabulary_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def one_hot_positions(df: DataFrame, vocabulary: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """``key, positions``: where the ones are, in the order of columns, for vocabularies too wide to be columns.
 
-    The vocabulary is a table and is joined; values that it does not have leave no position. ``key`` identifies a row.
+    The vocabulary is a table and is joined column by column; values that it does not have leave no position. The part of a
+    column with at most ``_SENT_VALUES`` values is sent to the rows, which would meet in few tasks otherwise. Rows
+    without a value are dealt out by their key and match nothing. Rows that share a key are put together. The driver
+    gets one line per column.
     """
-    pairs = df.select(
-        F.col(key),
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
-        ).alias("p"),
-    ).select(key, "p.feature", "p.value")
-    found = pairs.join(vocabulary, ["feature", "value"], "left")
-    return found.groupBy(key).agg(F.array_sort(F.collect_list("position")).alias("positions"))
+    held = stage(vocabulary.select("feature", "value", "position"), "one-hot")
+    sizes = {r["feature"]: r["n"] for r in held.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # A column that has no value anywhere leaves no position.
+    known = [c for c in dict.fromkeys(columns) if c in sizes]
+    rows = df.select(F.col(f"`{key}`").alias("__key"), *[F.col(f"`{c}`").cast("string").alias(f"v{i}") for i, c in enumerate(known)])
+    nobody = F.concat(F.lit("none "), F.pmod(F.xxhash64("__key"), F.lit(_DEALT)).cast("string"))
+    for i, c in enumerate(known):
+        part = held.where(F.col("feature") == c).select(F.col("value").alias(f"w{i}"), F.col("position").alias(f"p{i}"))
+        given, small = F.col(f"v{i}"), sizes[c] <= _SENT_VALUES
+        same = given == F.col(f"w{i}") if small else (F.coalesce(given, nobody) == F.col(f"w{i}")) & given.isNotNull()
+        rows = rows.join(F.broadcast(part) if small else part, same, "left").drop(f"v{i}", f"w{i}")
+    found = F.array_compact(F.array(*[F.col(f"p{i}") for i in range(len(known))])) if known else F.array().cast("array<bigint>")
+    grouped = rows.select(F.col("__key").alias(key), found.alias("found")).groupBy(key)
+    return grouped.agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("positions"))
 
 
 def one_hot_names(vocabulary: dict[str, list[str]]) -> list[str]:
