@@ -96,6 +96,25 @@ def test_quality_scores_are_mean_log_ratios(spark):
         assert found[doc_id] == pytest.approx(expected)
 
 
+def test_all_labels_count(spark, monkeypatch):
+    """Documents beyond the first 20,000 labelled ids of a class fit the target and the threshold, too."""
+    labels = spark.range(24_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    last = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").select("doc_id").collect()[20_000:]][:80]
+    rng = random.Random(4)
+    texts = [(i, " ".join(rng.choice(["river", "stone", "house", "bird"]) for _ in range(30))) for i in last]
+    texts += [(-1 - i, " ".join(rng.choice(["win", "cash", "now", "click"]) for _ in range(30))) for i in range(40)] + [(None, "none")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bad = spark.createDataFrame([(-1 - i, 0, 1) for i in range(40)], "doc_id long, quality int, toxic int")
+    found = {}
+    for sent in (1_000_000, 0):
+        monkeypatch.setattr(quality, "_SENT", sent, raising=False)
+        found[sent] = {r.doc_id: (r.score, r.kept) for r in quality_rules(docs, labels.unionByName(bad)).collect()}
+    assert found[0] == found[1_000_000] and len(found[0]) == 121
+    assert min(found[0][i][0] for i in last) > max(found[0][-1 - i][0] for i in range(40))
+    assert sum(found[0][i][1] for i in last) > 60
+    assert not any(found[0][-1 - i][1] for i in range(40))
+
+
 def test_quality_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     found = quality_rules(frame(spark, corpus()), none).collect()
