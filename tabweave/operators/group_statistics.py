@@ -3,6 +3,7 @@
 Groups of few rows are sorted and picked from directly. For the others the search is a table with one row per group,
 column and middle rank: the range of values that still holds the rank, how many values are in it and which of them it
 is. A round sketches the values in each range, counts them between the sketched cuts and keeps the part with the rank.
+The cuts of the first round are close together around the middle, and only values next to it are read again.
 Ranges of few values are picked from directly.
 """
 
@@ -17,6 +18,7 @@ from tabweave.storage import stage
 
 IN_MEMORY_ROWS = 10_000  # rows of a group, or values of a range, that are sorted in one place
 _CUTS = 64  # parts that a round cuts a range into
+_CLOSER = 1.3  # of two neighbours on one side of the middle, how much farther the outer cut of the first round is
 _SKETCH = 2_000
 _PARTS = 1_024  # groups of tasks whose sketches of one range are merged on their own
 _SENT = 100_000  # ranges or large groups that are sent to the tasks instead of moving the values to them
@@ -36,14 +38,28 @@ def _inside(values: DataFrame, ranges: DataFrame, n: int) -> DataFrame:
     return found.where(open_ended | ((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high"))))
 
 
-def _cuts(inside: DataFrame) -> DataFrame:
-    """Values that cut each range into parts of about equal size, none where a range holds nothing but NaN."""
+def _evenly() -> list[float]:
+    return [k / _CUTS for k in range(_CUTS + 1)]
+
+
+def _around_middle() -> list[float]:
+    """As many fractions, finer towards the middle than a sketch can tell."""
+    sides = [0.5 / _CLOSER**k for k in range(_CUTS // 2)]
+    return sorted([0.5, *[0.5 - x for x in sides], *[0.5 + x for x in sides]])
+
+
+def _cuts(inside: DataFrame, fractions: Sequence[float]) -> DataFrame:
+    """The number of values in each range and values that cut it at ``fractions``, none if it holds nothing but NaN."""
     part = (F.spark_partition_id() % _PARTS).alias("part")
-    sketches = inside.groupBy(*_SPAN, part).agg(F.kll_sketch_agg_double("v", _SKETCH).alias("s"))
-    merged = sketches.groupBy(*_SPAN).agg(F.kll_merge_agg_double("s", _SKETCH).alias("s"))
-    fractions = F.array(*[F.lit(k / _CUTS) for k in range(_CUTS + 1)])
-    cuts = F.when(F.kll_sketch_get_n_double("s") > 0, F.kll_sketch_get_quantile_double("s", fractions))
-    return merged.select(*_SPAN, F.coalesce(cuts, F.array().cast("array<double>")).alias("cuts"))
+    sketches = inside.groupBy(*_SPAN, part).agg(
+        F.count("v").alias("inside"), F.kll_sketch_agg_double("v", _SKETCH).alias("s")
+    )
+    merged = sketches.groupBy(*_SPAN).agg(
+        F.sum("inside").alias("inside"), F.kll_merge_agg_double("s", _SKETCH).alias("s")
+    )
+    at = F.array(*[F.lit(fraction) for fraction in fractions])
+    cuts = F.when(F.kll_sketch_get_n_double("s") > 0, F.kll_sketch_get_quantile_double("s", at))
+    return merged.select(*_SPAN, "inside", F.coalesce(cuts, F.array().cast("array<double>")).alias("cuts"))
 
 
 def _with_part(values: DataFrame) -> DataFrame:
@@ -56,15 +72,14 @@ def _with_part(values: DataFrame) -> DataFrame:
     return found.withColumn("part", 2 * F.col("below") + on_cut.cast("int"))
 
 
-def _narrowed(values: DataFrame, ranges: DataFrame, n: int) -> DataFrame:
-    """The part of every range that holds its rank. A value that is a cut has a part of its own.
+def _narrowed(values: DataFrame, ranges: DataFrame, cuts: DataFrame, n: int) -> DataFrame:
+    """The part between ``cuts`` of every range that holds its rank. A value that is a cut has a part of its own.
 
     Ranks that share a range share its counts.
     """
-    cuts = stage(_cuts(_inside(values, ranges.select(*_SPAN).distinct(), n)), "median-cuts")
     v = F.col("v")
     counted = (
-        _with_part(_inside(values, cuts, n))
+        _with_part(_inside(values, cuts.drop("inside"), n))
         .groupBy(*_SPAN, "part")
         .agg(F.count(v).alias("n"), F.min(v).alias("first"), F.max(v).alias("last"))
     )
@@ -83,8 +98,15 @@ def _narrowed(values: DataFrame, ranges: DataFrame, n: int) -> DataFrame:
 
 
 def _small_medians(rows: DataFrame, keys: Sequence[str], columns: int) -> DataFrame:
-    """Medians of groups that fit a task, by sorting each."""
-    lists = rows.groupBy(*keys).agg(*[F.sort_array(F.collect_list(f"v{i}")).alias(f"s{i}") for i in range(columns)])
+    """Medians of groups that fit a task, by sorting each.
+
+    Rows meet before they are listed: lists made where the rows are read would hold hardly more than one row each.
+    """
+    lists = (
+        rows.repartition(*keys)
+        .groupBy(*keys)
+        .agg(*[F.sort_array(F.collect_list(f"v{i}")).alias(f"s{i}") for i in range(columns)])
+    )
 
     def median(i: int) -> Column:
         n = F.size(f"s{i}")
@@ -95,24 +117,26 @@ def _small_medians(rows: DataFrame, keys: Sequence[str], columns: int) -> DataFr
 
 
 def _large_medians(rows: DataFrame, large: DataFrame, n: int, columns: int, in_memory_rows: int) -> DataFrame:
-    """``g`` and medians of the ``n`` groups of ``large``, by narrowing ranges."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(columns)])
-    mine = rows.join(_sent(large, n), "g", "left_semi")
+    """``key`` and medians of the ``n`` groups of ``large``, which have a number ``g`` each, by narrowing ranges."""
+    given = [f"v{i}" for i in range(columns)]
+    mine = stage(rows.join(_sent(large, n), "key").select("g", *given), "median-rows")
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(v).alias("v")) for i, v in enumerate(given)])
     values = mine.select("g", F.explode(pairs).alias("x")).select("g", "x.i", "x.v").where("v IS NOT NULL")
-    counts = values.groupBy("g", "i").agg(F.count("v").alias("inside"))
-    middle = F.array(*[F.struct(F.lit(k).alias("which"), F.floor((F.col("inside") - 1 + k) / 2).alias("rank")) for k in (0, 1)])
     none = F.lit(None).cast("double")
-    ranges = stage(
-        counts.select("g", "i", "inside", F.explode(middle).alias("m")).select(
-            "g", "i", "m.which", "m.rank", "inside", none.alias("low"), none.alias("high")
-        ),
-        "median-ranges",
-    )
-    known = [ranges.where(F.col("inside") <= in_memory_rows)]
-    left = ranges.where(F.col("inside") > in_memory_rows)
+    whole = values.withColumns({"low": none, "high": none})
+    cuts = stage(_cuts(whole, _around_middle()), "median-cuts")
+    middle = F.array(*[F.struct(F.lit(k).alias("which"), F.floor((F.col("inside") - 1 + k) / 2).alias("rank")) for k in (0, 1)])
+    ranges = cuts.select(*_SPAN, F.explode(middle).alias("m")).select(*_SPAN, "m.which", "m.rank")
+    narrowed = stage(_narrowed(values, ranges, cuts, columns * n), "median-ranges")
+    one = F.col("low").eqNullSafe(F.col("high"))
+    done = (F.col("inside") <= in_memory_rows) | one
+    if (wide := narrowed.where(~one).count()) > 0:
+        near = _inside(values, narrowed.where(~one).select(*_SPAN).distinct(), wide)
+        values = stage(near.select("g", "i", "v"), "median-values")
+    known, left = [narrowed.where(done)], narrowed.where(~done)
     while (wide := left.count()) > 0:
-        narrowed = stage(_narrowed(values, left, wide), "median-ranges")
-        done = (F.col("inside") <= in_memory_rows) | F.col("low").eqNullSafe(F.col("high"))
+        cuts = stage(_cuts(_inside(values, left.select(*_SPAN).distinct(), wide), _evenly()), "median-cuts")
+        narrowed = stage(_narrowed(values, left, cuts, wide), "median-ranges")
         known.append(narrowed.where(done))
         left = narrowed.where(~done)
     small = known[0].select(*_KEY, "rank", "inside", "low", "high")
@@ -132,7 +156,7 @@ def _large_medians(rows: DataFrame, large: DataFrame, n: int, columns: int, in_m
         return F.avg(F.when(F.col("i") == i, F.col("value")))
 
     medians = middles.groupBy("g").agg(*[median(i).alias(f"m{i}") for i in range(columns)])
-    return large.join(medians, "g", "left")
+    return large.join(medians, "g", "left").drop("g")
 
 
 def group_medians(
@@ -143,10 +167,11 @@ def group_medians(
     Null values are left out, and a column without any other value in a group has a null median. NaN is the highest
     value. Null is a group like any other. An even number of values gives the mean of the two in the middle.
 
-    One pass counts the rows of the groups. Groups of at most ``in_memory_rows`` rows are sorted in one more. Only the rows
-    of larger groups go on: one pass counts, one picks, and between them a round of two passes per factor 64 that the
-    largest group has more than ``in_memory_rows`` values. There are few such groups, so their ranges are sent to the
-    values, which stay where they are; beyond ``_SENT`` ranges Spark chooses the join. The driver gets the
+    One pass counts the rows of the groups. Groups of at most ``in_memory_rows`` rows are sorted in one more. Another one
+    writes the rows of larger groups, which are read three times: for sketches, for counts around the middle and for
+    the values next to it, about a thousandth of all unless values repeat. Rounds go on over these, two passes per
+    factor 64 that a range has more than ``in_memory_rows`` of them. There are few large groups, so their ranges are sent
+    to the values, which stay where they are; beyond ``_SENT`` ranges Spark chooses the join. The driver gets the
     number of large groups and of ranges that are left, never a group.
     """
     clash = {"g", "i", "v", "x"} & {*groups}
@@ -158,15 +183,15 @@ def group_medians(
         *[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)],
     )
     # A struct of nulls equals another one, so null is a group like any other.
-    marked = rows.withColumn("g", F.struct(*keys))
+    marked = rows.withColumn("key", F.struct(*keys))
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > in_memory_rows)
-    large = stage(sizes.select(F.struct(*keys).alias("g")), "median-large")
+    large = stage(sizes.select(F.struct(*keys).alias("key"), F.monotonically_increasing_id().alias("g")), "median-large")
     n, given = large.count(), len(columns)
-    fitting = marked.join(_sent(large, n), "g", "left_anti") if n else rows
+    fitting = marked.join(_sent(large.select("key"), n), "key", "left_anti") if n else rows
     medians = _small_medians(fitting, keys, given)
     if n:
         found = _large_medians(marked, large, n, given, in_memory_rows)
-        medians = medians.unionByName(found.select("g.*", *[f"m{i}" for i in range(given)]))
+        medians = medians.unionByName(found.select("key.*", *[f"m{i}" for i in range(given)]))
     return medians.select(
         *[F.col(k).alias(c) for k, c in zip(keys, groups, strict=True)],
         *[F.col(f"m{i}").alias(c) for i, c in enumerate(columns)],

@@ -89,3 +89,35 @@ def test_values_of_large_groups_stay_where_they_are(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(plans) > 3 and not any("SortMergeJoin" in p for p in plans)
+
+
+def test_rounds_do_not_read_the_input_again(spark, monkeypatch, tmp_path):
+    """Counts and the rows of large groups are taken from the input, all rounds read those rows or fewer."""
+    rng = random.Random(2)
+    rows = [("hot", None, rng.random(), rng.gauss(0, 1)) for _ in range(3_000)] + [("b", 1, 2.0, None)] * 3
+    source = str(tmp_path / "source")
+    spark.createDataFrame([(*r, 1) for r in rows], SCHEMA).repartition(5).write.parquet(source)
+    read, keep = {}, group_statistics.stage
+
+    def noted(df, name):
+        read.setdefault(name, []).append(any("source" in file for file in df.inputFiles()))
+        return keep(df, name)
+
+    monkeypatch.setattr(group_statistics, "stage", noted)
+    monkeypatch.setattr(group_statistics, "_CUTS", 4)
+    found = group_medians(spark.read.parquet(source), ["city", "year"], ["a", "b"], in_memory_rows=4)
+    got = {(r.city, r.year): [r.a, r.b] for r in found.collect()}
+    assert all(same(a, b) for key, values in plain(rows).items() for a, b in zip(got[key], values, strict=True))
+    assert len(read["median-ranges"]) > 1 and sum(map(sum, read.values())) == 2
+
+
+def test_rows_of_small_groups_meet_before_they_are_listed(spark):
+    rows = [("a", i % 40, float(i), None, 1) for i in range(200)]
+    plan = plan_of(group_medians(spark.createDataFrame(rows, SCHEMA), ["year"], ["a", "b"]))
+    assert plan.index("Exchange") > plan.rindex("ObjectHashAggregate")
+
+
+def test_more_ranges_than_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(group_statistics, "_SENT", 0)
+    rng = random.Random(3)
+    check(spark, [(f"c{i % 5}", None, rng.gauss(0, 1), rng.choice([None, 1.0, 2.0])) for i in range(900)], 10)
